@@ -51,24 +51,42 @@ def compute_frames(
     if n_tasks > 1:
         tiles = tiles.repartitionByRange(n_tasks, "frame", "tile_y", "tile_x")
     else:
-        tiles = tiles.coalesce(1)
+        tiles = tiles.repartition(1)  # a coalesce would drag the job behind the views into one task
 
     def cells(batches):
+        gathered, points = [], 0
         for batch in batches:
             for tile in batch.to_pylist():
-                re = _axis_slice(tile["center_re"], tile["width"], width_px, tile["x0"], tile["x1"])
-                x = np.arange(tile["x0"], tile["x1"], dtype=np.int32)
-                band = max(1, CELLS_PER_TILE // x.size)
-                for top in range(tile["y0"], tile["y1"], band):
-                    bottom = min(top + band, tile["y1"])
-                    im = _axis_slice(tile["center_im"], tile["width"], height, top, bottom)
-                    rows = bottom - top
-                    counts = escape_steps(np.tile(re, rows), np.repeat(im, x.size), max_iter, mode)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(counts.size, tile["frame"], dtype=np.int32)),
-                        pa.array(np.repeat(np.arange(top, bottom, dtype=np.int32), x.size)),
-                        pa.array(np.tile(x, rows)),
-                        pa.array(counts),
-                    ], schema=_CELL_ARROW)
+                for piece in _tile_bands(tile, height, width_px):
+                    gathered.append(piece)
+                    points += piece[1].size
+                    if points >= CELLS_PER_TILE:
+                        yield _count_pieces(gathered, max_iter, mode)
+                        gathered, points = [], 0
+        if gathered:
+            yield _count_pieces(gathered, max_iter, mode)
 
     return tiles.mapInArrow(cells, CELLS)
+
+
+def _tile_bands(tile, height, width_px):
+    """A tile as bands of rows of at most ``CELLS_PER_TILE`` cells: frame, y, x, re, im."""
+    re = _axis_slice(tile["center_re"], tile["width"], width_px, tile["x0"], tile["x1"])
+    x = np.arange(tile["x0"], tile["x1"], dtype=np.int32)
+    band = max(1, CELLS_PER_TILE // x.size)
+    for top in range(tile["y0"], tile["y1"], band):
+        bottom = min(top + band, tile["y1"])
+        im = _axis_slice(tile["center_im"], tile["width"], height, top, bottom)
+        y = np.arange(top, bottom, dtype=np.int32)
+        yield tile["frame"], np.repeat(y, x.size), np.tile(x, y.size), np.tile(re, y.size), np.repeat(im, x.size)
+
+
+def _count_pieces(pieces, max_iter, mode):
+    """One kernel call for all gathered bands: small tiles would otherwise each pay for a
+    full run of the iteration loop."""
+    frames, y, x, re, im = zip(*pieces)
+    counts = escape_steps(np.concatenate(re), np.concatenate(im), max_iter, mode)
+    frame = np.repeat(np.array(frames, dtype=np.int32), [part.size for part in y])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(frame), pa.array(np.concatenate(y)), pa.array(np.concatenate(x)), pa.array(counts)],
+        schema=_CELL_ARROW)

@@ -41,19 +41,24 @@ from gridscale.sources.grid import grid_tasks
 CREATE_MESSAGE = "initialize iterations dataset schema"
 
 
+MAX_LISTED_COMMITS = 1000
+
+
 class RunState(NamedTuple):
     """What the log says about a run at one point of its history."""
 
     spec: Row
     created_at: int
     head: int
-    live_bound: int
+    frame_rows: int  # frames written since creation, a frame counting once per commit
+    snapshots: tuple[str, ...] | None  # the commits that wrote them, unless there are very many
 
 
 class GridStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._specs: dict[str, Row] = {}
 
     # -- creating runs ---------------------------------------------------------------
 
@@ -67,8 +72,8 @@ class GridStore:
         check_mode(mode)
         snapshot = uuid.uuid4().hex
         per_block = max(1, CELLS_PER_FILE // (height * width_px))
-        spec = [(run_id, height, width_px, n_frames, max_iter, mode, per_block, snapshot)]
-        (self.spark.createDataFrame(spec, RUNS).coalesce(1)
+        spec = (run_id, height, width_px, n_frames, max_iter, mode, per_block, snapshot)
+        (self._one_row(spec, RUNS)
          .write.partitionBy("run_id", "snapshot_id").mode("append").parquet(f"{self.root}/runs"))
         self._log(run_id, snapshot, CREATE_MESSAGE, 0, 0, 0.0)
         return snapshot
@@ -103,16 +108,30 @@ class GridStore:
         log = self.commits(run_id)
         if as_of is not None:
             log = log.filter(F.col("commit_seq") <= as_of)
-        created = F.max(F.struct(F.when(F.col("message") == CREATE_MESSAGE, F.col("commit_seq")).alias("seq"),
-                                 "snapshot_id"))
-        seen = log.agg(created.alias("created"), F.max("commit_seq").alias("head"),
-                       F.sum("n_frames").alias("n")).first()
-        if seen["head"] is None or seen["created"]["seq"] is None:
+        is_create = F.col("message") == CREATE_MESSAGE
+        created = log.filter(is_create).orderBy(F.desc("commit_seq")).limit(1)
+        newest = log.orderBy(F.desc("commit_seq")).limit(MAX_LISTED_COMMITS + 1)
+        columns = ["commit_seq", "snapshot_id", "n_frames", is_create.alias("created")]
+        rows = created.select(*columns).union(newest.select(*columns)).collect()
+        if not rows or not any(r["created"] for r in rows):
             raise ValueError(f"no run {run_id!r} in {self.root}")
-        spec = (self._table("runs", RUNS)
-                .filter((F.col("run_id") == run_id) & (F.col("snapshot_id") == seen["created"]["snapshot_id"]))
-                .first())
-        return RunState(spec, seen["created"]["seq"], seen["head"], seen["n"])
+        start = max((r for r in rows if r["created"]), key=lambda r: r["commit_seq"])
+        head = max(r["commit_seq"] for r in rows)
+        since = [r for r in rows if r["commit_seq"] > start["commit_seq"]]
+        if len(since) <= MAX_LISTED_COMMITS:
+            snapshots, frame_rows = tuple(r["snapshot_id"] for r in since), sum(r["n_frames"] for r in since)
+        else:
+            snapshots = None
+            frame_rows = log.filter(F.col("commit_seq") > start["commit_seq"]).agg(F.sum("n_frames")).first()[0]
+        return RunState(self._spec(run_id, start["snapshot_id"]), start["commit_seq"], head, frame_rows, snapshots)
+
+    def _spec(self, run_id, snapshot):
+        """Shape and settings of a run; written once per snapshot, hence safe to remember."""
+        if snapshot not in self._specs:
+            self._specs[snapshot] = (self._table("runs", RUNS)
+                                     .filter((F.col("run_id") == run_id) & (F.col("snapshot_id") == snapshot))
+                                     .first())
+        return self._specs[snapshot]
 
     # -- writing ---------------------------------------------------------------------
 
@@ -145,7 +164,7 @@ class GridStore:
             rows.write.partitionBy("frame_block").mode("errorifexists").parquet(path)
         elapsed = time.perf_counter() - started
 
-        written = self._pixels(run_id).filter(F.col("snapshot_id") == snapshot)
+        written = self._pixels(run_id, (snapshot,))
         if not unique:
             twice = written.groupBy("frame", "y", "x").count().filter("count > 1")
             if not twice.isEmpty():
@@ -178,8 +197,8 @@ class GridStore:
     def _log(self, run_id, snapshot, message, n_frames, n_cells, elapsed, after=None):
         if after is None:
             after = self.commits(run_id).agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
-        row = [(after + 1, snapshot, message, n_frames, n_cells, float(elapsed), run_id)]
-        (self.spark.createDataFrame(row, COMMITS).coalesce(1)
+        row = (after + 1, snapshot, message, n_frames, n_cells, float(elapsed), run_id)
+        (self._one_row(row, COMMITS)
          .write.partitionBy("run_id").mode("append").parquet(f"{self.root}/commits"))
 
     # -- reading ---------------------------------------------------------------------
@@ -200,22 +219,32 @@ class GridStore:
              with_view: bool = False) -> DataFrame:
         """Cells of the run's newest state, or of its state at commit ``as_of``.
 
-        ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``. The
-        frame list is joined on partition columns, so only the folders it names are opened.
+        ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``. Only
+        the folders of commits in the log are opened. If no frame was written twice, those
+        folders are the answer; otherwise the list of live frames is joined to them.
         """
         state = self.state(run_id, as_of)
+        if where is None and not with_view and self._written_once(run_id, state):
+            return self._pixels(run_id, state.snapshots).select(*CELLS.names)
         live = self.live_frames(run_id, state=state)
         if where is not None:
             live = live.filter(where)
         return self._cells_of(run_id, live, state, with_view)
 
+    def _written_once(self, run_id, state):
+        if state.snapshots is None:
+            return False
+        return len(state.snapshots) < 2 or self.live_frames(run_id, state=state).count() == state.frame_rows
+
     def _cells_of(self, run_id, live, state, with_view=False, frame=None):
-        columns = ["frame", "y", "x", "iterations"] + (["center_re", "center_im", "width"] if with_view else [])
+        """Cells of the given live frames. The frame list is joined on partition columns, so
+        dynamic pruning opens only the folders it names."""
+        columns = CELLS.names + (["center_re", "center_im", "width"] if with_view else [])
         wanted = live.select("snapshot_id", "frame", _block(state.spec).alias("frame_block"),
                              "center_re", "center_im", "width")
-        if state.live_bound <= BROADCAST_ROWS:  # the log bounds the frame list; beyond, a shuffle join
+        if state.frame_rows <= BROADCAST_ROWS:  # the log bounds the frame list; beyond, a shuffle join
             wanted = F.broadcast(wanted)
-        pixels = self._pixels(run_id)
+        pixels = self._pixels(run_id, state.snapshots)
         if frame is not None:
             block = frame // state.spec["frames_per_block"]
             pixels = pixels.filter((F.col("frame_block") == block) & (F.col("frame") == frame))
@@ -305,11 +334,21 @@ class GridStore:
         return runs.join(done, "run_id", "left").select(
             "run_id", "n_frames", "max_iter", F.coalesce("frames_done", F.lit(0)).alias("frames_done"))
 
+    def _one_row(self, values, schema):
+        """A single row in a single partition, hence a single file when written."""
+        return self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
+
     # -- files -----------------------------------------------------------------------
 
-    def _pixels(self, run_id):
+    def _pixels(self, run_id, snapshots=None):
+        """Cell files of the named commits, or of the whole run."""
+        if snapshots is not None and not snapshots:
+            return self.spark.createDataFrame([], PIXELS)
+        run = f"{self.root}/pixels/run_id={run_id}"
+        paths = [run] if snapshots is None else [f"{run}/snapshot_id={s}" for s in snapshots]
         reader = self.spark.read.schema(PIXELS).option("basePath", f"{self.root}/pixels")
-        return self._or_empty(lambda: reader.parquet(f"{self.root}/pixels/run_id={run_id}"), PIXELS)
+        return self._or_empty(lambda: reader.parquet(*paths), PIXELS)
 
     def _table(self, name, schema):
         return self._or_empty(lambda: self.spark.read.schema(schema).parquet(f"{self.root}/{name}"), schema)
