@@ -60,7 +60,7 @@ def _iterate(re, im, max_iter):
             where, cr, ci = where[inside], cr[inside], ci[inside]
             zr, zi = zr[inside], zi[inside]
         step = stop
-        interval = min(step // 2 + 1, _LONGEST_INTERVAL)
+        interval = min(step // 4 + 1, _LONGEST_INTERVAL)
     return out
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from gridscale.functions import png
 from gridscale.operators.stats import largest_count
 from gridscale.schema import CELLS_PER_TILE
+from gridscale.session import settled
 
 MAX_BINS = 65_536
 MAX_IMAGE_CELLS = 1 << 28  # above this one image value would near the 2 GiB limit of a cell
@@ -40,9 +41,11 @@ def normalise_global(cells: DataFrame) -> DataFrame:
 def normalise_per_frame(cells: DataFrame) -> DataFrame:
     """Add ``v``: the cell between its frame's minimum (0) and maximum (1); 0 if they agree.
 
-    The ranges are aggregated and joined back rather than taken over a window, so a frame
-    need not fit one task; being one row per frame they are usually broadcast."""
-    ranges = cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi"))
+    The ranges, one row per frame, are aggregated and joined back rather than taken over a
+    window, so a frame need not fit one task. They are settled first: planned from the cells,
+    their size would be unknown and the join would shuffle every cell.
+    """
+    ranges = settled(cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi")))
     spread = (F.col("hi") - F.col("lo")).cast("double")
     v = F.when(spread > 0, (F.col("iterations") - F.col("lo")) / spread).otherwise(0.0)
     return cells.join(ranges, "frame").withColumn("v", v).drop("lo", "hi")
@@ -96,7 +99,7 @@ def frame_images(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
     def pack_band(key, cells):
         frame, band = (k.as_py() for k in key)
         top = band * band_rows
-        raw = png.scanlines(_canvas(cells, min(band_rows, height - top), width_px, top))
+        raw = png.scanlines(_canvas(cells, min(band_rows, height - top), width_px))
         return pa.table({
             "frame": pa.array([frame], pa.int32()), "band": pa.array([band], pa.int32()),
             "deflated": pa.array([png.deflate_band(raw)], pa.binary()),
@@ -114,19 +117,25 @@ def frame_images(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
                 for i in range(-(-height // band_rows))]))
         return pa.array(images, pa.binary())
 
-    packed = (rgb.select("frame", F.floor(F.col("y") / band_rows).cast("int").alias("band"), "y", "x", "r", "g", "b")
+    packed = (rgb.select("frame", F.floor(F.col("y") / band_rows).cast("int").alias("band"),
+                         *_pixel((F.col("y") % band_rows) * width_px + F.col("x")))
               .groupBy("frame", "band").applyInArrow(pack_band, band_type))
     bands = F.collect_list(F.struct("band", "deflated", "checksum", "raw_length"))
     return packed.groupBy("frame").agg(bands.alias("bands")).select("frame", assemble("bands").alias("png"))
 
 
-def _canvas(cells, rows, width_px, top):
-    canvas = np.zeros((rows, width_px, 3), dtype=np.uint8)
-    y = cells["y"].to_numpy() - top
-    x = cells["x"].to_numpy()
-    for channel, name in enumerate("rgb"):
-        canvas[y, x, channel] = cells[name].to_numpy()
-    return canvas
+def _pixel(at):
+    """Position and colour of a pixel as two integers, to keep the shuffle narrow."""
+    colour = F.shiftleft("r", 16).bitwiseOR(F.shiftleft("g", 8)).bitwiseOR(F.col("b"))
+    return at.cast("int").alias("at"), colour.cast("int").alias("rgb")
+
+
+def _canvas(pixels, rows, width_px):
+    canvas = np.zeros((rows * width_px, 3), dtype=np.uint8)
+    at, rgb = pixels["at"].to_numpy(), pixels["rgb"].to_numpy()
+    for channel, shift in enumerate((16, 8, 0)):
+        canvas[at, channel] = rgb >> shift & 0xFF
+    return canvas.reshape(rows, width_px, 3)
 
 
 def _black_band(rows, width_px):
@@ -198,11 +207,12 @@ def tile_images(rgb_tiles: DataFrame, tile_size: int = TILE_SIZE) -> DataFrame:
     out = T.StructType([TILES[k] for k in keys] + [T.StructField("png", T.BinaryType())])
 
     def pack(key, cells):
-        image = png.encode(_canvas(cells, tile_size, tile_size, 0))
+        image = png.encode(_canvas(cells, tile_size, tile_size))
         columns = {name: pa.array([k.as_py()], k.type) for name, k in zip(keys, key)}
         return pa.table({**columns, "png": pa.array([image], pa.binary())})
 
-    return rgb_tiles.select(*keys, "y", "x", "r", "g", "b").groupBy(*keys).applyInArrow(pack, out)
+    pixels = rgb_tiles.select(*keys, *_pixel(F.col("y") * tile_size + F.col("x")))
+    return pixels.groupBy(*keys).applyInArrow(pack, out)
 
 
 def image_cells(images: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from gridscale.schema import (
     BROADCAST_ROWS,
     CELL_MAX,
     CELLS,
-    CELLS_PER_FILE,
+    CELLS_PER_BLOCK,
     COMMITS,
     FRAMES,
     PIXELS,
@@ -36,9 +36,9 @@ from gridscale.schema import (
     check_mode,
 )
 from gridscale.session import session_setting
-from gridscale.sources.grid import grid_tasks
+from gridscale.sources.grid import grid_tasks, missing_cells
 
-CREATE_MESSAGE = "initialize iterations dataset schema"
+CREATE_MESSAGE = "create run"
 
 
 MAX_LISTED_COMMITS = 1000
@@ -71,7 +71,7 @@ class GridStore:
         check_max_iter(max_iter)
         check_mode(mode)
         snapshot = uuid.uuid4().hex
-        per_block = max(1, CELLS_PER_FILE // (height * width_px))
+        per_block = max(1, CELLS_PER_BLOCK // (height * width_px))
         spec = (run_id, height, width_px, n_frames, max_iter, mode, per_block, snapshot)
         (self._one_row(spec, RUNS)
          .write.partitionBy("run_id", "snapshot_id").mode("append").parquet(f"{self.root}/runs"))
@@ -273,8 +273,8 @@ class GridStore:
     def dense(self, run_id: str, as_of: int | None = None) -> DataFrame:
         """The run as a full array: cells never written read as 0, views never written as NULL.
 
-        Frames the log knows to be complete pass straight through; only the cells of the
-        others are generated and looked up.
+        Frames the log knows to be complete pass straight through; only the others are
+        searched for gaps.
         """
         state = self.state(run_id, as_of)
         spec = state.spec
@@ -283,17 +283,13 @@ class GridStore:
         complete = F.col("n_cells") == plane
         whole = self._cells_of(run_id, live.filter(complete), state, with_view=True)
 
-        columns = ["frame", "y", "x", "iterations", "center_re", "center_im", "width"]
         slots = self.spark.range(spec["n_frames"]).select(F.col("id").cast("int").alias("frame"))
         partial = slots.join(live, "frame", "left").filter(~F.coalesce(complete, F.lit(False)))
         lines = partial.select("frame", "center_re", "center_im", "width",
                                F.explode(F.sequence(F.lit(0), F.lit(spec["height"] - 1))).alias("y"))
-        lines = lines.repartition(grid_tasks(self.spark, spec["n_frames"] * plane), "frame", "y")
-        grid = lines.withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(spec["width_px"] - 1))))
-        known = self._cells_of(run_id, live.filter(~complete), state)
-        filled = grid.join(known, ["frame", "y", "x"], "left").withColumn(
-            "iterations", F.coalesce("iterations", F.lit(0)))
-        return whole.select(*columns).unionByName(filled.select(*columns))
+        known = self._cells_of(run_id, live.filter(~complete), state, with_view=True)
+        absent = missing_cells(lines, known, spec["width_px"], grid_tasks(self.spark, spec["n_frames"] * plane))
+        return whole.unionByName(known).unionByName(absent.withColumn("iterations", F.lit(0)))
 
     def frames(self, run_id: str, as_of: int | None = None) -> DataFrame:
         """All frame slots of the run in order of position; views are NULL until written."""

@@ -244,7 +244,7 @@ FROM (SELECT *, (re - 0.25::DOUBLE) * (re - 0.25::DOUBLE) + im * im AS q FROM ba
     "s5_read_latest": _with(LATEST, "SELECT * FROM latest"),
     "s6_read_as_of": _with(CUBE, "SELECT frame, y, x, iterations::INT AS iterations FROM cube"),
     "s7_history": _with(CUBE, CUBE_WEEKENDS, """SELECT 1::BIGINT AS commit_seq,
-       'initialize iterations dataset schema' AS message, 0::BIGINT AS n_frames, 0::BIGINT AS n_cells
+       'create run' AS message, 0::BIGINT AS n_frames, 0::BIGINT AS n_cells
 UNION ALL SELECT 2, 'all events', count(DISTINCT frame), count(*) FROM cube
 UNION ALL SELECT 3, 'weekends without errors', count(DISTINCT frame), count(*) FROM weekends"""),
     "s8_scan_run": _with(LATEST, f"""SELECT 'events' AS run_id, {EVENTS_FRAMES} AS n_frames,

@@ -18,8 +18,9 @@ DECLARED_TOLERANCE = {  # mode: (percent of cells, iterations)
 
 MODES = tuple(DECLARED_TOLERANCE)
 
-# A store file, a kernel task and a broadcast table are each kept near these sizes.
-CELLS_PER_FILE = 4_000_000
+# A block of frames that share a folder, a kernel task, a kernel call and a broadcast table
+# are each kept near these sizes.
+CELLS_PER_BLOCK = 4096 * 4096
 CELLS_PER_TASK = 262_144
 CELLS_PER_TILE = 262_144
 BROADCAST_ROWS = 500_000

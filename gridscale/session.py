@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "gridscale", memory: str = "12g") -> SparkSession:
@@ -38,6 +38,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/gridscale-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For small results that are used against large ones: they are computed once, survive lost
+    executors, and their file size tells Spark whether a broadcast is safe.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def session_setting(spark: SparkSession, key: str, value: str):
     """Set one SQL option for the duration of a job and put the old value back."""

@@ -146,9 +146,27 @@ def all_cells(spark: SparkSession, n_frames: int, height: int, width_px: int) ->
     )
 
 
+def missing_cells(lines: DataFrame, cells: DataFrame, width_px: int, n_tasks: int) -> DataFrame:
+    """The cells absent from the given ``(frame, y)`` lines: the lines' columns + ``x``.
+
+    A line and the positions it has meet in one partition and the gaps unfold there, so
+    only known cells and lines are shuffled, never the full grid. The partition count is
+    explicit because the rows multiply afterwards.
+    """
+    known = (cells.select("frame", "y", "x").repartition(n_tasks, "frame", "y")
+             .groupBy("frame", "y").agg(F.collect_set("x").alias("known")))
+    gaps = F.array_except(F.sequence(F.lit(0), F.lit(width_px - 1)),
+                          F.coalesce("known", F.array().cast("array<int>")))
+    return (lines.repartition(n_tasks, "frame", "y").join(known, ["frame", "y"], "left")
+            .withColumn("x", F.explode(gaps)).drop("known"))
+
+
 def fill_grid(cells: DataFrame, n_frames: int, height: int, width_px: int, fill: int = 0) -> DataFrame:
     """Cells as a full ``n_frames x height x width_px`` grid; absent ones hold ``fill``."""
-    domain = all_cells(cells.sparkSession, n_frames, height, width_px)
+    spark = cells.sparkSession
+    n_tasks = grid_tasks(spark, n_frames * height * width_px)
+    lines = all_cells(spark, n_frames, height, 1).select("frame", "y")
     value = cells.schema["iterations"].dataType
-    return domain.join(cells.select("frame", "y", "x", "iterations"), ["frame", "y", "x"], "left").select(
-        "frame", "y", "x", F.coalesce("iterations", F.lit(fill).cast(value)).alias("iterations"))
+    columns = ["frame", "y", "x", "iterations"]
+    absent = missing_cells(lines, cells, width_px, n_tasks).withColumn("iterations", F.lit(fill).cast(value))
+    return cells.select(*columns).unionByName(absent.select(*columns))

@@ -136,7 +136,7 @@ def test_reading_many_commits_takes_the_other_path(spark, store, monkeypatch):
 
 def test_reading_one_frame_opens_one_block(spark, store, monkeypatch):
     import gridscale.operators.store as module
-    monkeypatch.setattr(module, "CELLS_PER_FILE", 4)
+    monkeypatch.setattr(module, "CELLS_PER_BLOCK", 4)
     store.create_run("r", 3, 2, 2)
     store.write_frames("r", plane(spark, 0, 2, 1).union(plane(spark, 1, 2, 2)).union(plane(spark, 2, 2, 3)))
     one = store.read_frame("r", 2)
