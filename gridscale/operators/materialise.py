@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from gridscale.operators.compute import compute_frames
 from gridscale.operators.store import GridStore
+from gridscale.session import settled
 from gridscale.sources.grid import frame_range_key
 
 
 def materialise(store: GridStore, run_id: str, views: DataFrame, message: str | None = None) -> str | None:
     """Compute the given views with the run's settings and commit them, in one job for all
-    frames. No views, no commit. ``views`` must list a frame once."""
+    frames. No views, no commit. ``views`` must list a frame once; they are settled first,
+    because the job passes over them several times and they must not change meanwhile."""
     spec = store.state(run_id).spec
-    views = views.select("frame", "center_re", "center_im", "width")
+    views = settled(views.select("frame", "center_re", "center_im", "width"))
     counts = views.agg(F.count("*").alias("n"), F.count_distinct("frame").alias("frames")).first()
     if counts["n"] != counts["frames"]:
         raise ValueError("views list the same frame more than once")

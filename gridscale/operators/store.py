@@ -14,6 +14,7 @@ time commits to a run; tasks of a commit run in parallel.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from typing import NamedTuple
@@ -66,6 +67,8 @@ class GridStore:
                    max_iter: int = CELL_MAX, mode: str = "early_exit") -> str:
         """Start a run with ``n_frames`` unwritten frames; an existing run of that name starts
         afresh (its earlier commits stay readable with ``as_of``). Returns the snapshot id."""
+        if not re.fullmatch(r"[\w.-]+", run_id, re.ASCII):
+            raise ValueError(f"a run id names a folder: letters, digits, '_', '.' and '-' only, got {run_id!r}")
         if n_frames < 1 or height < 1 or width_px < 1:
             raise ValueError(f"a run needs frames and cells, got {n_frames} x {height} x {width_px}")
         check_max_iter(max_iter)
@@ -93,16 +96,16 @@ class GridStore:
 
     def commits(self, run_id: str | None = None) -> DataFrame:
         """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s``."""
-        log = self._table("commits", COMMITS)
-        return log if run_id is None else log.filter(F.col("run_id") == run_id)
+        return self._table("commits", COMMITS, run_id)
 
     def commit_frames(self, run_id: str | None = None) -> DataFrame:
-        """The log by frame: one row per commit and frame it wrote."""
-        frames = self._table("frames", FRAMES)
-        if run_id is not None:
-            frames = frames.filter(F.col("run_id") == run_id)
-        log = self.commits(run_id).select("run_id", "snapshot_id", "commit_seq", "message")
-        return frames.join(log, ["run_id", "snapshot_id"])
+        """The log by frame: one row per commit and frame it wrote. A commit's time is shared
+        out over its frames by their cells."""
+        frames = self._table("frames", FRAMES, run_id)
+        log = self.commits(run_id).select("run_id", "snapshot_id", "commit_seq", "message",
+                                          (F.col("elapsed_s") / F.nullif("n_cells", F.lit(0))).alias("per_cell"))
+        return (frames.join(log, ["run_id", "snapshot_id"])
+                .withColumn("elapsed_s", F.col("n_cells") * F.col("per_cell")).drop("per_cell"))
 
     def state(self, run_id: str, as_of: int | None = None) -> RunState:
         log = self.commits(run_id)
@@ -128,9 +131,8 @@ class GridStore:
     def _spec(self, run_id, snapshot):
         """Shape and settings of a run; written once per snapshot, hence safe to remember."""
         if snapshot not in self._specs:
-            self._specs[snapshot] = (self._table("runs", RUNS)
-                                     .filter((F.col("run_id") == run_id) & (F.col("snapshot_id") == snapshot))
-                                     .first())
+            runs = self._table("runs", RUNS, run_id)
+            self._specs[snapshot] = runs.filter(F.col("snapshot_id") == snapshot).first()
         return self._specs[snapshot]
 
     # -- writing ---------------------------------------------------------------------
@@ -169,10 +171,9 @@ class GridStore:
             twice = written.groupBy("frame", "y", "x").count().filter("count > 1")
             if not twice.isEmpty():
                 raise ValueError(f"cells of run {run_id!r} occur more than once, e.g. {twice.first()}")
-        self._write_frame_rows(run_id, snapshot, written, views, elapsed)
+        self._write_frame_rows(run_id, snapshot, written, views)
 
-        done = (self._table("frames", FRAMES)
-                .filter((F.col("run_id") == run_id) & (F.col("snapshot_id") == snapshot))
+        done = (self._table("frames", FRAMES, run_id).filter(F.col("snapshot_id") == snapshot)
                 .agg(F.count("*").alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
                      F.min("frame").alias("first")).first())
         if message is None:
@@ -180,18 +181,15 @@ class GridStore:
         self._log(run_id, snapshot, message, done["frames"], done["cells"], elapsed, after=state.head)
         return snapshot
 
-    def _write_frame_rows(self, run_id, snapshot, written, views, elapsed):
-        """Cell count, view and share of the commit's time for every written frame."""
+    def _write_frame_rows(self, run_id, snapshot, written, views):
+        """Cell count and view of every written frame."""
         counted = written.groupBy("frame").agg(F.count("*").alias("n_cells"))
         if views is None:
-            for name in ("center_re", "center_im", "width"):
-                counted = counted.withColumn(name, F.lit(None).cast("double"))
+            unknown = F.lit(None).cast("double")
+            counted = counted.withColumns({"center_re": unknown, "center_im": unknown, "width": unknown})
         else:
             counted = counted.join(views.select(*VIEWS.names), "frame", "left")
-        # The cells were just written, so their total is a scan of file footers.
-        total = max(1, written.count())
-        (counted.select(*VIEWS.names, "n_cells",
-                        (F.col("n_cells") * (elapsed / total)).alias("elapsed_s"))
+        (counted.select(*VIEWS.names, "n_cells")
          .write.mode("errorifexists").parquet(f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"))
 
     def _log(self, run_id, snapshot, message, n_frames, n_cells, elapsed, after=None):
@@ -209,7 +207,7 @@ class GridStore:
         log = (self.commits(run_id)
                .filter((F.col("commit_seq") > state.created_at) & (F.col("commit_seq") <= state.head))
                .select("snapshot_id", "commit_seq"))
-        frames = self._table("frames", FRAMES).filter(F.col("run_id") == run_id)
+        frames = self._table("frames", FRAMES, run_id)
         newest = F.max_by(F.struct("snapshot_id", "center_re", "center_im", "width", "n_cells"), "commit_seq")
         return (frames.join(log, "snapshot_id")
                 .groupBy("frame").agg(newest.alias("at"), F.max("commit_seq").alias("commit_seq"))
@@ -346,8 +344,12 @@ class GridStore:
         reader = self.spark.read.schema(PIXELS).option("basePath", f"{self.root}/pixels")
         return self._or_empty(lambda: reader.parquet(*paths), PIXELS)
 
-    def _table(self, name, schema):
-        return self._or_empty(lambda: self.spark.read.schema(schema).parquet(f"{self.root}/{name}"), schema)
+    def _table(self, name, schema, run_id=None):
+        """A table of the store, or the part of it that belongs to one run."""
+        whole = f"{self.root}/{name}"
+        path = whole if run_id is None else f"{whole}/run_id={run_id}"
+        reader = self.spark.read.schema(schema).option("basePath", whole)
+        return self._or_empty(lambda: reader.parquet(path), schema)
 
     def _or_empty(self, open_table, schema):
         """A table without any commit has no folder yet."""

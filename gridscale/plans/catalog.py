@@ -252,6 +252,11 @@ def s10_select_by_width(spark, d):
     return _event_store(spark, d, restated=True).select("events", width_between=(0.5, 1.75))
 
 
+@query
+def s10_select_one_width(spark, d):
+    return _event_store(spark, d).select("events", width=0.875)
+
+
 @query
 def s11_list_runs(spark, d):
     store = _event_store(spark, d, restated=True)
@@ -308,6 +313,16 @@ def m3_fan_out(spark, d):
             .agg(F.min("frame").alias("first"), F.max("frame").alias("last"), F.sum("n_cells").alias("n_cells")))
 
 
+@query
+def m3_time_per_frame(spark, d):
+    """Frames and cells each commit accounts for; times vary, so only their presence is shown."""
+    store, views = _supplier_store(spark, d)
+    materialise(store, "zoom", views)
+    log = store.commit_frames("zoom")
+    return ms_per_frame(log, ("run_id", "commit_seq")).select(
+        "run_id", "commit_seq", "n_frames", (F.col("ms_per_frame") > 0).alias("timed"))
+
+
 @query
 def m4_pending_frames(spark, d):
     store, views = _supplier_store(spark, d)

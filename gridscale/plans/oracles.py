@@ -253,6 +253,8 @@ UNION ALL SELECT 3, 'weekends without errors', count(DISTINCT frame), count(*) F
     "s9_read_frame": _with(LATEST, "SELECT * FROM latest WHERE frame = 6"),
     "s10_select_by_width": _with(LATEST, EVENT_VIEWS, """SELECT frame, y, x, iterations, center_re, center_im, width
 FROM latest JOIN views USING (frame) WHERE width BETWEEN 0.5 AND 1.75"""),
+    "s10_select_one_width": _with(CUBE, EVENT_VIEWS, """SELECT frame, y, x, iterations::INT AS iterations,
+       center_re, center_im, width FROM cube JOIN views USING (frame) WHERE width = 0.875"""),
     "s11_list_runs": _with(CUBE, CUBE_WEEKENDS, f"""SELECT 'events' AS run_id, {EVENTS_FRAMES} AS n_frames,
        65535 AS max_iter, count(DISTINCT frame) AS frames_done FROM cube
 UNION ALL SELECT 'weekends', {EVENTS_FRAMES}, 65535, count(DISTINCT frame) FROM weekends
@@ -268,6 +270,8 @@ LEFT JOIN (SELECT * FROM views WHERE frame IN (SELECT frame FROM weekends)) v ON
     "m3_fan_out": _with(SUPPLIER_VIEWS, f"""SELECT t + 2 AS commit_seq, 'task ' || t || ' of 4' AS message,
        min(frame) AS first, max(frame) AS last, (count(*) * {STORE_SIZE * STORE_SIZE})::BIGINT AS n_cells
 FROM (SELECT frame, frame // (((SELECT max(frame) + 1 FROM views) + 3) // 4)::BIGINT AS t FROM views) GROUP BY t"""),
+    "m3_time_per_frame": """SELECT 'zoom' AS run_id, 2::BIGINT AS commit_seq, count(*) AS n_frames, true AS timed
+FROM supplier""",
     "m4_pending_frames": _with(SUPPLIER_VIEWS, f"SELECT * FROM views WHERE frame NOT IN {REQUESTED}"),
     "m5_fill_pending": _with(SUPPLIER_CELLS, f"""SELECT *,
        CASE WHEN frame IN {REQUESTED} THEN 2 ELSE 3 END::BIGINT AS commit_seq FROM cells"""),

@@ -58,7 +58,6 @@ PIXELS = T.StructType(CELLS.fields + [
 
 FRAMES = T.StructType(VIEWS.fields + [
     T.StructField("n_cells", T.LongType()),
-    T.StructField("elapsed_s", T.DoubleType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("snapshot_id", T.StringType()),
 ])

@@ -24,17 +24,19 @@ def local_session(cores: int | str = "*", app: str = "gridscale", memory: str =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh sub-folder of ``spark.checkpoint.dir``.
+    """A fresh sub-folder of ``spark.checkpoint.dir``, or of the checkpoint folder set on the
+    context.
 
-    Where the setting is absent a temporary folder is used, but only in local mode:
-    on a cluster executors could not see it.
+    Where neither is set a temporary folder is used, but only in local mode: on a cluster
+    executors could not see it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="gridscale-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridscale-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/gridscale-{uuid.uuid4().hex}"
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_set
 from gridscale.operators.store import CREATE_MESSAGE, GridStore
+from gridscale.session import session_setting
 
 CELL = ("frame", "y", "x", "iterations")
 
@@ -145,6 +146,22 @@ def test_reading_one_frame_opens_one_block(spark, store, monkeypatch):
     assert as_set(one, "iterations") == {(3,)}
 
 
+def test_a_frame_that_holds_most_cells_is_split(spark, store):
+    """Adaptive execution cuts the hot frame into several files; every cell arrives once."""
+    store.create_run("r", 40, 600, 600)
+    hot = plane(spark, 3, 600, 7)
+    rest = spark.range(40).select(F.col("id").cast("int").alias("frame"), F.lit(0).alias("y"), F.lit(0).alias("x"),
+                                  F.lit(1).alias("iterations")).filter("frame <> 3")
+    with session_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB"):
+        store.write_frames("r", hot.repartition(12).union(rest))
+    cells = store.read("r")
+    files = cells.filter("frame = 3").select(F.input_file_name().alias("f")).distinct().count()
+    assert files > 1
+    assert cells.count() == 360_000 + 39 and cells.select("frame", "y", "x").distinct().count() == 360_039
+
+
 def test_unknown_run(store):
+    with pytest.raises(ValueError, match="names a folder"):
+        store.create_run("a/b", 1, 1, 1)
     with pytest.raises(ValueError, match="no run"):
         store.read("nothing")
