@@ -17,7 +17,11 @@ def materialise(store: GridStore, run_id: str, views: DataFrame, message: str |
     because the job passes over them several times and they must not change meanwhile."""
     spec = store.state(run_id).spec
     views = settled(views.select("frame", "center_re", "center_im", "width"))
-    counts = views.agg(F.count("*").alias("n"), F.count_distinct("frame").alias("frames")).first()
+    fits = F.col("frame").between(0, spec["n_frames"] - 1)
+    counts = views.agg(F.count("*").alias("n"), F.count_distinct("frame").alias("frames"),
+                       F.count_if(fits).alias("fitting")).first()
+    if counts["fitting"] != counts["n"]:
+        raise ValueError(f"views list frames outside 0..{spec['n_frames'] - 1}")
     if counts["n"] != counts["frames"]:
         raise ValueError("views list the same frame more than once")
     if counts["n"] == 0:

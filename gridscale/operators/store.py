@@ -1,15 +1,16 @@
 """A run store on plain Parquet: immutable data folders and an append-only commit log.
 
-Layout below the root::
+Layout below the root, one folder ``run_id=R/snapshot_id=S`` per commit in each table::
 
-    runs/run_id=R/snapshot_id=S/                  shape and kernel settings of a (re)created run
-    pixels/run_id=R/snapshot_id=S/frame_block=B/  cells of the frames one commit wrote
-    frames/run_id=R/snapshot_id=S/                view and cell count per written frame
-    commits/run_id=R/                             one row per commit
+    runs      shape and kernel settings of a (re)created run
+    pixels    cells of the frames the commit wrote, in folders frame_block=B
+    frames    view and cell count per written frame
+    commits   the log: one row per commit
 
 A commit writes its data folders first and its single log row last, as one file. Readers
-start from the log, so a job that dies midway leaves files nobody looks at. One driver at a
-time commits to a run; tasks of a commit run in parallel.
+start from the log, so a job that dies midway leaves files nobody looks at. No two commits
+share a folder, so several applications may commit to a run at once, as the workers of a
+fan-out do; commits that take the same number in the same instant are ordered by snapshot id.
 """
 
 from __future__ import annotations
@@ -75,9 +76,7 @@ class GridStore:
         check_mode(mode)
         snapshot = uuid.uuid4().hex
         per_block = max(1, CELLS_PER_BLOCK // (height * width_px))
-        spec = (run_id, height, width_px, n_frames, max_iter, mode, per_block, snapshot)
-        (self._one_row(spec, RUNS)
-         .write.partitionBy("run_id", "snapshot_id").mode("append").parquet(f"{self.root}/runs"))
+        self._write_row("runs", RUNS, (height, width_px, n_frames, max_iter, mode, per_block), run_id, snapshot)
         self._log(run_id, snapshot, CREATE_MESSAGE, 0, 0, 0.0)
         return snapshot
 
@@ -144,9 +143,10 @@ class GridStore:
         Frames not in ``cells`` are untouched. ``views`` supplies their centre and width.
         A cell outside the run's shape or the cell type fails the job before anything is
         committed, and so does a cell given twice, unless the caller vouches for ``unique``
-        input. ``ordered`` input (the kernel's) is written as it comes; other input is first
-        gathered by frame, in partitions that adaptive execution sizes and, for a frame
-        holding much of the data, splits.
+        cells. They are gathered by frame, in partitions that adaptive execution sizes and,
+        for a frame holding much of the data, splits. Cells that ``compute_frames`` made for
+        this run are right by construction and already ``ordered``: they are written as they
+        come.
         """
         if message == CREATE_MESSAGE:
             raise ValueError("that message marks the creation of a run")
@@ -156,8 +156,8 @@ class GridStore:
         path = f"{self.root}/pixels/run_id={run_id}/snapshot_id={snapshot}"
         started = time.perf_counter()
 
-        rows = cells.select("frame", "y", "x", _checked_cell(spec).alias("iterations"),
-                            _block(spec).alias("frame_block"))
+        value = F.col("iterations") if ordered else _checked_cell(spec)
+        rows = cells.select("frame", "y", "x", value.alias("iterations"), _block(spec).alias("frame_block"))
         if not ordered:
             rows = (rows.hint("rebalance", "frame_block", "frame")
                     .sortWithinPartitions("frame_block", "frame", "y", "x"))
@@ -178,7 +178,7 @@ class GridStore:
                      F.min("frame").alias("first")).first())
         if message is None:
             message = f"frame {done['first']:04d}" if done["frames"] == 1 else f"{done['frames']} frames"
-        self._log(run_id, snapshot, message, done["frames"], done["cells"], elapsed, after=state.head)
+        self._log(run_id, snapshot, message, done["frames"], done["cells"], elapsed)
         return snapshot
 
     def _write_frame_rows(self, run_id, snapshot, written, views):
@@ -192,12 +192,10 @@ class GridStore:
         (counted.select(*VIEWS.names, "n_cells")
          .write.mode("errorifexists").parquet(f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"))
 
-    def _log(self, run_id, snapshot, message, n_frames, n_cells, elapsed, after=None):
-        if after is None:
-            after = self.commits(run_id).agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
-        row = (after + 1, snapshot, message, n_frames, n_cells, float(elapsed), run_id)
-        (self._one_row(row, COMMITS)
-         .write.partitionBy("run_id").mode("append").parquet(f"{self.root}/commits"))
+    def _log(self, run_id, snapshot, message, n_frames, n_cells, elapsed):
+        before = self.commits(run_id).agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
+        row = (before + 1, message, n_frames, n_cells, float(elapsed))
+        self._write_row("commits", COMMITS, row, run_id, snapshot)
 
     # -- reading ---------------------------------------------------------------------
 
@@ -208,7 +206,8 @@ class GridStore:
                .filter((F.col("commit_seq") > state.created_at) & (F.col("commit_seq") <= state.head))
                .select("snapshot_id", "commit_seq"))
         frames = self._table("frames", FRAMES, run_id)
-        newest = F.max_by(F.struct("snapshot_id", "center_re", "center_im", "width", "n_cells"), "commit_seq")
+        newest = F.max_by(F.struct("snapshot_id", "center_re", "center_im", "width", "n_cells"),
+                          F.struct("commit_seq", "snapshot_id"))
         return (frames.join(log, "snapshot_id")
                 .groupBy("frame").agg(newest.alias("at"), F.max("commit_seq").alias("commit_seq"))
                 .select("frame", "at.*", "commit_seq"))
@@ -328,11 +327,6 @@ class GridStore:
         return runs.join(done, "run_id", "left").select(
             "run_id", "n_frames", "max_iter", F.coalesce("frames_done", F.lit(0)).alias("frames_done"))
 
-    def _one_row(self, values, schema):
-        """A single row in a single partition, hence a single file when written."""
-        return self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)])
-
     # -- files -----------------------------------------------------------------------
 
     def _pixels(self, run_id, snapshots=None):
@@ -351,6 +345,12 @@ class GridStore:
         reader = self.spark.read.schema(schema).option("basePath", whole)
         return self._or_empty(lambda: reader.parquet(path), schema)
 
+    def _write_row(self, name, schema, values, run_id, snapshot):
+        """A single row in a single partition, hence one file that appears at once."""
+        columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
+        (self.spark.range(0, 1, 1, 1).select(*columns)
+         .write.mode("errorifexists").parquet(f"{self.root}/{name}/run_id={run_id}/snapshot_id={snapshot}"))
+
     def _or_empty(self, open_table, schema):
         """A table without any commit has no folder yet."""
         try:

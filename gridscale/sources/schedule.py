@@ -13,6 +13,9 @@ from gridscale.schema import (
 )
 
 
+_SECTION = 10_000
+
+
 def _zoom_width(frame: Column, n_frames: Column, initial: Column, final: Column) -> Column:
     first, last = F.log10(initial), F.log10(final)
     return (
@@ -67,7 +70,14 @@ def schedules_from(params: DataFrame) -> DataFrame:
         given("initial_width", DEFAULT_INITIAL_WIDTH).alias("initial_width"),
         given("final_width", DEFAULT_FINAL_WIDTH).alias("final_width"),
     )
-    unfolded = requests.withColumn("frame", F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1)))
+    # Unfolded in two steps so that a very long run never becomes one array.
+    last = F.col("n_frames") - 1
+    first = F.col("section") * _SECTION
+    unfolded = (
+        requests
+        .withColumn("section", F.explode(F.sequence(F.lit(0), F.floor(last / _SECTION).cast("int"))))
+        .withColumn("frame", F.explode(F.sequence(first, F.least(first + (_SECTION - 1), last))))
+    )
     return unfolded.select(
         "run_id", "frame", "center_re", "center_im",
         _zoom_width(F.col("frame"), F.col("n_frames"), F.col("initial_width"), F.col("final_width")).alias("width"),

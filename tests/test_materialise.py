@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from conftest import as_set
@@ -41,6 +43,32 @@ def test_fan_out_equals_one_job(spark, store):
         fan_out(store, "fan", views, 8, 8)
 
 
+def test_workers_commit_at_the_same_time(spark, store):
+    views = zoom_schedule(spark, 8)
+    store.create_run("fan", 8, 5, 5, 30)
+    with ThreadPoolExecutor(4) as pool:
+        workers = [GridStore(spark, store.root) for _ in range(4)]
+        list(pool.map(lambda t: fan_out(workers[t], "fan", views, 4, t), range(4)))
+    assert store.commits("fan").count() == 5
+    assert as_set(store.read("fan"), *CELL) == as_set(compute_frames(views, 5, 5, 30), *CELL)
+    assert store.read("fan").count() == 200
+
+
+def test_same_number_is_ordered_by_snapshot(spark, store, monkeypatch):
+    store.create_run("r", 1, 1, 1)
+    cell = "frame INT, y INT, x INT, iterations INT"
+    store.write_frames("r", spark.createDataFrame([(0, 0, 0, 1)], cell))
+    before = GridStore._write_row
+
+    def same_number(self, name, schema, values, *where):
+        before(self, name, schema, (2, *values[1:]) if name == "commits" else values, *where)
+
+    monkeypatch.setattr(GridStore, "_write_row", same_number)
+    other = store.write_frames("r", spark.createDataFrame([(0, 0, 0, 2)], cell))
+    first = next(c["snapshot_id"] for c in store.commits("r").collect() if c["n_frames"] and c["snapshot_id"] != other)
+    assert [r["iterations"] for r in store.read("r").collect()] == [2 if other > first else 1]
+
+
 def test_pending_and_fill(spark, store):
     views = zoom_schedule(spark, 6)
     store.create_run("r", 6, 5, 5, 30)
@@ -73,6 +101,9 @@ def test_a_frame_listed_twice_is_refused(spark, store):
     store.create_run("r", 2, 4, 4, 10)
     with pytest.raises(ValueError, match="more than once"):
         materialise(store, "r", views.union(views))
+    with pytest.raises(ValueError, match="outside 0..1"):
+        materialise(store, "r", zoom_schedule(spark, 3))
+    assert store.commits("r").count() == 1
 
 
 def test_stream_equals_batch(spark, store, tmp_path):

@@ -65,3 +65,11 @@ def test_overrides_fall_back_one_by_one(spark):
     assert len(got) == 5
     assert got["a", 0]["width"] == pytest.approx(10.0) and got["a", 0]["center_im"] == 0.131825904205330
     assert got["b", 0]["width"] == pytest.approx(3.5) and got["b", 1]["center_im"] == 0.0
+
+
+def test_long_runs_unfold_in_sections(spark):
+    params = spark.createDataFrame([("a", 10_000), ("b", 10_001), ("c", 25_000)], "run_id STRING, n_frames INT")
+    got = schedules_from(params).groupBy("run_id").agg({"frame": "max", "*": "count"})
+    assert {tuple(r) for r in got.select("run_id", "max(frame)", "count(1)").collect()} == {
+        ("a", 9_999, 10_000), ("b", 10_000, 10_001), ("c", 24_999, 25_000)}
+    assert schedules_from(params).select("run_id", "frame").distinct().count() == 45_001
