@@ -37,7 +37,8 @@ def compute_frames(
     Only the tile rows are shuffled: each Python task derives the coordinates of its
     tiles, so no coordinate ever crosses the JVM boundary, and cells leave in frame
     order, ready to be written without another exchange. Filters on frames belong on
-    ``views``; nothing is pushed through the kernel.
+    ``views``; nothing is pushed through the kernel. The job passes over ``views`` up to
+    three times (counting, range bounds, work), so settle views that are costly to make.
     """
     check_max_iter(max_iter)
     check_mode(mode)

@@ -104,7 +104,10 @@ def frame_ranges(spark: SparkSession, n_frames: int, n_tasks: int) -> DataFrame:
 
 
 def split_frames(df: DataFrame, n_frames: int, n_tasks: int) -> DataFrame:
-    """Add ``task_index`` and place each frame range in the partition of that number."""
+    """Add ``task_index`` and place each frame range in the partition of that number.
+
+    Meant for views and other one-row-per-frame tables; cells of a frame would all land in
+    one partition."""
     keyed = df.withColumn("task_index", frame_range_key("frame", n_frames, n_tasks))
     return keyed.repartitionById(n_tasks, F.col("task_index"))
 
