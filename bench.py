@@ -76,9 +76,10 @@ def main() -> None:
         if not only or name in only:
             seconds[name] = timed(make)
             print(name, seconds[name], file=sys.stderr, flush=True)
+    scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"), "cpus": cpus,
+        "queries": seconds, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale, "cpus": cpus,
     }))
     spark.stop()
 

@@ -97,6 +97,10 @@ class GridStore:
         """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s``."""
         return self._table("commits", COMMITS, run_id)
 
+    def history(self, run_id: str) -> DataFrame:
+        """The commits of a run, oldest first."""
+        return self.commits(run_id).orderBy("commit_seq", "snapshot_id")
+
     def commit_frames(self, run_id: str | None = None) -> DataFrame:
         """The log by frame: one row per commit and frame it wrote. A commit's time is shared
         out over its frames by their cells."""

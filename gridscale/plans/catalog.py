@@ -233,7 +233,7 @@ def s6_read_as_of(spark, d):
 
 @query
 def s7_history(spark, d):
-    return (_event_store(spark, d, restated=True).commits("events")
+    return (_event_store(spark, d, restated=True).history("events")
             .select("commit_seq", "message", "n_frames", "n_cells"))
 
 

@@ -60,7 +60,7 @@ def test_history_latest_and_as_of(spark, store):
     store.write_frames("r", plane(spark, 0, 2, 1).union(plane(spark, 1, 2, 1)))
     store.write_frames("r", plane(spark, 1, 2, 9), message="second look")
     store.write_frames("r", plane(spark, 2, 2, 5))
-    log = [(c["commit_seq"], c["message"], c["n_frames"], c["n_cells"]) for c in store.commits("r").orderBy("commit_seq").collect()]
+    log = [(c["commit_seq"], c["message"], c["n_frames"], c["n_cells"]) for c in store.history("r").collect()]
     assert log == [(1, CREATE_MESSAGE, 0, 0), (2, "2 frames", 2, 8), (3, "second look", 1, 4), (4, "frame 0002", 1, 4)]
     assert as_set(store.read("r"), "frame", "iterations") == {(0, 1), (1, 9), (2, 5)}
     assert as_set(store.read("r", as_of=2), "frame", "iterations") == {(0, 1), (1, 1)}
