@@ -59,6 +59,11 @@ def test_declared_tolerance_holds_at_the_whole_set_view(view, mode):
     assert_runs_close(compute_frames(v, 32, 32, 64, mode), exact, *DECLARED_TOLERANCE[mode])
 
 
+def test_single_precision_holds_at_a_tenth(view):
+    v = view((-0.743643887037151, 0.131825904205330, 0.1))
+    assert_runs_close(compute_frames(v, 64, 64, 512, "float32"), compute_frames(v, 64, 64, 512, "exact"), 5.0, 1)
+
+
 def test_single_precision_drifts_when_zoomed_in(view):
     """Recorded, not promised: the declared limit does not survive the default final width."""
     v = view((-0.743643887037151, 0.131825904205330, 1e-3))

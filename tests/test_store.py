@@ -55,6 +55,15 @@ def test_a_cell_given_twice_is_refused(spark, store):
     assert store.read("r").count() == 0
 
 
+def test_an_empty_write_changes_nothing(spark, store):
+    store.create_run("r", 2, 2, 2)
+    store.write_frames("r", plane(spark, 0, 2, 4))
+    store.write_frames("r", plane(spark, 1, 2, 4).filter("iterations > 4"))
+    assert as_set(store.read("r"), *CELL) == {(0, y, x, 4) for y in range(2) for x in range(2)}
+    assert store.dense("r").filter("iterations = 4").count() == 4
+    assert store.history("r").collect()[-1]["n_cells"] == 0
+
+
 def test_history_latest_and_as_of(spark, store):
     store.create_run("r", 3, 2, 2)
     store.write_frames("r", plane(spark, 0, 2, 1).union(plane(spark, 1, 2, 1)))
