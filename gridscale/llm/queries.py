@@ -7,17 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gridscale.llm.decontamination import contamination_digests
+from gridscale.llm.quality import quality_verdicts
 from gridscale.llm.sentencepieces import code_digests
 from gridscale.llm.text import table
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, base rules and the trees' verdict of every document."""
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return code_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie within a window of a benchmark item."""
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_sentencepiece": op3_sentencepiece,
+    "op7_decontamination": op7_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
