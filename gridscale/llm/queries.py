@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gridscale.llm.chat import conversation_digests
 from gridscale.llm.decontamination import contamination_digests
+from gridscale.llm.languages import languages
 from gridscale.llm.quality import quality_verdicts
 from gridscale.llm.sentencepieces import code_digests
+from gridscale.llm.sharding import shard_documents
 from gridscale.llm.text import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rules and the trees' verdict of every document."""
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -23,14 +31,27 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, read back from its formatted form."""
+    return conversation_digests(table(spark, sf_dir, "conversations"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie within a window of a benchmark item."""
     return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_sharding": op5_sharding,
+    "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
 }
 
