@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from gridscale.llm.chat import conversation_digests
 from gridscale.llm.decontamination import contamination_digests
 from gridscale.llm.languages import languages
+from gridscale.llm.privacy import private_spans, span_digests
 from gridscale.llm.quality import quality_verdicts
 from gridscale.llm.sentencepieces import code_digests
 from gridscale.llm.sharding import shard_documents
 from gridscale.llm.text import table
+from gridscale.llm.tokencounts import token_totals
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +48,16 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and of its sections."""
+    return token_totals(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and revealing terms in every document."""
+    return span_digests(private_spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -53,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
+    "op8_token_counts": op8_token_counts,
+    "op10_privacy": op10_privacy,
 }
 
 ORACLES: dict[str, str] = {}
