@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridscale.llm.chat import conversation_digests
 from gridscale.llm.decontamination import contamination_digests
+from gridscale.llm.jaccard import jaccard_components
 from gridscale.llm.languages import languages
 from gridscale.llm.privacy import private_spans, span_digests
 from gridscale.llm.quality import quality_verdicts
@@ -33,6 +34,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets have a similarity of 0.8 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return shard_documents(table(spark, sf_dir, "documents"), 8)
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard": op4_jaccard,
     "op5_sharding": op5_sharding,
     "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
