@@ -4,11 +4,46 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridscale.llm.decontamination import contamination
+from gridscale.llm.jaccard import jaccard_components
+from gridscale.llm.languages import UNDETERMINED, fit_languages, held_out, predict_languages
+from gridscale.llm.privacy import sanitise
 from gridscale.llm.sentencepieces import code_digests
-from gridscale.llm.text import stored
+from gridscale.llm.text import stored, table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: Below this score no language claims a text: even the best margin is nearer to "not this one".
+LEAST_SCORE = 0.25
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is kept. Rows without an id cannot be told apart and go; of rows with equal ids
+    all stay or go."""
+    return docs.join(kept.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").select(docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in one of the languages learned from those not held out; texts without letters go."""
+    named = predict_languages(docs, fit_languages(docs.where(~held_out())))
+    return _only(docs, named.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies."""
+    kept = jaccard_components(docs).where("doc_id = component_id")
+    return _only(docs.dropDuplicates(["doc_id"]), kept)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents without a passage of the benchmark."""
+    return _only(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("size(hits) = 0"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, its personal data and the terms that reveal them replaced."""
+    return sanitise(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,16 +52,20 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language id", language_id),
+    ("n-gram jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("pii", private_data),
     ("sentencepiece", encode),
 ]
 
-#: The stages learn models and count whole texts, which SQL cannot express.
+#: The stages learn a model, follow links and count co-occurrences over whole texts, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written before the next stage reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

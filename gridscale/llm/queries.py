@@ -15,6 +15,7 @@ from gridscale.llm.privacy import private_spans, span_digests
 from gridscale.llm.quality import quality_verdicts
 from gridscale.llm.sentencepieces import code_digests
 from gridscale.llm.sharding import shard_documents
+from gridscale.llm.suffixes import repeat_digests
 from gridscale.llm.text import table
 from gridscale.llm.tokencounts import token_totals
 
@@ -59,6 +60,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_totals(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur twice."""
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and revealing terms in every document."""
     return span_digests(private_spans(table(spark, sf_dir, "documents")))
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_privacy": op10_privacy,
 }
 
