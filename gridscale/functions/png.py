@@ -44,22 +44,19 @@ def join_checksums(first: int, second: int, second_length: int) -> int:
     return (b << 16) | a
 
 
-def assemble(height: int, width: int, bands) -> bytes:
-    """A whole image from ``(deflated, checksum, raw_length)`` bands in row order."""
-    parts = [header(height, width), chunk(b"IDAT", b"\x78\x9c")]
+def trailer(bands) -> bytes:
+    """The end of the data and of the image, from ``(checksum, raw_length)`` of the bands in row order."""
     checksum = 1
-    for deflated, band_sum, raw_length in bands:
-        parts.append(chunk(b"IDAT", deflated))
+    for band_sum, raw_length in bands:
         checksum = join_checksums(checksum, band_sum, raw_length)
-    parts.append(chunk(b"IDAT", b"\x03\x00" + struct.pack(">I", checksum)))
-    parts.append(chunk(b"IEND", b""))
-    return b"".join(parts)
+    return chunk(b"IDAT", b"\x03\x00" + struct.pack(">I", checksum)) + chunk(b"IEND", b"")
 
 
 def encode(rgb: np.ndarray) -> bytes:
     h, w, _ = rgb.shape
     raw = scanlines(rgb)
-    return assemble(h, w, [(deflate_band(raw), zlib.adler32(raw), len(raw))])
+    return (header(h, w) + chunk(b"IDAT", b"\x78\x9c") + chunk(b"IDAT", deflate_band(raw))
+            + trailer([(zlib.adler32(raw), len(raw))]))
 
 
 def decode(png: bytes) -> np.ndarray:

@@ -42,11 +42,11 @@ def compute_frames(
     """
     check_max_iter(max_iter)
     check_mode(mode)
-    if n_tiles is None:
-        n_tiles = default_tiles(height, width_px)
     if n_frames is None:
         n_frames = views.count()
-    n_tasks = grid_tasks(views.sparkSession, n_frames * height * width_px)
+    n_tasks = grid_tasks(views.sparkSession, n_frames * height * width_px, max_iter)
+    if n_tiles is None:
+        n_tiles = default_tiles(height, width_px, -(-n_tasks // max(n_frames, 1)))
 
     tiles = tile_grid(views.select("frame", "center_re", "center_im", "width"), height, width_px, n_tiles)
     if n_tasks > 1:

@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from gridscale.functions import png
 from gridscale.operators.stats import largest_count
 from gridscale.schema import CELLS_PER_TILE
-from gridscale.session import settled
+from gridscale.session import folder_names, settled
 
 MAX_BINS = 65_536
-MAX_IMAGE_CELLS = 1 << 28  # above this one image value would near the 2 GiB limit of a cell
+MAX_IMAGE_CELLS = 1 << 24  # 50 MB of pixels in one value
 TILE_SIZE = 256
 
 TILES = T.StructType([
@@ -52,13 +52,20 @@ def normalise_per_frame(cells: DataFrame) -> DataFrame:
 
 
 def apply_palette(cells: DataFrame, palette: DataFrame) -> DataFrame:
-    """Add ``r, g, b`` for ``v`` in [0, 1]: bin ``int(v * n)``, the top edge in the last bin."""
-    n_bins = palette.limit(MAX_BINS + 1).count()
-    if not 1 <= n_bins <= MAX_BINS:
-        raise ValueError(f"a palette has 1 to {MAX_BINS} bins")
-    bins = F.least((F.col("v") * n_bins).cast("int"), F.lit(n_bins - 1))
+    """Add ``r, g, b`` for ``v``: bin ``int(v * n)``, the top edge in the last bin.
+
+    Values outside 0..1 take the colour of the nearer end, NULL and NaN have none; every cell keeps its row. The
+    palette must hold the bins 0..n-1 once each, at most ``MAX_BINS``, which bounds its broadcast.
+    """
+    seen = palette.limit(MAX_BINS + 1).agg(
+        F.count("*").alias("n"), F.count_distinct("bin").alias("bins"), F.min("bin").alias("low"), F.max("bin").alias("high")).first()
+    n_bins = seen["n"]
+    if not 1 <= n_bins <= MAX_BINS or (seen["bins"], seen["low"], seen["high"]) != (n_bins, 0, n_bins - 1):
+        raise ValueError(f"a palette has the bins 0 to n - 1, once each, and at most {MAX_BINS}")
+    v = F.when(~F.isnan("v"), F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)))
+    bins = F.when(v.isNotNull(), F.least((v * n_bins).cast("int"), F.lit(n_bins - 1)))
     return (cells.withColumn("bin", bins)
-            .join(F.broadcast(palette.select("bin", "r", "g", "b")), "bin").drop("bin"))
+            .join(F.broadcast(palette.select("bin", "r", "g", "b")), "bin", "left").drop("bin"))
 
 
 def flip_rows(cells: DataFrame, height: int) -> DataFrame:
@@ -80,16 +87,15 @@ def pad_even(cells: DataFrame, height: int, width_px: int) -> DataFrame:
     return cells
 
 
-def frame_images(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
-    """``(frame, png)``: every frame as one PNG; cells that are absent stay black.
+def image_parts(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
+    """``(frame, part, bytes)``: every frame as one PNG in parts that are concatenated in order.
 
-    Bands of a frame are deflated in separate groups of bounded size and only their
-    compressed bytes meet again, so a large frame is not gathered as pixels. Frames too
-    large for one binary value belong in ``tile_images``.
+    Part 0 is the header, then comes one part per band of rows, then the trailer. Bands are deflated in separate groups
+    of bounded size, and only their checksums and lengths meet for the trailer, so no task holds a
+    frame. Cells that are absent stay black; one outside the frame is an error.
     """
-    if height * width_px > MAX_IMAGE_CELLS:
-        raise ValueError(f"{height} x {width_px} is too large for one image; cut it with tile_images")
     band_rows = max(1, CELLS_PER_TILE // width_px)
+    n_bands = -(-height // band_rows)
     band_type = T.StructType([
         T.StructField("frame", T.IntegerType()), T.StructField("band", T.IntegerType()),
         T.StructField("deflated", T.BinaryType()), T.StructField("checksum", T.LongType()),
@@ -98,51 +104,61 @@ def frame_images(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
 
     def pack_band(key, cells):
         frame, band = (k.as_py() for k in key)
-        top = band * band_rows
-        raw = png.scanlines(_canvas(cells, min(band_rows, height - top), width_px))
+        rows = min(band_rows, height - band * band_rows)
+        raw = png.scanlines(_canvas(cells, rows, width_px))
         return pa.table({
             "frame": pa.array([frame], pa.int32()), "band": pa.array([band], pa.int32()),
-            "deflated": pa.array([png.deflate_band(raw)], pa.binary()),
+            "deflated": pa.array([png.chunk(b"IDAT", png.deflate_band(raw))], pa.binary()),
             "checksum": pa.array([zlib.adler32(raw)], pa.int64()),
             "raw_length": pa.array([len(raw)], pa.int64()),
         })
 
     @F.arrow_udf("binary")
-    def assemble(bands: pa.Array) -> pa.Array:
-        images = []
-        for frame_bands in bands:
-            known = {b["band"]: (b["deflated"], b["checksum"], b["raw_length"]) for b in frame_bands.as_py()}
-            images.append(png.assemble(height, width_px, [
-                known.get(i) or _black_band(min(band_rows, height - i * band_rows), width_px)
-                for i in range(-(-height // band_rows))]))
-        return pa.array(images, pa.binary())
-
-    packed = (rgb.select("frame", F.floor(F.col("y") / band_rows).cast("int").alias("band"),
-                         *_pixel((F.col("y") % band_rows) * width_px + F.col("x")))
-              .groupBy("frame", "band").applyInArrow(pack_band, band_type))
-    bands = F.collect_list(F.struct("band", "deflated", "checksum", "raw_length"))
-    return packed.groupBy("frame").agg(bands.alias("bands")).select("frame", assemble("bands").alias("png"))
-
-
-def _pixel(at):
+    def trailer(sums: pa.Array) -> pa.Array:
+        return pa.array([png.trailer([(b["checksum"], b["raw_length"]) for b in sorted(bands.as_py(), key=lambda b: b["band"])]) for bands in sums],
+                        pa.binary())
+
+    inside = F.col("y").between(0, height - 1) & F.col("x").between(0, width_px - 1)
+    at = (F.col("y") % band_rows) * width_px + F.col("x")
+    given = rgb.select("frame", F.floor(F.col("y") / band_rows).cast("int").alias("band"), *_pixel(at, inside))
+    # An empty list of pixels for every band, so that bands without cells come out black.
+    bands = rgb.select("frame").distinct().withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(n_bands - 1))))
+    given = given.unionByName(bands.select("frame", "band", F.lit(-1).alias("at"), F.lit(0).alias("rgb")))
+    packed = settled(given.groupBy("frame", "band").applyInArrow(pack_band, band_type))
+    ends = packed.groupBy("frame").agg(F.collect_list(F.struct("band", "checksum", "raw_length")).alias("sums"))
+    head = F.lit(png.header(height, width_px) + png.chunk(b"IDAT", b"\x78\x9c"))
+    return (packed.select("frame", (F.col("band") + 1).alias("part"), F.col("deflated").alias("bytes"))
+            .unionByName(ends.select("frame", F.lit(0).alias("part"), head.alias("bytes")))
+            .unionByName(ends.select("frame", F.lit(n_bands + 1).alias("part"), trailer("sums").alias("bytes"))))
+
+
+def frame_images(rgb: DataFrame, height: int, width_px: int) -> DataFrame:
+    """``(frame, png)``: the parts of ``image_parts`` as one value, for frames of up to ``MAX_IMAGE_CELLS``
+    cells (at most 50 MB). Larger ones stay in parts, or are cut by ``tile_images``."""
+    if height * width_px > MAX_IMAGE_CELLS:
+        raise ValueError(f"{height} x {width_px} is too large for one value; use image_parts or tile_images")
+    parts = image_parts(rgb, height, width_px).groupBy("frame").agg(F.array_sort(F.collect_list(F.struct("part", "bytes"))).alias("parts"))
+    joined = F.aggregate("parts", F.lit(b""), lambda done, p: F.concat(done, p["bytes"]))
+    return parts.select("frame", joined.alias("png"))
+
+
+def _pixel(at, inside):
     """Position and colour of a pixel as two integers, to keep the shuffle narrow."""
     colour = F.shiftleft("r", 16).bitwiseOR(F.shiftleft("g", 8)).bitwiseOR(F.col("b"))
-    return at.cast("int").alias("at"), colour.cast("int").alias("rgb")
+    at = F.when(inside, at.cast("int")).otherwise(F.raise_error(F.concat_ws(
+        " ", F.lit("pixel outside the image: y, x ="), F.col("y").cast("string"), F.col("x").cast("string"))))
+    return at.alias("at"), F.coalesce(colour, F.lit(0)).cast("int").alias("rgb")
 
 
 def _canvas(pixels, rows, width_px):
     canvas = np.zeros((rows * width_px, 3), dtype=np.uint8)
     at, rgb = pixels["at"].to_numpy(), pixels["rgb"].to_numpy()
+    at, rgb = at[at >= 0], rgb[at >= 0]
     for channel, shift in enumerate((16, 8, 0)):
         canvas[at, channel] = rgb >> shift & 0xFF
     return canvas.reshape(rows, width_px, 3)
 
 
-def _black_band(rows, width_px):
-    raw = png.scanlines(np.zeros((rows, width_px, 3), dtype=np.uint8))
-    return png.deflate_band(raw), zlib.adler32(raw), len(raw)
-
-
 def pyramid_levels(height: int, width_px: int, tile_size: int = TILE_SIZE) -> int:
     """How many halvings until the picture fits one tile."""
     levels = 0
@@ -163,13 +179,15 @@ def build_pyramid(cells: DataFrame, path: str, run_id: str, height: int, width_p
 
     Level ``z = 0`` fits one tile, the last one is full resolution. Every level is halved
     from the written level below it, so the work adds up to a third of the base and no
-    level recomputes another. The run's folder is replaced.
+    level recomputes another. All levels go to a new version folder, which is named in ``built`` last, so
+    a rebuilt run has no level of the old one, and one that failed midway leaves it as it was.
     """
     spark = cells.sparkSession
     top = pyramid_levels(height, width_px, tile_size)
+    version = max(_versions(spark, path, run_id), default=0) + 1
     level = flip_rows(cells, height).select("frame", "y", "x", F.col("iterations").alias("value"))
     for z in range(top, -1, -1):
-        folder = f"{path}/run_id={run_id}/z={z}"
+        folder = f"{path}/levels/run_id={run_id}/version={version}/z={z}"
         (level.select(
             "frame",
             F.floor(F.col("y") / tile_size).cast("int").alias("tile_y"),
@@ -186,11 +204,26 @@ def build_pyramid(cells: DataFrame, path: str, run_id: str, height: int, width_p
             (F.col("tile_y") * tile_size + F.col("y")).alias("y"),
             (F.col("tile_x") * tile_size + F.col("x")).alias("x"),
             "value"))
-    return read_pyramid(spark, path).filter(F.col("run_id") == run_id)
+    spark.range(1).write.mode("overwrite").parquet(f"{path}/built/run_id={run_id}/version={version}")
+    return read_pyramid(spark, path, run_id)
+
+
+def _versions(spark: SparkSession, path: str, run_id: str) -> list[int]:
+    """Versions of a run's pyramid that are complete."""
+    built = f"{path}/built/run_id={run_id}"
+    return [int(n.removeprefix("version=")) for n in folder_names(spark, built)
+            if any(f.startswith("part-") for f in folder_names(spark, f"{built}/{n}"))]
 
 
-def read_pyramid(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TILES).parquet(path)
+def read_pyramid(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """The newest pyramid of one run, or of every run."""
+    runs = [run_id] if run_id is not None else [n.removeprefix("run_id=") for n in folder_names(spark, f"{path}/built")]
+    newest = {r: max(_versions(spark, path, r), default=0) for r in runs}
+    paths = [f"{path}/levels/run_id={r}/version={v}" for r, v in newest.items() if v]
+    if not paths:
+        return spark.createDataFrame([], TILES)
+    schema = T.StructType([*TILES.fields, T.StructField("version", T.IntegerType())])
+    return spark.read.schema(schema).option("basePath", f"{path}/levels").parquet(*paths).drop("version")
 
 
 def find_tile(pyramid: DataFrame, run_id: str, z: int, x: int, y: int, frame: int | None = None) -> DataFrame:
@@ -211,17 +244,21 @@ def tile_images(rgb_tiles: DataFrame, tile_size: int = TILE_SIZE) -> DataFrame:
         columns = {name: pa.array([k.as_py()], k.type) for name, k in zip(keys, key)}
         return pa.table({**columns, "png": pa.array([image], pa.binary())})
 
-    pixels = rgb_tiles.select(*keys, *_pixel(F.col("y") * tile_size + F.col("x")))
+    inside = F.col("y").between(0, tile_size - 1) & F.col("x").between(0, tile_size - 1)
+    pixels = rgb_tiles.select(*keys, *_pixel(F.col("y") * tile_size + F.col("x"), inside))
     return pixels.groupBy(*keys).applyInArrow(pack, out)
 
 
 def image_cells(images: DataFrame) -> DataFrame:
-    """Decode ``(frame, png)`` back into ``(frame, y, x, r, g, b)``, e.g. to check stored images."""
-    out = T.StructType([T.StructField(n, T.IntegerType()) for n in ("frame", "y", "x", "r", "g", "b")])
+    """Decode images back into cells, e.g. to check stored ones: ``png`` becomes ``y, x, r, g, b``, the other
+    columns stay."""
+    keys = [f for f in images.schema.fields if f.name != "png"]
+    out = T.StructType(keys + [T.StructField(n, T.IntegerType()) for n in ("y", "x", "r", "g", "b")])
+    names = [f.name for f in keys]
 
     def unpack(batches):
         for batch in batches:
-            for frame, image in zip(batch["frame"].to_pylist(), batch["png"].to_pylist()):
+            for row, image in enumerate(batch["png"].to_pylist()):
                 pixels = png.decode(image)
                 h, w, _ = pixels.shape
                 step = max(1, CELLS_PER_TILE // w)
@@ -230,10 +267,10 @@ def image_cells(images: DataFrame) -> DataFrame:
                     n = part.shape[0] * w
                     flat = part.reshape(n, 3).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(n, frame, dtype=np.int32)),
+                        *(pa.repeat(batch[name][row], n) for name in names),
                         pa.array(np.repeat(np.arange(top, top + part.shape[0], dtype=np.int32), w)),
                         pa.array(np.tile(np.arange(w, dtype=np.int32), part.shape[0])),
                         *[pa.array(np.ascontiguousarray(flat[:, c])) for c in range(3)],
                     ], names=out.names)
 
-    return images.select("frame", "png").mapInArrow(unpack, out)
+    return images.select(*names, "png").mapInArrow(unpack, out)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_SECTION = 65_536
+
 
 def frame_stats(cells: DataFrame, max_iter: int, by: tuple[str, ...] = ("frame",)) -> DataFrame:
     """Per frame: range, cell count, array shape and how many cells are in the set."""
@@ -37,34 +39,40 @@ def mixed_frames(cells: DataFrame, max_iter: int) -> DataFrame:
 
 
 def check_views(views: DataFrame) -> DataFrame:
-    """Per run: are all views complete, and is the centre the same throughout?"""
+    """Per run: are all views complete (neither NULL nor NaN), and is the centre the same throughout?"""
+    absent = [F.col(c).isNull() | F.isnan(c) for c in ("center_re", "center_im", "width")]
     return _with_run(views).groupBy("run_id").agg(
         F.count("*").alias("n_frames"),
-        F.count_if(F.col("center_re").isNull() | F.col("center_im").isNull() | F.col("width").isNull())
-        .alias("missing"),
-        F.coalesce((F.min("center_re") == F.max("center_re")) & (F.min("center_im") == F.max("center_im")),
-                   F.lit(False)).alias("center_constant"),
+        F.count_if(absent[0] | absent[1] | absent[2]).alias("missing"),
+        F.coalesce((F.min("center_re") == F.max("center_re")) & (F.min("center_im") == F.max("center_im"))
+                   & (F.count_if(absent[0] | absent[1]) == 0), F.lit(False)).alias("center_constant"),
     )
 
 
 def check_widths_decrease(views: DataFrame) -> DataFrame:
-    """Per run: how many frames are not strictly narrower than the frame before them."""
+    """Per run: how many frames are not strictly narrower than the frame before them, in order of frame
+    numbers whatever their gaps. A run of one frame has no steps and passes; a width that is NULL or NaN
+    fails its steps."""
     steps = _with_next(views)
-    rising = F.count_if(F.col("next_width") >= F.col("width"))
+    wrong = F.count_if(F.col("next").isNotNull() & ~F.coalesce(F.col("next.width") < F.col("width"), F.lit(False)))
     return steps.groupBy("run_id").agg(
-        F.count("*").alias("n_steps"), rising.alias("not_decreasing"), (rising == 0).alias("decreasing"))
+        F.count("next").alias("n_steps"), wrong.alias("not_decreasing"), (wrong == 0).alias("decreasing"))
 
 
 def check_widths_log_uniform(views: DataFrame, rtol: float = 1e-10, atol: float = 1e-8) -> DataFrame:
     """Per run: is every step of ``ln(width)`` within tolerance of the mean step?
 
-    Only the extreme steps can leave the tolerance, so one aggregate decides it."""
-    steps = _with_next(views).withColumn("step", F.ln("next_width") - F.ln("width"))
+    Only the extreme steps can leave the tolerance, so one aggregate decides it. A run without steps passes;
+    one with a step that has no logarithm does not."""
+    known = F.col("next").isNotNull()
+    step = F.ln(F.col("next.width")) - F.ln("width")
+    steps = _with_next(views).select("run_id", known.alias("known"), F.when(known, step).alias("step"))
     mean = F.avg("step")
     furthest = F.greatest(F.max("step") - mean, mean - F.min("step"))
+    odd = F.count_if(F.col("known") & (F.col("step").isNull() | F.isnan("step")))
     return steps.groupBy("run_id").agg(
-        F.count("*").alias("n_steps"), mean.alias("mean_step"),
-        (furthest <= F.lit(atol) + F.lit(rtol) * F.abs(mean)).alias("log_uniform"))
+        F.count_if("known").alias("n_steps"), mean.alias("mean_step"),
+        ((odd == 0) & (F.coalesce(furthest, F.lit(0.0)) <= F.lit(atol) + F.lit(rtol) * F.abs(F.coalesce(mean, F.lit(0.0))))).alias("log_uniform"))
 
 
 def _with_run(views):
@@ -72,8 +80,13 @@ def _with_run(views):
 
 
 def _with_next(views):
-    """Pair every frame with its successor by an equi-join on the frame number: unlike a
-    window over a run, no task has to hold a whole run."""
-    views = _with_run(views).select("run_id", "frame", "width")
-    following = views.select("run_id", (F.col("frame") - 1).alias("frame"), F.col("width").alias("next_width"))
-    return views.join(following, ["run_id", "frame"])
+    """Every frame with the width of the next one in order (``next``: NULL after the last).
+
+    Neighbours are found within sections of frame numbers, and the sections, one row each, are chained by a second
+    window, so that no task has to hold a whole run."""
+    views = _with_run(views).select("run_id", "frame", "width", F.expr(f"frame div {_SECTION}").alias("section"))
+    width = F.struct("width")
+    inner = views.withColumn("next", F.lead(width).over(Window.partitionBy("run_id", "section").orderBy("frame")))
+    heads = views.groupBy("run_id", "section").agg(F.min_by(width, "frame").alias("head"))
+    heads = heads.select("run_id", "section", F.lead("head").over(Window.partitionBy("run_id").orderBy("section")).alias("following"))
+    return inner.join(heads, ["run_id", "section"]).select("run_id", "frame", "width", F.coalesce("next", "following").alias("next"))

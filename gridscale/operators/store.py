@@ -1,16 +1,16 @@
-"""A run store on plain Parquet: immutable data folders and an append-only commit log.
+"""A run store on plain Parquet: immutable data folders and a log that names them.
 
-Layout below the root, one folder ``run_id=R/snapshot_id=S`` per commit in each table::
+Layout below the root::
 
-    runs      shape and kernel settings of a (re)created run
-    pixels    cells of the frames the commit wrote, in folders frame_block=B
-    frames    view and cell count per written frame
-    commits   the log: one row per commit
+    pixels/run_id=R/snapshot_id=S/frame_block=B   cells that one commit wrote
+    frames/run_id=R/snapshot_id=S                 view and cell count of each frame it wrote
+    commits/run_id=R/version=N                    the whole log after N commits, as one file
 
-A commit writes its data folders first and its single log row last, as one file. Readers
-start from the log, so a job that dies midway leaves files nobody looks at. No two commits
-share a folder, so several applications may commit to a run at once, as the workers of a
-fan-out do; commits that take the same number in the same instant are ordered by snapshot id.
+A commit writes its data folders first and the next version of the log last, as one file that appears at
+once. Readers take the newest version and open exactly the folders it names, so a job that dies
+midway leaves files nobody looks at, and a folder that is named but gone is an error. Each run has
+one committer at a time; a second one that takes the same version number fails and changes nothing.
+Workers only *stage* data: they write folders and hand back what a commit needs to name them.
 """
 
 from __future__ import annotations
@@ -24,26 +24,24 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from gridscale.schema import (
-    BROADCAST_ROWS,
-    CELL_MAX,
-    CELLS,
-    CELLS_PER_BLOCK,
-    COMMITS,
-    FRAMES,
-    PIXELS,
-    RUNS,
-    VIEWS,
-    check_max_iter,
-    check_mode,
-)
-from gridscale.session import session_setting
+from gridscale.schema import CELL_MAX, CELLS, CELLS_PER_BLOCK, COMMITS, FRAMES, PIXELS, VIEWS, check_max_iter, check_mode
+from gridscale.session import folder_names
 from gridscale.sources.grid import grid_tasks, missing_cells
 
 CREATE_MESSAGE = "create run"
 
+#: Cells whose presence one bitmap records when repeated cells are looked for.
+BITMAP_CELLS = 8 * 4096
 
-MAX_LISTED_COMMITS = 1000
+
+class Staged(NamedTuple):
+    """Frames that are written and not yet part of a run."""
+
+    snapshot_id: str
+    message: str
+    n_frames: int
+    n_cells: int
+    elapsed_s: float
 
 
 class RunState(NamedTuple):
@@ -52,15 +50,13 @@ class RunState(NamedTuple):
     spec: Row
     created_at: int
     head: int
-    frame_rows: int  # frames written since creation, a frame counting once per commit
-    snapshots: tuple[str, ...] | None  # the commits that wrote them, unless there are very many
+    commits: tuple[Row, ...]  # those since the creation that wrote frames, oldest first
 
 
 class GridStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._specs: dict[str, Row] = {}
 
     # -- creating runs ---------------------------------------------------------------
 
@@ -76,8 +72,9 @@ class GridStore:
         check_mode(mode)
         snapshot = uuid.uuid4().hex
         per_block = max(1, CELLS_PER_BLOCK // (height * width_px))
-        self._write_row("runs", RUNS, (height, width_px, n_frames, max_iter, mode, per_block), run_id, snapshot)
-        self._log(run_id, snapshot, CREATE_MESSAGE, 0, 0, 0.0)
+        self._append(run_id, [{
+            "snapshot_id": snapshot, "message": CREATE_MESSAGE, "n_frames": 0, "n_cells": 0, "elapsed_s": 0.0,
+            "spec": (height, width_px, n_frames, max_iter, mode, per_block)}])
         return snapshot
 
     def create_run_if_absent(self, run_id: str, n_frames: int, height: int, width_px: int,
@@ -89,175 +86,193 @@ class GridStore:
         return True
 
     def exists(self, run_id: str) -> bool:
-        return not self.commits(run_id).filter(F.col("message") == CREATE_MESSAGE).isEmpty()
+        return self._newest(run_id) > 0
 
     # -- the log ---------------------------------------------------------------------
 
     def commits(self, run_id: str | None = None) -> DataFrame:
-        """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s``."""
-        return self._table("commits", COMMITS, run_id)
+        """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s`` and, for the
+        commits that create a run, its ``spec``."""
+        whole = f"{self.root}/commits"
+        runs = [run_id] if run_id is not None else [n.removeprefix("run_id=") for n in folder_names(self.spark, whole)]
+        paths = [f"{whole}/run_id={r}/version={v}" for r in runs if (v := self._newest(r))]
+        if not paths:
+            return self.spark.createDataFrame([], COMMITS)
+        return self.spark.read.schema(COMMITS).option("basePath", whole).parquet(*paths).drop("version")
 
     def history(self, run_id: str) -> DataFrame:
         """The commits of a run, oldest first."""
-        return self.commits(run_id).orderBy("commit_seq", "snapshot_id")
+        return self.commits(run_id).drop("spec").orderBy("commit_seq")
 
-    def commit_frames(self, run_id: str | None = None) -> DataFrame:
+    def commit_frames(self, run_id: str) -> DataFrame:
         """The log by frame: one row per commit and frame it wrote. A commit's time is shared
         out over its frames by their cells."""
-        frames = self._table("frames", FRAMES, run_id)
-        log = self.commits(run_id).select("run_id", "snapshot_id", "commit_seq", "message",
-                                          (F.col("elapsed_s") / F.nullif("n_cells", F.lit(0))).alias("per_cell"))
-        return (frames.join(log, ["run_id", "snapshot_id"])
+        rows = [r for r in self._log(run_id) if r["n_frames"]]
+        log = self._commit_table(rows).withColumn("per_cell", F.col("elapsed_s") / F.nullif("n_cells", F.lit(0))).drop("n_frames", "n_cells", "elapsed_s")
+        return (self._frame_rows(run_id, rows).join(log, "snapshot_id")
                 .withColumn("elapsed_s", F.col("n_cells") * F.col("per_cell")).drop("per_cell"))
 
-    def state(self, run_id: str, as_of: int | None = None) -> RunState:
-        log = self.commits(run_id)
-        if as_of is not None:
-            log = log.filter(F.col("commit_seq") <= as_of)
-        is_create = F.col("message") == CREATE_MESSAGE
-        created = log.filter(is_create).orderBy(F.desc("commit_seq")).limit(1)
-        newest = log.orderBy(F.desc("commit_seq")).limit(MAX_LISTED_COMMITS + 1)
-        columns = ["commit_seq", "snapshot_id", "n_frames", is_create.alias("created")]
-        rows = created.select(*columns).union(newest.select(*columns)).collect()
-        if not rows or not any(r["created"] for r in rows):
+    def state(self, run_id: str, as_of: int | str | None = None) -> RunState:
+        """The run at its newest commit, or at the commit of that number or snapshot id.
+
+        The driver holds one row per commit of the run, because it has to name their folders."""
+        rows = self._log(run_id)
+        if isinstance(as_of, str):
+            as_of = next((r["commit_seq"] for r in rows if r["snapshot_id"] == as_of), None)
+            if as_of is None:
+                raise ValueError(f"run {run_id!r} has no such snapshot")
+        rows = [r for r in rows if as_of is None or r["commit_seq"] <= as_of]
+        created = next((r for r in reversed(rows) if r["message"] == CREATE_MESSAGE), None)
+        if created is None:
             raise ValueError(f"no run {run_id!r} in {self.root}")
-        start = max((r for r in rows if r["created"]), key=lambda r: r["commit_seq"])
-        head = max(r["commit_seq"] for r in rows)
-        since = [r for r in rows if r["commit_seq"] > start["commit_seq"]]
-        if len(since) <= MAX_LISTED_COMMITS:
-            snapshots, frame_rows = tuple(r["snapshot_id"] for r in since), sum(r["n_frames"] for r in since)
-        else:
-            snapshots = None
-            frame_rows = log.filter(F.col("commit_seq") > start["commit_seq"]).agg(F.sum("n_frames")).first()[0]
-        return RunState(self._spec(run_id, start["snapshot_id"]), start["commit_seq"], head, frame_rows, snapshots)
+        since = tuple(r for r in rows if r["commit_seq"] > created["commit_seq"] and r["n_frames"])
+        return RunState(created["spec"], created["commit_seq"], rows[-1]["commit_seq"], since)
+
+    def _log(self, run_id: str) -> list[Row]:
+        return sorted(self.commits(run_id).collect(), key=lambda r: r["commit_seq"])
+
+    def _append(self, run_id: str, entries: list[dict]) -> None:
+        """The log with more rows, as its next version."""
+        version = self._newest(run_id)
+        more = [(version + k + 1, e["message"], e["n_frames"], e["n_cells"], float(e["elapsed_s"]), e.get("spec"), e["snapshot_id"]) for k, e in enumerate(entries)]
+        columns = [f.name for f in COMMITS if f.name not in ("run_id", "version")]
+        rows = self.spark.createDataFrame(more, _fields(COMMITS, columns))
+        if version:
+            rows = self.commits(run_id).select(*columns).unionByName(rows)
+        path = f"{self.root}/commits/run_id={run_id}/version={version + len(entries)}"
+        try:
+            rows.coalesce(1).write.mode("errorifexists").parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise RuntimeError(f"run {run_id!r} has another committer; nothing was committed") from e
 
-    def _spec(self, run_id, snapshot):
-        """Shape and settings of a run; written once per snapshot, hence safe to remember."""
-        if snapshot not in self._specs:
-            runs = self._table("runs", RUNS, run_id)
-            self._specs[snapshot] = runs.filter(F.col("snapshot_id") == snapshot).first()
-        return self._specs[snapshot]
+    def _newest(self, run_id: str) -> int:
+        """The newest version of a run's log whose file is complete; 0 without any."""
+        whole = f"{self.root}/commits/run_id={run_id}"
+        for version in sorted((int(n.removeprefix("version=")) for n in folder_names(self.spark, whole)), reverse=True):
+            if any(n.startswith("part-") for n in folder_names(self.spark, f"{whole}/version={version}")):
+                return version
+        return 0
 
     # -- writing ---------------------------------------------------------------------
 
     def write_frames(self, run_id: str, cells: DataFrame, views: DataFrame | None = None,
-                     message: str | None = None, unique: bool = False, ordered: bool = False) -> str:
-        """Write the frames found in ``cells`` as one commit and return its snapshot id.
-
-        Frames not in ``cells`` are untouched. ``views`` supplies their centre and width.
-        A cell outside the run's shape or the cell type fails the job before anything is
-        committed, and so does a cell given twice, unless the caller vouches for ``unique``
-        cells. They are gathered by frame, in partitions that adaptive execution sizes and,
-        for a frame holding much of the data, splits. Cells that ``compute_frames`` made for
-        this run are right by construction and already ``ordered``: they are written as they
-        come.
+                     message: str | None = None, ordered: bool = False) -> str:
+        """Write the frames found in ``cells`` as one commit and return its snapshot id."""
+        staged = self.stage_frames(run_id, cells, views, message, ordered)
+        self.commit(run_id, [staged])
+        return staged.snapshot_id
+
+    def commit(self, run_id: str, staged: list[Staged]) -> None:
+        """Make staged frames part of the run, in the order given and all at once."""
+        if staged:
+            self._append(run_id, [s._asdict() for s in staged])
+
+    def stage_frames(self, run_id: str, cells: DataFrame, views: DataFrame | None = None,
+                     message: str | None = None, ordered: bool = False, spec: Row | None = None) -> Staged:
+        """Write the frames found in ``cells`` without committing them; any number of workers may.
+
+        Frames not in ``cells`` stay untouched. ``views`` supplies their centre and width. A cell outside
+        the run's shape or the cell type fails the job, and so does a cell given twice. Cells are gathered
+        by frame, in partitions that adaptive execution sizes and, for a frame holding much
+        of the data, splits. Cells that ``compute_frames`` made for this run from ``views`` are right by construction
+        and already ``ordered``: they are written as they come and their counts follow from the run's shape.
         """
         if message == CREATE_MESSAGE:
             raise ValueError("that message marks the creation of a run")
-        state = self.state(run_id)
-        spec = state.spec
+        spec = spec or self.state(run_id).spec
         snapshot = uuid.uuid4().hex
         path = f"{self.root}/pixels/run_id={run_id}/snapshot_id={snapshot}"
         started = time.perf_counter()
-
         value = F.col("iterations") if ordered else _checked_cell(spec)
         rows = cells.select("frame", "y", "x", value.alias("iterations"), _block(spec).alias("frame_block"))
         if not ordered:
             rows = (rows.hint("rebalance", "frame_block", "frame")
                     .sortWithinPartitions("frame_block", "frame", "y", "x"))
-        # A kernel task holds one or two blocks, so open writers replace a sort of its cells.
-        with session_setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", "32"):
-            rows.write.partitionBy("frame_block").mode("errorifexists").parquet(path)
+        rows.write.partitionBy("frame_block").mode("errorifexists").parquet(path)
         elapsed = time.perf_counter() - started
-
-        written = self._pixels(run_id, (snapshot,))
-        if not unique:
-            twice = written.groupBy("frame", "y", "x").count().filter("count > 1")
-            if not twice.isEmpty():
-                raise ValueError(f"cells of run {run_id!r} occur more than once, e.g. {twice.first()}")
-        self._write_frame_rows(run_id, snapshot, written, views)
-
-        done = (self._table("frames", FRAMES, run_id).filter(F.col("snapshot_id") == snapshot)
+        plane = spec["height"] * spec["width_px"]
+        if ordered:
+            counted = views.select(*VIEWS.names, F.lit(plane).cast("bigint").alias("n_cells"), F.lit(0).cast("bigint").alias("again"))
+        else:
+            counted = self._counted(self._opened([path], PIXELS), spec, views)
+        folder = f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"
+        counted.write.mode("errorifexists").parquet(folder)
+        done = (self.spark.read.schema(counted.schema).parquet(folder)
                 .agg(F.count("*").alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
-                     F.min("frame").alias("first")).first())
+                     F.min("frame").alias("first"), F.coalesce(F.sum("again"), F.lit(0)).alias("again"),
+                     F.min_by("frame", F.when(F.col("again") > 0, F.col("frame"))).alias("bad")).first())
+        if done["again"]:
+            raise ValueError(f"cells of run {run_id!r} occur more than once, e.g. in frame {done['bad']}")
         if message is None:
-            message = f"frame {done['first']:04d}" if done["frames"] == 1 else f"{done['frames']} frames"
-        self._log(run_id, snapshot, message, done["frames"], done["cells"], elapsed)
-        return snapshot
+            message = f"wrote frame {done['first']}" if done["frames"] == 1 else f"wrote {done['frames']} frames"
+        return Staged(snapshot, message, done["frames"], done["cells"], elapsed)
 
-    def _write_frame_rows(self, run_id, snapshot, written, views):
-        """Cell count and view of every written frame."""
-        counted = written.groupBy("frame").agg(F.count("*").alias("n_cells"))
+    def _counted(self, written: DataFrame, spec: Row, views: DataFrame | None) -> DataFrame:
+        """Per frame: its view, its cells, and how many of them repeat another one.
+
+        Each bitmap records which of 32,768 cells were seen, so what is shuffled is a bit per cell."""
+        at = F.col("y").cast("bigint") * spec["width_px"] + F.col("x")
+        parts = written.groupBy("frame", F.expr(f"(bigint(y) * {spec['width_px']} + x) div {BITMAP_CELLS}").alias("part")).agg(
+            F.count("*").alias("n_cells"), F.bitmap_count(F.bitmap_construct_agg(at % BITMAP_CELLS)).alias("distinct"))
+        counted = parts.groupBy("frame").agg(F.sum("n_cells").alias("n_cells"), (F.sum("n_cells") - F.sum("distinct")).alias("again"))
         if views is None:
             unknown = F.lit(None).cast("double")
             counted = counted.withColumns({"center_re": unknown, "center_im": unknown, "width": unknown})
         else:
             counted = counted.join(views.select(*VIEWS.names), "frame", "left")
-        (counted.select(*VIEWS.names, "n_cells")
-         .write.mode("errorifexists").parquet(f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"))
-
-    def _log(self, run_id, snapshot, message, n_frames, n_cells, elapsed):
-        before = self.commits(run_id).agg(F.coalesce(F.max("commit_seq"), F.lit(0))).first()[0]
-        row = (before + 1, message, n_frames, n_cells, float(elapsed))
-        self._write_row("commits", COMMITS, row, run_id, snapshot)
+        return counted.select(*VIEWS.names, "n_cells", "again")
 
     # -- reading ---------------------------------------------------------------------
 
-    def live_frames(self, run_id: str, as_of: int | None = None, state: RunState | None = None) -> DataFrame:
+    def live_frames(self, run_id: str, as_of: int | str | None = None, state: RunState | None = None) -> DataFrame:
         """The newest commit of every materialised frame, with its view."""
         state = state or self.state(run_id, as_of)
-        log = (self.commits(run_id)
-               .filter((F.col("commit_seq") > state.created_at) & (F.col("commit_seq") <= state.head))
-               .select("snapshot_id", "commit_seq"))
-        frames = self._table("frames", FRAMES, run_id)
-        newest = F.max_by(F.struct("snapshot_id", "center_re", "center_im", "width", "n_cells"),
-                          F.struct("commit_seq", "snapshot_id"))
-        return (frames.join(log, "snapshot_id")
+        newest = F.max_by(F.struct("snapshot_id", "center_re", "center_im", "width", "n_cells"), "commit_seq")
+        log = self._commit_table(state.commits).select("snapshot_id", "commit_seq")
+        return (self._frame_rows(run_id, state.commits).join(log, "snapshot_id")
                 .groupBy("frame").agg(newest.alias("at"), F.max("commit_seq").alias("commit_seq"))
                 .select("frame", "at.*", "commit_seq"))
 
-    def read(self, run_id: str, as_of: int | None = None, where: Column | None = None,
+    def read(self, run_id: str, as_of: int | str | None = None, where: Column | None = None,
              with_view: bool = False) -> DataFrame:
-        """Cells of the run's newest state, or of its state at commit ``as_of``.
+        """Cells of the run's newest state, or of its state at the commit ``as_of`` (number or snapshot id).
 
-        ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``. Only
-        the folders of commits in the log are opened. If no frame was written twice, those
-        folders are the answer; otherwise the list of live frames is joined to them.
+        ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``; then only the
+        commits that hold such frames are opened. If no frame was written twice, the folders
+        of the commits are the answer; otherwise the list of live frames is joined to them.
         """
         state = self.state(run_id, as_of)
-        if where is None and not with_view and self._written_once(run_id, state):
-            return self._pixels(run_id, state.snapshots).select(*CELLS.names)
+        if where is None and not with_view:
+            written = sum(c["n_frames"] for c in state.commits)
+            if len(state.commits) < 2 or self.live_frames(run_id, state=state).count() == written:
+                return self._cells(run_id, [c["snapshot_id"] for c in state.commits]).select(*CELLS.names)
         live = self.live_frames(run_id, state=state)
+        names = [c["snapshot_id"] for c in state.commits]
         if where is not None:
             live = live.filter(where)
-        return self._cells_of(run_id, live, state, with_view)
+            names = [r[0] for r in live.select("snapshot_id").distinct().collect()]
+        return self._cells_of(run_id, live, state, names, with_view)
 
-    def _written_once(self, run_id, state):
-        if state.snapshots is None:
-            return False
-        return len(state.snapshots) < 2 or self.live_frames(run_id, state=state).count() == state.frame_rows
-
-    def _cells_of(self, run_id, live, state, with_view=False, frame=None):
-        """Cells of the given live frames. The frame list is joined on partition columns, so
-        dynamic pruning opens only the folders it names."""
+    def _cells_of(self, run_id, live, state, names, with_view=False):
+        """Cells of the given live frames, which are joined on partition columns, so that dynamic
+        pruning opens only the folders of their blocks."""
         columns = CELLS.names + (["center_re", "center_im", "width"] if with_view else [])
         wanted = live.select("snapshot_id", "frame", _block(state.spec).alias("frame_block"),
                              "center_re", "center_im", "width")
-        if state.frame_rows <= BROADCAST_ROWS:  # the log bounds the frame list; beyond, a shuffle join
-            wanted = F.broadcast(wanted)
-        pixels = self._pixels(run_id, state.snapshots)
-        if frame is not None:
-            block = frame // state.spec["frames_per_block"]
-            pixels = pixels.filter((F.col("frame_block") == block) & (F.col("frame") == frame))
-        return pixels.join(wanted, ["snapshot_id", "frame_block", "frame"]).select(*columns)
+        return self._cells(run_id, names).join(wanted, ["snapshot_id", "frame_block", "frame"]).select(*columns)
 
-    def read_frame(self, run_id: str, frame: int, as_of: int | None = None) -> DataFrame:
-        """One frame by position: its folder by partition, its row groups by statistics."""
+    def read_frame(self, run_id: str, frame: int, as_of: int | str | None = None) -> DataFrame:
+        """One frame by position. Its row names the commit, so one folder is opened."""
         state = self.state(run_id, as_of)
         if not 0 <= frame < state.spec["n_frames"]:
             raise ValueError(f"frame {frame} outside 0..{state.spec['n_frames'] - 1}")
-        live = self.live_frames(run_id, state=state).filter(F.col("frame") == frame)
-        return self._cells_of(run_id, live, state, frame=frame)
+        live = self.live_frames(run_id, state=state).filter(F.col("frame") == frame).first()
+        if live is None:
+            return self.spark.createDataFrame([], CELLS)
+        block = frame // state.spec["frames_per_block"]
+        return self._cells(run_id, [live["snapshot_id"]], f"/frame_block={block}").filter(F.col("frame") == frame).select(*CELLS.names)
 
     def select(self, run_id: str, frame: int | None = None, width: float | None = None,
                width_between: tuple[float, float] | None = None) -> DataFrame:
@@ -271,28 +286,27 @@ class GridStore:
             where = where & F.col("width").between(*width_between)
         return self.read(run_id, where=where, with_view=True)
 
-    def dense(self, run_id: str, as_of: int | None = None) -> DataFrame:
+    def dense(self, run_id: str, as_of: int | str | None = None) -> DataFrame:
         """The run as a full array: cells never written read as 0, views never written as NULL.
 
-        Frames the log knows to be complete pass straight through; only the others are
-        searched for gaps.
+        Frames known to be complete pass straight through; only the others are searched for gaps.
         """
         state = self.state(run_id, as_of)
         spec = state.spec
         plane = spec["height"] * spec["width_px"]
+        names = [c["snapshot_id"] for c in state.commits]
         live = self.live_frames(run_id, state=state)
         complete = F.col("n_cells") == plane
-        whole = self._cells_of(run_id, live.filter(complete), state, with_view=True)
-
+        known = self._cells_of(run_id, live, state, names, with_view=True)
         slots = self.spark.range(spec["n_frames"]).select(F.col("id").cast("int").alias("frame"))
         partial = slots.join(live, "frame", "left").filter(~F.coalesce(complete, F.lit(False)))
         lines = partial.select("frame", "center_re", "center_im", "width",
                                F.explode(F.sequence(F.lit(0), F.lit(spec["height"] - 1))).alias("y"))
-        known = self._cells_of(run_id, live.filter(~complete), state, with_view=True)
-        absent = missing_cells(lines, known, spec["width_px"], grid_tasks(self.spark, spec["n_frames"] * plane))
-        return whole.unionByName(known).unionByName(absent.withColumn("iterations", F.lit(0)))
+        given = self._cells_of(run_id, live.filter(~complete), state, names)
+        absent = missing_cells(lines, given, spec["width_px"], grid_tasks(self.spark, spec["n_frames"] * plane))
+        return known.unionByName(absent.withColumn("iterations", F.lit(0)))
 
-    def frames(self, run_id: str, as_of: int | None = None) -> DataFrame:
+    def frames(self, run_id: str, as_of: int | str | None = None) -> DataFrame:
         """All frame slots of the run in order of position; views are NULL until written."""
         state = self.state(run_id, as_of)
         slots = self.spark.range(state.spec["n_frames"]).select(F.col("id").cast("int").alias("frame"))
@@ -303,9 +317,10 @@ class GridStore:
 
     def describe(self, run_id: str) -> DataFrame:
         """Sizes, cell type and cell count of a run, as one row."""
-        spec = self.state(run_id).spec
+        state = self.state(run_id)
+        spec = state.spec
         kind = CELLS["iterations"].dataType.simpleString()
-        return self.live_frames(run_id).agg(
+        return self.live_frames(run_id, state=state).agg(
             F.lit(run_id).alias("run_id"),
             F.lit(spec["n_frames"]).alias("n_frames"),
             F.lit(spec["height"]).alias("height"),
@@ -318,51 +333,51 @@ class GridStore:
 
     def list_runs(self) -> DataFrame:
         """Every run with its frame total and the frames materialised since it was created."""
-        is_create = F.col("message") == CREATE_MESSAGE
         log = self.commits()
-        created = (log.filter(is_create).groupBy("run_id")
-                   .agg(F.max("commit_seq").alias("created_at"),
-                        F.max_by("snapshot_id", "commit_seq").alias("snapshot_id")))
-        spec = self._table("runs", RUNS)
-        runs = created.join(spec.select("run_id", "snapshot_id", "n_frames", "max_iter"), ["run_id", "snapshot_id"])
-        done = (self.commit_frames().join(created.select("run_id", "created_at"), "run_id")
-                .filter(F.col("commit_seq") > F.col("created_at"))
-                .groupBy("run_id").agg(F.count_distinct("frame").alias("frames_done")))
+        is_create = F.col("message") == CREATE_MESSAGE
+        runs = (log.filter(is_create).groupBy("run_id")
+                .agg(F.max("commit_seq").alias("created_at"), F.max_by("spec", "commit_seq").alias("spec")))
+        since = (log.filter("n_frames > 0").join(runs.select("run_id", "created_at"), "run_id")
+                 .filter(F.col("commit_seq") > F.col("created_at")).select("run_id", "snapshot_id"))
+        written = self._frame_table().join(since, ["run_id", "snapshot_id"])
+        done = written.groupBy("run_id").agg(F.count_distinct("frame").alias("frames_done"))
         return runs.join(done, "run_id", "left").select(
-            "run_id", "n_frames", "max_iter", F.coalesce("frames_done", F.lit(0)).alias("frames_done"))
+            "run_id", "spec.n_frames", "spec.max_iter", F.coalesce("frames_done", F.lit(0)).alias("frames_done"))
 
     # -- files -----------------------------------------------------------------------
 
-    def _pixels(self, run_id, snapshots=None):
-        """Cell files of the named commits, or of the whole run."""
-        if snapshots is not None and not snapshots:
-            return self.spark.createDataFrame([], PIXELS)
+    def _commit_table(self, rows) -> DataFrame:
+        """Commits as a table: as many rows as the run has commits."""
+        kept = ["commit_seq", "message", "n_frames", "n_cells", "elapsed_s", "snapshot_id"]
+        return self.spark.createDataFrame([tuple(r[c] for c in kept) for r in rows], _fields(COMMITS, kept))
+
+    def _cells(self, run_id, snapshots, block="") -> DataFrame:
         run = f"{self.root}/pixels/run_id={run_id}"
-        paths = [run] if snapshots is None else [f"{run}/snapshot_id={s}" for s in snapshots]
-        reader = self.spark.read.schema(PIXELS).option("basePath", f"{self.root}/pixels")
-        return self._or_empty(lambda: reader.parquet(*paths), PIXELS)
-
-    def _table(self, name, schema, run_id=None):
-        """A table of the store, or the part of it that belongs to one run."""
-        whole = f"{self.root}/{name}"
-        path = whole if run_id is None else f"{whole}/run_id={run_id}"
-        reader = self.spark.read.schema(schema).option("basePath", whole)
-        return self._or_empty(lambda: reader.parquet(path), schema)
-
-    def _write_row(self, name, schema, values, run_id, snapshot):
-        """A single row in a single partition, hence one file that appears at once."""
-        columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
-        (self.spark.range(0, 1, 1, 1).select(*columns)
-         .write.mode("errorifexists").parquet(f"{self.root}/{name}/run_id={run_id}/snapshot_id={snapshot}"))
-
-    def _or_empty(self, open_table, schema):
-        """A table without any commit has no folder yet."""
+        return self._opened([f"{run}/snapshot_id={s}{block}" for s in snapshots], PIXELS, f"{self.root}/pixels")
+
+    def _frame_rows(self, run_id, rows) -> DataFrame:
+        run = f"{self.root}/frames/run_id={run_id}"
+        return self._opened([f"{run}/snapshot_id={r['snapshot_id']}" for r in rows], FRAMES, f"{self.root}/frames")
+
+    def _frame_table(self) -> DataFrame:
+        """Rows of all frames ever staged; empty before the first."""
+        return self._opened([f"{self.root}/frames"] if folder_names(self.spark, f"{self.root}/frames") else [], FRAMES)
+
+    def _opened(self, paths, schema, base=None) -> DataFrame:
+        """Data folders that the log names: one that is gone is an error, never an empty run."""
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
         try:
-            return open_table()
+            return (reader.option("basePath", base) if base else reader).parquet(*paths)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            raise FileNotFoundError(f"the log names data that is gone: {e.getMessageParameters().get('path', paths)}") from e
+
+
+def _fields(schema, names):
+    return type(schema)([schema[n] for n in names])
 
 
 def _block(spec) -> Column:

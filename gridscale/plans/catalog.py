@@ -50,7 +50,7 @@ from gridscale.operators.stats import (
 from gridscale.operators.store import GridStore
 from gridscale.plans import inputs
 from gridscale.session import shared_folder
-from gridscale.sources.grid import fill_grid, pixel_grid, split_frames, tile_grid
+from gridscale.sources.grid import fill_grid, frame_ranges, pixel_grid, split_frames, tile_grid
 from gridscale.sources.schedule import schedules_from
 from gridscale.streaming.fill import fill_from_stream, frame_requests
 
@@ -61,6 +61,7 @@ SIZE = 8  # cells per axis of a customer view
 STORE_SIZE = 16  # and of a supplier view kept in a store
 FRAME_STEPS = 50
 POINT_STEPS = 128
+LARGE_SIZE, LARGE_STEPS = 520, 24  # more cells than a tile holds
 TILE = 32
 
 
@@ -103,6 +104,16 @@ def g5_frame_ranges(spark, d):
     return split_frames(views, views.count(), 8).select("frame", "task_index")
 
 
+@query
+def g5_range_bounds(spark, d):
+    """The clamped ranges of frames over workers, and the customers' views in each."""
+    views = inputs.customer_views(spark, d)
+    n_frames = views.count()
+    taken = split_frames(views, n_frames, 11).groupBy("task_index").agg(F.count("*").alias("n_views"))
+    return frame_ranges(spark, n_frames, 11).join(taken, "task_index", "left").select(
+        "task_index", "start", "stop", F.coalesce("n_views", F.lit(0)).alias("n_views"))
+
+
 @query
 def g6_points(spark, d):
     return inputs.orders_points(spark, d).select(
@@ -116,7 +127,7 @@ def g7_grid_from_table(spark, d):
 
 @query
 def g7_grid_filled(spark, d):
-    return fill_grid(inputs.event_cube(spark, d), inputs.EVENTS_FRAMES, inputs.EVENTS_HEIGHT,
+    return fill_grid(inputs.event_cube(spark, d), inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT,
                      inputs.event_width(spark, d))
 
 
@@ -141,7 +152,7 @@ def k1_exact_frames(spark, d):
 @query
 def k1_exact_native(spark, d):
     return inputs.orders_points(spark, d).select(
-        "o_orderkey", "re", "im", escape_count_native("re", "im", 32).alias("iterations"))
+        "o_orderkey", "re", "im", escape_count_native("re", "im", POINT_STEPS).alias("iterations"))
 
 
 @query
@@ -168,7 +179,7 @@ def k4_float32_points(spark, d):
 @query
 def k4_float32_embeddings(spark, d):
     return inputs.embedding_points(spark, d).select(
-        "vec_id", "re", "im", escape_count("re", "im", POINT_STEPS, "float32").alias("iterations"))
+        "vec_id", "pair", "re", "im", escape_count("re", "im", POINT_STEPS, "float32").alias("iterations"))
 
 
 @query
@@ -187,19 +198,19 @@ def _new_store(spark):
 def _event_store(spark, d, restated=False):
     """A fresh store with the event cube as one commit, and the restated weekends as another."""
     store = _new_store(spark)
-    store.create_run("events", inputs.EVENTS_FRAMES, inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
+    store.create_run("events", inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
     views = inputs.event_views(spark, d)
-    store.write_frames("events", inputs.event_cube(spark, d), views, "all events", unique=True)
+    store.write_frames("events", inputs.event_cube(spark, d), views, "all events")
     if restated:
         store.write_frames("events", inputs.event_cube_weekends_restated(spark, d), views,
-                           "weekends without errors", unique=True)
+                           "weekends without errors")
     return store
 
 
 @query
 def s1_create_run(spark, d):
     store = _event_store(spark, d)
-    store.create_run("events", inputs.EVENTS_FRAMES, inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
+    store.create_run("events", inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
     return store.frames("events").select("frame", "center_re", "center_im", "width", "n_cells")
 
 
@@ -260,8 +271,8 @@ def s10_select_one_width(spark, d):
 @query
 def s11_list_runs(spark, d):
     store = _event_store(spark, d, restated=True)
-    store.create_run("weekends", inputs.EVENTS_FRAMES, inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
-    store.write_frames("weekends", inputs.event_cube_weekends_restated(spark, d), unique=True)
+    store.create_run("weekends", inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
+    store.write_frames("weekends", inputs.event_cube_weekends_restated(spark, d))
     store.create_run("empty", 5, inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
     return store.list_runs()
 
@@ -269,9 +280,9 @@ def s11_list_runs(spark, d):
 @query
 def s12_dense_view(spark, d):
     store = _new_store(spark)
-    store.create_run("events", inputs.EVENTS_FRAMES, inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
+    store.create_run("events", inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
     store.write_frames("events", inputs.event_cube_weekends_restated(spark, d),
-                       inputs.event_views(spark, d), unique=True)
+                       inputs.event_views(spark, d))
     return store.dense("events")
 
 
@@ -307,8 +318,8 @@ def m2_zoom_run(spark, d):
 @query
 def m3_fan_out(spark, d):
     store, views = _supplier_store(spark, d)
-    for task in range(4):
-        fan_out(store, "zoom", views, 4, task)
+    staged = [fan_out(store, "zoom", views, 4, task) for task in range(4)]
+    store.commit("zoom", [s for s in staged if s])
     return (store.commit_frames("zoom").groupBy("commit_seq", "message")
             .agg(F.min("frame").alias("first"), F.max("frame").alias("last"), F.sum("n_cells").alias("n_cells")))
 
@@ -359,6 +370,13 @@ def a1_frame_stats(spark, d):
     return frame_stats(cells, FRAME_STEPS)
 
 
+@query
+def a1_large_frame_stats(spark, d):
+    """Frames of several tiles each, over several tasks."""
+    cells = compute_frames(inputs.region_views(spark, d), LARGE_SIZE, LARGE_SIZE, LARGE_STEPS, "exact")
+    return frame_stats(cells, LARGE_STEPS)
+
+
 @query
 def a2_global_max(spark, d):
     return global_max(_lineitem_counts(spark, d, "early_exit"))
@@ -446,8 +464,13 @@ def r6_frame_images(spark, d):
     pixels = image_cells(frame_images(*_order_pictures(spark, d)))
     return pixels.groupBy("frame").agg(
         (F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width_px"),
-        F.sum("r").alias("r"), F.sum("g").alias("g"), F.sum("b").alias("b"),
-        F.sum(F.col("y") * F.col("b") + F.col("x") * F.col("r")).alias("weighted"))
+        *_channel_sums(even_size(inputs.ORDERS_HEIGHT, inputs.ORDERS_WIDTH)[1]))
+
+
+def _channel_sums(width_px):
+    """Per channel its sum and its sum weighted by the place of each pixel."""
+    place = F.col("y") * width_px + F.col("x") + 1
+    return [*(F.sum(c).alias(c) for c in "rgb"), *(F.sum(F.col(c) * place).alias(f"weighted_{c}") for c in "rgb")]
 
 
 def _pyramid(spark, d):
@@ -459,13 +482,12 @@ def _pyramid(spark, d):
 
 @query
 def r6_tile_images(spark, d):
-    """One PNG per tile of the pyramid; the bytes are summed up by size."""
+    """One PNG per tile of the pyramid, decoded again; each channel holds other bits of the value."""
     tiles, _ = _pyramid(spark, d)
-    lit = tiles.withColumns({c: F.least("value", F.lit(255)) for c in "rgb"})
-    images = tile_images(lit, TILE)
-    decoded = image_cells(images.withColumn("frame", F.hash("frame", "z", "tile_y", "tile_x")))
-    return decoded.agg(F.sum("r").alias("r"), F.sum(F.col("r") * (F.col("y") * TILE + F.col("x"))).alias("weighted"),
-                       F.count("*").alias("n_pixels"))
+    value = F.col("value")
+    lit = tiles.withColumns({"r": value % 256, "g": F.shiftright(value, 2) % 256, "b": 255 - value % 256})
+    return image_cells(tile_images(lit, TILE)).groupBy("run_id", "frame", "z", "tile_y", "tile_x").agg(
+        F.count("*").alias("n_pixels"), *_channel_sums(TILE))
 
 
 @query
@@ -522,5 +544,5 @@ def b3_ms_per_frame(spark, d):
 
 @query
 def b3_ms_per_frame_by_task(spark, d):
-    return ms_per_frame_by_task(_frame_log_of_events(spark, d), inputs.EVENTS_FRAMES, 8).withColumns(
+    return ms_per_frame_by_task(_frame_log_of_events(spark, d), inputs.event_frames(spark, d), 8).withColumns(
         {c: F.round(c, 6) for c in ("total_s", "ms_per_frame")})

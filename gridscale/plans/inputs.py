@@ -51,7 +51,7 @@ def run_requests_with_overrides(spark, folder) -> DataFrame:
         (F.col("c_custkey") % 20 + 1).cast("int").alias("n_frames"),
         F.when(segment == "BUILDING", 10.0).alias("initial_width"),
         F.when(segment.isin("BUILDING", "MACHINERY"), 1e-5).alias("final_width"),
-        F.when(segment == "AUTOMOBILE", -1.7480368905611776).alias("center_re"),
+        F.when(segment == "AUTOMOBILE", -1.25066).alias("center_re"),
         F.when(segment.isin("AUTOMOBILE", "FURNITURE"), 0.0).alias("center_im"))
 
 
@@ -69,13 +69,15 @@ def orders_points(spark, folder) -> DataFrame:
 
 
 def embedding_points(spark, folder) -> DataFrame:
-    def coordinate(i):
-        return F.get("embedding", F.lit(i)).cast("double") * 2
+    """Each pair of neighbouring coordinates of every vector as one point."""
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.size("embedding") - 2, F.lit(2)), lambda i: F.struct(
+        (i / 2).cast("int").alias("pair"),
+        F.get("embedding", i).alias("a"), F.get("embedding", i + 1).alias("b"))))
+    pairs = table(spark, folder, "embeddings").select("vec_id", pair.alias("p")).select("vec_id", "p.pair", "p.a", "p.b")
+    return points(pairs, F.col("a").cast("double") * 2, F.col("b").cast("double") * 2)
 
-    return points(table(spark, folder, "embeddings"), coordinate(0), coordinate(1))
 
-
-EVENTS_FRAMES, EVENTS_HEIGHT = 30, 24
+EVENTS_HEIGHT = 24
 
 
 def day(ts="ts"):
@@ -106,6 +108,18 @@ def event_width(spark, folder) -> int:
     return table(spark, folder, "events").agg(F.max("user_id")).first()[0] + 1
 
 
+def event_frames(spark, folder) -> int:
+    """Frames of the event cube: one per day up to the last event."""
+    return table(spark, folder, "events").agg(F.max(day())).first()[0] + 1
+
+
+def region_views(spark, folder) -> DataFrame:
+    """One view per region, each half as wide as the one before."""
+    return table(spark, folder, "region").select(
+        F.col("r_regionkey").cast("int").alias("frame"), F.lit(-0.75).alias("center_re"), F.lit(0.0).alias("center_im"),
+        F.expr("3.5D / (1 << cast(r_regionkey AS INT))").alias("width"))
+
+
 def event_views(spark, folder) -> DataFrame:
     """One view per day that has events."""
     days = table(spark, folder, "events").select(day().alias("frame")).distinct()

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from gridscale.plans.catalog import FRAME_STEPS, POINT_STEPS, SIZE, STORE_SIZE, TILE
-from gridscale.plans.inputs import EVENTS_FRAMES, EVENTS_HEIGHT, ORDERS_HEIGHT, ORDERS_WIDTH
+from gridscale.plans.catalog import FRAME_STEPS, LARGE_SIZE, LARGE_STEPS, POINT_STEPS, SIZE, STORE_SIZE, TILE
+from gridscale.plans.inputs import EVENTS_HEIGHT, ORDERS_HEIGHT, ORDERS_WIDTH
 
 # -- inputs ----------------------------------------------------------------------------
 
@@ -33,7 +33,8 @@ ORDERS_POINTS = """base AS (
   FROM orders)"""
 
 EMBEDDING_POINTS = """base AS (
-  SELECT vec_id, embedding[1]::DOUBLE * 2 AS re, embedding[2]::DOUBLE * 2 AS im FROM embeddings)"""
+  SELECT vec_id, pair, embedding[2 * pair + 1]::DOUBLE * 2 AS re, embedding[2 * pair + 2]::DOUBLE * 2 AS im
+  FROM (SELECT vec_id, embedding, unnest(range(len(embedding) // 2))::INT AS pair FROM embeddings))"""
 
 DAY = "date_diff('day', DATE '2024-01-01', ts::DATE)"
 
@@ -54,6 +55,7 @@ LATEST = f"""{CUBE}, {CUBE_WEEKENDS}, latest AS (
 EVENT_VIEWS = f"""views AS (
   SELECT DISTINCT ({DAY})::INT AS frame, -0.75::DOUBLE AS center_re, 0.0::DOUBLE AS center_im,
          3.5::DOUBLE / (1 << (({DAY}) % 5)::INT) AS width FROM events)"""
+EVENT_FRAMES = f"(SELECT max({DAY}) + 1 FROM events)"
 EVENT_WIDTH = "(SELECT max(user_id) + 1 FROM events)"
 
 ORDER_CUBE = """cube AS (
@@ -135,13 +137,18 @@ DEFAULTS = _schedule("3.5::DOUBLE", "1e-3::DOUBLE", "-0.743643887037151::DOUBLE"
 OVERRIDES = _schedule(
     "CASE WHEN c_mktsegment = 'BUILDING' THEN 10.0::DOUBLE ELSE 3.5::DOUBLE END",
     "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 1e-5::DOUBLE ELSE 1e-3::DOUBLE END",
-    "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN -1.7480368905611776::DOUBLE ELSE -0.743643887037151::DOUBLE END",
+    "CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN -1.25066::DOUBLE ELSE -0.743643887037151::DOUBLE END",
     "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'FURNITURE') THEN 0.0::DOUBLE ELSE 0.131825904205330::DOUBLE END")
 SCHEDULE_COLUMNS = """SELECT run_id, frame, round(center_re, 8) AS center_re, round(center_im, 8) AS center_im,
        round(width, 8) AS width FROM schedule"""
 STEPS = """steps AS (
-  SELECT a.run_id, a.frame, a.width, b.width AS next_width, ln(b.width) - ln(a.width) AS step
-  FROM schedule a JOIN schedule b ON a.run_id = b.run_id AND b.frame = a.frame + 1)"""
+  SELECT run_id, frame, width, next_width, ln(next_width) - ln(width) AS step
+  FROM (SELECT *, lead(width) OVER (PARTITION BY run_id ORDER BY frame) AS next_width FROM schedule))"""
+
+
+def _channel_sums(width):
+    sums = [f"sum({c})::BIGINT AS {c}" for c in "rgb"]
+    return ", ".join(sums + [f"sum({c} * (y * {width} + x + 1))::BIGINT AS weighted_{c}" for c in "rgb"])
 
 
 def _edge(index, size, parts):
@@ -210,15 +217,18 @@ ORACLES = {
 FROM views, range(6) a(ty), range(6) b(tx)"""),
     "g5_frame_ranges": """SELECT c_custkey::INT AS frame,
        (c_custkey // (((SELECT count(*) FROM customer) + 7) // 8))::INT AS task_index FROM customer""",
+    "g5_range_bounds": """WITH n AS (SELECT count(*) AS n, ((count(*) + 10) // 11) AS per_task FROM customer)
+SELECT t::INT AS task_index, least(t * per_task, n)::INT AS start, least((t + 1) * per_task, n)::INT AS stop,
+       (SELECT count(*) FROM customer WHERE c_custkey // per_task = t) AS n_views FROM range(11) r(t), n""",
     "g6_points": _with(ORDERS_POINTS, _counts(POINT_STEPS, closed_forms=True), _counted("b.o_orderkey, b.re, b.im")),
     "g7_grid_from_table": _with(CUBE, "SELECT * FROM cube"),
     "g7_grid_filled": _with(CUBE, f"""SELECT f::INT AS frame, h::INT AS y, u::INT AS x, coalesce(iterations, 0) AS iterations
-FROM range({EVENTS_FRAMES}) a(f), range({EVENTS_HEIGHT}) b(h), range({EVENT_WIDTH}) c(u)
+FROM range({EVENT_FRAMES}) a(f), range({EVENTS_HEIGHT}) b(h), range({EVENT_WIDTH}) c(u)
 LEFT JOIN cube ON frame = f AND y = h AND x = u"""),
 
     "k1_exact_points": _with(LINEITEM_POINTS, _counts(POINT_STEPS), _counted(LINEITEM_COLUMNS)),
     "k1_exact_frames": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), "SELECT * FROM cells"),
-    "k1_exact_native": _with(ORDERS_POINTS, _counts(32), _counted("b.o_orderkey, b.re, b.im")),
+    "k1_exact_native": _with(ORDERS_POINTS, _counts(POINT_STEPS), _counted("b.o_orderkey, b.re, b.im")),
     "k2_early_exit_points": _with(LINEITEM_POINTS, _counts(POINT_STEPS, closed_forms=True), _counted(LINEITEM_COLUMNS)),
     "k2_early_exit_frames": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS, closed_forms=True), "SELECT * FROM cells"),
     "k3_membership_class": _with(LINEITEM_POINTS, """SELECT l_orderkey, l_linenumber, re, im,
@@ -227,13 +237,13 @@ LEFT JOIN cube ON frame = f AND y = h AND x = u"""),
 FROM (SELECT *, (re - 0.25::DOUBLE) * (re - 0.25::DOUBLE) + im * im AS q FROM base)"""),
     "k4_float32_points": _with(LINEITEM_POINTS, _counts(POINT_STEPS, "FLOAT", True), _counted(LINEITEM_COLUMNS, "FLOAT")),
     "k4_float32_embeddings": _with(EMBEDDING_POINTS, _counts(POINT_STEPS, "FLOAT", True),
-                                   _counted("b.vec_id, b.re, b.im", "FLOAT")),
+                                   _counted("b.vec_id, b.pair, b.re, b.im", "FLOAT")),
     "k5_cell_type": """SELECT o_orderkey, floor(o_totalprice) BETWEEN 0 AND 65535 AS fits,
        CASE WHEN floor(o_totalprice) BETWEEN 0 AND 65535 THEN floor(o_totalprice)::INT ELSE -1 END AS cell FROM orders""",
 
     "s1_create_run": f"""SELECT range::INT AS frame, NULL::DOUBLE AS center_re, NULL::DOUBLE AS center_im,
-       NULL::DOUBLE AS width, 0::BIGINT AS n_cells FROM range({EVENTS_FRAMES})""",
-    "s2_create_if_absent": _with(CUBE, f"""SELECT 'events' AS run_id, {EVENTS_FRAMES} AS n_frames,
+       NULL::DOUBLE AS width, 0::BIGINT AS n_cells FROM range({EVENT_FRAMES})""",
+    "s2_create_if_absent": _with(CUBE, f"""SELECT 'events' AS run_id, {EVENT_FRAMES}::INT AS n_frames,
        {EVENTS_HEIGHT} AS height, {EVENT_WIDTH}::INT AS width_px, 65535 AS max_iter, 'int' AS cell_type,
        count(DISTINCT frame) AS frames_written, count(*) AS cells_written, false AS created_again FROM cube"""),
     "s3_write_frames": _with(CUBE, "SELECT frame, y, x, iterations::INT AS iterations FROM cube"),
@@ -247,7 +257,7 @@ FROM (SELECT *, (re - 0.25::DOUBLE) * (re - 0.25::DOUBLE) + im * im AS q FROM ba
        'create run' AS message, 0::BIGINT AS n_frames, 0::BIGINT AS n_cells
 UNION ALL SELECT 2, 'all events', count(DISTINCT frame), count(*) FROM cube
 UNION ALL SELECT 3, 'weekends without errors', count(DISTINCT frame), count(*) FROM weekends"""),
-    "s8_scan_run": _with(LATEST, f"""SELECT 'events' AS run_id, {EVENTS_FRAMES} AS n_frames,
+    "s8_scan_run": _with(LATEST, f"""SELECT 'events' AS run_id, {EVENT_FRAMES}::INT AS n_frames,
        {EVENTS_HEIGHT} AS height, {EVENT_WIDTH}::INT AS width_px, 65535 AS max_iter, 'int' AS cell_type,
        count(DISTINCT frame) AS frames_written, count(*) AS cells_written FROM latest"""),
     "s9_read_frame": _with(LATEST, "SELECT * FROM latest WHERE frame = 6"),
@@ -255,13 +265,13 @@ UNION ALL SELECT 3, 'weekends without errors', count(DISTINCT frame), count(*) F
 FROM latest JOIN views USING (frame) WHERE width BETWEEN 0.5 AND 1.75"""),
     "s10_select_one_width": _with(CUBE, EVENT_VIEWS, """SELECT frame, y, x, iterations::INT AS iterations,
        center_re, center_im, width FROM cube JOIN views USING (frame) WHERE width = 0.875"""),
-    "s11_list_runs": _with(CUBE, CUBE_WEEKENDS, f"""SELECT 'events' AS run_id, {EVENTS_FRAMES} AS n_frames,
+    "s11_list_runs": _with(CUBE, CUBE_WEEKENDS, f"""SELECT 'events' AS run_id, {EVENT_FRAMES}::INT AS n_frames,
        65535 AS max_iter, count(DISTINCT frame) AS frames_done FROM cube
-UNION ALL SELECT 'weekends', {EVENTS_FRAMES}, 65535, count(DISTINCT frame) FROM weekends
+UNION ALL SELECT 'weekends', {EVENT_FRAMES}::INT, 65535, count(DISTINCT frame) FROM weekends
 UNION ALL SELECT 'empty', 5, 65535, 0"""),
     "s12_dense_view": _with(CUBE_WEEKENDS, EVENT_VIEWS, f"""SELECT f::INT AS frame, h::INT AS y, u::INT AS x,
        coalesce(iterations, 0)::INT AS iterations, center_re, center_im, width
-FROM range({EVENTS_FRAMES}) a(f), range({EVENTS_HEIGHT}) b(h), range({EVENT_WIDTH}) c(u)
+FROM range({EVENT_FRAMES}) a(f), range({EVENTS_HEIGHT}) b(h), range({EVENT_WIDTH}) c(u)
 LEFT JOIN weekends w ON w.frame = f AND y = h AND x = u
 LEFT JOIN (SELECT * FROM views WHERE frame IN (SELECT frame FROM weekends)) v ON v.frame = f"""),
 
@@ -280,6 +290,11 @@ FROM supplier""",
     "a1_frame_stats": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), f"""SELECT frame,
        min(iterations) AS min_iter, max(iterations) AS max_seen, count(*) AS n_cells, max(y) + 1 AS height,
        max(x) + 1 AS width_px, count(*) FILTER (WHERE iterations = {FRAME_STEPS}) AS in_set FROM cells GROUP BY frame"""),
+    "a1_large_frame_stats": _with(_frames("""views AS (
+  SELECT r_regionkey::INT AS frame, -0.75::DOUBLE AS center_re, 0.0::DOUBLE AS center_im,
+         3.5::DOUBLE / (1 << r_regionkey::INT) AS width FROM region)""", LARGE_SIZE, LARGE_STEPS), f"""SELECT frame,
+       min(iterations) AS min_iter, max(iterations) AS max_seen, count(*) AS n_cells, max(y) + 1 AS height,
+       max(x) + 1 AS width_px, count(*) FILTER (WHERE iterations = {LARGE_STEPS}) AS in_set FROM cells GROUP BY frame"""),
     "a2_global_max": _with(LINEITEM_POINTS, _counts(POINT_STEPS),
                            "SELECT greatest(max(iterations), 1) AS global_max FROM counts"),
     "q1_compare_runs": _with(CUBE, CUBE_NO_ERRORS, PAIRED, f"SELECT {_verdict(1.0, 1)} FROM paired"),
@@ -297,11 +312,11 @@ FROM supplier""",
        count(*) FILTER (WHERE center_re IS NULL OR center_im IS NULL OR width IS NULL) AS missing,
        min(center_re) = max(center_re) AND min(center_im) = max(center_im) AS center_constant
 FROM schedule GROUP BY run_id"""),
-    "v3_widths_decrease": _with(OVERRIDES, STEPS, """SELECT run_id, count(*) AS n_steps,
-       count(*) FILTER (WHERE next_width >= width) AS not_decreasing, bool_and(next_width < width) AS decreasing
+    "v3_widths_decrease": _with(OVERRIDES, STEPS, """SELECT run_id, count(next_width) AS n_steps,
+       count(*) FILTER (WHERE next_width >= width) AS not_decreasing, coalesce(bool_and(next_width < width), true) AS decreasing
 FROM steps GROUP BY run_id"""),
-    "v4_widths_log_uniform": _with(OVERRIDES, STEPS, """SELECT run_id, count(*) AS n_steps,
-       round(avg(step), 8) AS mean_step, bool_and(abs(step - mean) <= 1e-8 + 1e-10 * abs(mean)) AS log_uniform
+    "v4_widths_log_uniform": _with(OVERRIDES, STEPS, """SELECT run_id, count(step) AS n_steps,
+       round(avg(step), 8) AS mean_step, coalesce(bool_and(abs(step - mean) <= 1e-8 + 1e-10 * abs(mean)), true) AS log_uniform
 FROM (SELECT *, avg(step) OVER (PARTITION BY run_id) AS mean FROM steps) GROUP BY run_id"""),
 
     "r1_normalise_global": _with(CUBE, f"SELECT *, {GLOBAL_V}::DOUBLE AS v FROM cube"),
@@ -314,11 +329,11 @@ JOIN palette ON bin = least(trunc({GLOBAL_V} * 256)::INT, 255)"""),
         ORDER_CUBE, PALETTE,
         f"coloured AS (SELECT frame, y, x, r, g, b FROM ({PER_FRAME}) JOIN palette ON bin = least(trunc(v * 256)::INT, 255))",
         f"""SELECT frame, {ORDERS_HEIGHT + ORDERS_HEIGHT % 2} AS height, {ORDERS_WIDTH + ORDERS_WIDTH % 2} AS width_px,
-       sum(r)::BIGINT AS r, sum(g)::BIGINT AS g, sum(b)::BIGINT AS b, sum(y * b + x * r)::BIGINT AS weighted
+       {_channel_sums(ORDERS_WIDTH + ORDERS_WIDTH % 2)}
 FROM ({_padded('coloured', ORDERS_HEIGHT, ORDERS_WIDTH)}) GROUP BY frame"""),
-    "r6_tile_images": _with(PYRAMID, f"""SELECT sum(least(value, 255))::BIGINT AS r,
-       sum(least(value, 255) * (y * {TILE} + x))::BIGINT AS weighted,
-       (count(DISTINCT (frame, z, tile_y, tile_x)) * {TILE * TILE})::BIGINT AS n_pixels FROM pyramid"""),
+    "r6_tile_images": _with(PYRAMID, f"""SELECT 'events' AS run_id, frame, z, tile_y, tile_x, {TILE * TILE}::BIGINT AS n_pixels,
+       {_channel_sums(TILE)}
+FROM (SELECT *, value % 256 AS r, (value >> 2) % 256 AS g, 255 - value % 256 AS b FROM pyramid) GROUP BY frame, z, tile_y, tile_x"""),
     "r7_tile_pyramid": _with(PYRAMID, "SELECT 'events' AS run_id, * FROM pyramid"),
     "r8_find_tile": _with(PYRAMID, """SELECT frame, y, x, value FROM pyramid
 WHERE z = (SELECT top FROM top) AND tile_y = 0 AND tile_x = 0"""),
@@ -330,5 +345,5 @@ WHERE z = (SELECT top FROM top) AND tile_y = 0 AND tile_x = 0"""),
 FROM metrics GROUP BY stage_id"""),
     "b3_ms_per_frame": f"SELECT event_type AS run_id, {MS} FROM events GROUP BY ALL",
     "b3_ms_per_frame_by_task": f"""SELECT event_type AS run_id,
-       ({DAY} // (({EVENTS_FRAMES} + 7) // 8))::INT AS task_index, {MS} FROM events GROUP BY ALL""",
+       ({DAY} // (({EVENT_FRAMES} + 7) // 8))::INT AS task_index, {MS} FROM events GROUP BY ALL""",
 }

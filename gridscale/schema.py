@@ -18,12 +18,12 @@ DECLARED_TOLERANCE = {  # mode: (percent of cells, iterations)
 
 MODES = tuple(DECLARED_TOLERANCE)
 
-# A block of frames that share a folder, a kernel task, a kernel call and a broadcast table
-# are each kept near these sizes.
+# A block of frames that share a folder, a kernel task and a kernel call are each kept near
+# these sizes; a task is also kept near so many steps of cells.
 CELLS_PER_BLOCK = 4096 * 4096
 CELLS_PER_TASK = 262_144
 CELLS_PER_TILE = 262_144
-BROADCAST_ROWS = 500_000
+STEPS_PER_TASK = 134_217_728
 
 VIEWS = T.StructType([
     T.StructField("frame", T.IntegerType()),
@@ -39,15 +39,14 @@ CELLS = T.StructType([
     T.StructField("iterations", T.IntegerType()),
 ])
 
-RUNS = T.StructType([
+# Shape and settings of a run.
+RUN_SPEC = T.StructType([
     T.StructField("height", T.IntegerType()),
     T.StructField("width_px", T.IntegerType()),
     T.StructField("n_frames", T.IntegerType()),
     T.StructField("max_iter", T.IntegerType()),
     T.StructField("mode", T.StringType()),
     T.StructField("frames_per_block", T.IntegerType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("snapshot_id", T.StringType()),
 ])
 
 PIXELS = T.StructType(CELLS.fields + [
@@ -68,8 +67,10 @@ COMMITS = T.StructType([
     T.StructField("n_frames", T.LongType()),
     T.StructField("n_cells", T.LongType()),
     T.StructField("elapsed_s", T.DoubleType()),
-    T.StructField("run_id", T.StringType()),
+    T.StructField("spec", RUN_SPEC),
     T.StructField("snapshot_id", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("version", T.IntegerType()),
 ])
 
 METRICS = T.StructType([

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "gridscale", memory: str = "12g") -> SparkSession:
-    """A session for tests and benchmarks on one machine; a cluster brings its own."""
+def local_session(cores: int | str = "*", app: str = "gridscale", memory: str = "12g",
+                  folder: str = "/tmp/gridscale-shared") -> SparkSession:
+    """A session for tests and benchmarks on one machine; a cluster brings its own.
+
+    Cells of a run leave the kernel in frame order, so a few open writers per task replace a sort of
+    them (``maxConcurrentOutputFileWriters``); a cluster does well to set that too.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
@@ -19,47 +22,40 @@ def local_session(cores: int | str = "*", app: str = "gridscale", memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
+        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh sub-folder of ``spark.checkpoint.dir``, or of the checkpoint folder set on the
-    context.
+    """A fresh sub-folder of ``spark.checkpoint.dir``, or of the checkpoint folder set on the context.
 
-    Where neither is set a temporary folder is used, but only in local mode: on a cluster
-    executors could not see it.
+    One of them must be set, to a folder that every executor can reach. In local mode, where the
+    driver is the only executor, the warehouse folder serves if neither is.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base and context.master.startswith("local["):
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/gridscale-shared"
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gridscale-"))
-        base = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return f"{base.rstrip('/')}/gridscale-{uuid.uuid4().hex}"
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     For small results that are used against large ones: they are computed once, survive lost
-    executors, and their file size tells Spark whether a broadcast is safe.
+    executors, and their file size tells Spark whether a broadcast is safe. The owner of the folder clears it.
     """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def session_setting(spark: SparkSession, key: str, value: str):
-    """Set one SQL option for the duration of a job and put the old value back."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)

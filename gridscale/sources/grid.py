@@ -7,23 +7,29 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridscale.schema import CELLS_PER_TASK, CELLS_PER_TILE
+from gridscale.schema import CELLS_PER_TASK, CELLS_PER_TILE, STEPS_PER_TASK
 
 _LARGEST_TASK = 256 * CELLS_PER_TASK
+_SMALLEST_TILE = 4096
+#: Positions of a line that are looked at together when gaps are filled.
+SEGMENT = 65_536
 
 
-def grid_tasks(spark: SparkSession, n_cells: int) -> int:
+def grid_tasks(spark: SparkSession, n_cells: int, steps: int = 1) -> int:
     """How many tasks to spread a grid over: about eight per core so that costly frames even
     out, each between a quarter and 67 million cells, so small runs are not shredded and
-    huge ones stay schedulable."""
-    wanted = n_cells // (8 * max(spark.sparkContext.defaultParallelism, 1))
-    per_task = min(max(wanted, CELLS_PER_TASK), _LARGEST_TASK)
-    return max(1, -(-n_cells // per_task))
+    huge ones stay schedulable. Cells that may take many ``steps`` are spread over more tasks, up to
+    eight per core, so that one deep frame keeps all cores busy."""
+    eight_per_core = 8 * max(spark.sparkContext.defaultParallelism, 1)
+    per_task = min(max(n_cells // eight_per_core, CELLS_PER_TASK), _LARGEST_TASK)
+    by_work = min(n_cells * steps // STEPS_PER_TASK, eight_per_core)
+    return max(1, -(-n_cells // per_task), by_work)
 
 
-def default_tiles(height: int, width_px: int) -> int:
-    """Tiles per axis that keep one tile near ``CELLS_PER_TILE`` cells."""
-    return max(1, math.ceil(math.sqrt(height * width_px / CELLS_PER_TILE)))
+def default_tiles(height: int, width_px: int, n_parts: int = 1) -> int:
+    """Tiles per axis that keep one tile near ``CELLS_PER_TILE`` cells, and a frame in ``n_parts`` or more."""
+    cells = height * width_px
+    return max(1, math.ceil(math.sqrt(max(cells / CELLS_PER_TILE, min(n_parts, cells / _SMALLEST_TILE)))))
 
 
 def axis_point(center, width, index, n: int) -> Column:
@@ -65,12 +71,12 @@ def tile_grid(views: DataFrame, height: int, width_px: int, n_tiles: int = 4) ->
 def pixel_grid(views: DataFrame, height: int, width_px: int, n_tiles: int | None = None) -> DataFrame:
     """Every cell of every view with its coordinates: the view's columns + ``y, x, re, im``.
 
-    The tiles, not the views, are the unit that is spread over tasks. The partition count is
-    explicit because adaptive execution would fold the tiny tile rows into one task before
+    The tiles, not the views, are the unit that is spread over tasks. The partition count follows from the
+    number of cells and is explicit because adaptive execution would fold the tiny tile rows into one task before
     they unfold into cells.
     """
     tiles = tile_grid(views, height, width_px, default_tiles(height, width_px) if n_tiles is None else n_tiles)
-    spread = int(views.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = grid_tasks(views.sparkSession, views.count() * height * width_px)
     return (
         tiles.repartition(spread, "frame", "tile_y", "tile_x")
         .withColumn("y", F.explode(F.sequence(F.col("y0"), F.col("y1") - 1)))
@@ -152,16 +158,20 @@ def all_cells(spark: SparkSession, n_frames: int, height: int, width_px: int) ->
 def missing_cells(lines: DataFrame, cells: DataFrame, width_px: int, n_tasks: int) -> DataFrame:
     """The cells absent from the given ``(frame, y)`` lines: the lines' columns + ``x``.
 
-    A line and the positions it has meet in one partition and the gaps unfold there, so
-    only known cells and lines are shuffled, never the full grid. The partition count is
-    explicit because the rows multiply afterwards.
+    Lines are cut into segments of ``SEGMENT`` positions. A segment and the positions it has meet in one
+    partition and the gaps unfold there, so only known cells and segments are shuffled, never the full
+    grid, and no array grows with the width. The partition count is explicit because the
+    rows multiply afterwards.
     """
-    known = (cells.select("frame", "y", "x").repartition(n_tasks, "frame", "y")
-             .groupBy("frame", "y").agg(F.collect_set("x").alias("known")))
-    gaps = F.array_except(F.sequence(F.lit(0), F.lit(width_px - 1)),
+    key = ["frame", "y", "segment"]
+    known = (cells.select("frame", "y", "x", F.expr(f"int(x div {SEGMENT})").alias("segment")).repartition(n_tasks, *key)
+             .groupBy(*key).agg(F.collect_set("x").alias("known")))
+    first = F.col("segment") * SEGMENT
+    gaps = F.array_except(F.sequence(first, F.least(first + (SEGMENT - 1), F.lit(width_px - 1))),
                           F.coalesce("known", F.array().cast("array<int>")))
-    return (lines.repartition(n_tasks, "frame", "y").join(known, ["frame", "y"], "left")
-            .withColumn("x", F.explode(gaps)).drop("known"))
+    segments = lines.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit((width_px - 1) // SEGMENT))))
+    return (segments.repartition(n_tasks, *key).join(known, key, "left")
+            .withColumn("x", F.explode(gaps)).drop("known", "segment"))
 
 
 def fill_grid(cells: DataFrame, n_frames: int, height: int, width_px: int, fill: int = 0) -> DataFrame:

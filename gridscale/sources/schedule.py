@@ -35,7 +35,7 @@ def zoom_schedule(
 ) -> DataFrame:
     """``(frame, center_re, center_im, width)``; any part left unset takes its default."""
     if n_frames < 1:
-        raise ValueError(f"n_frames must be >= 1, got {n_frames}")
+        raise ValueError(f"a zoom has at least one frame, not {n_frames}")
     initial = DEFAULT_INITIAL_WIDTH if initial_width is None else float(initial_width)
     final = DEFAULT_FINAL_WIDTH if final_width is None else float(final_width)
     re = DEFAULT_CENTER_RE if center_re is None else float(center_re)
@@ -60,7 +60,7 @@ def schedules_from(params: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name).cast("double"), F.lit(default)) if name in params.columns else F.lit(default)
 
     n_frames = F.when(F.col("n_frames") >= 1, F.col("n_frames").cast("int")).otherwise(
-        F.raise_error(F.concat(F.lit("n_frames must be >= 1, got "), F.col("n_frames").cast("string")))
+        F.raise_error(F.concat(F.lit("a zoom has at least one frame, not "), F.col("n_frames").cast("string")))
     )
     requests = params.select(
         "run_id",
@@ -70,12 +70,14 @@ def schedules_from(params: DataFrame) -> DataFrame:
         given("initial_width", DEFAULT_INITIAL_WIDTH).alias("initial_width"),
         given("final_width", DEFAULT_FINAL_WIDTH).alias("final_width"),
     )
-    # Unfolded in two steps so that a very long run never becomes one array.
+    # Unfolded in two steps, dealt anew between them, so that a very long run becomes neither one array
+    # nor one task.
     last = F.col("n_frames") - 1
     first = F.col("section") * _SECTION
     unfolded = (
         requests
         .withColumn("section", F.explode(F.sequence(F.lit(0), F.floor(last / _SECTION).cast("int"))))
+        .repartition(int(params.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run_id", "section")
         .withColumn("frame", F.explode(F.sequence(first, F.least(first + (_SECTION - 1), last))))
     )
     return unfolded.select(

@@ -58,7 +58,7 @@ def main(folder, *names):
     con = connect(folder)
     failed = 0
     for name, run in queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in oracle_sql():
             continue
         start = time.time()
         try:

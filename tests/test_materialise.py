@@ -35,38 +35,62 @@ def test_single_frame_run(spark, store, view):
 def test_fan_out_equals_one_job(spark, store):
     views = zoom_schedule(spark, 10)
     store.create_run("fan", 10, 6, 6, 40)
-    ids = [fan_out(store, "fan", views, 8, task) for task in range(8)]
-    assert [i is None for i in ids] == [False] * 5 + [True] * 3
+    staged = [fan_out(store, "fan", views, 8, task) for task in range(8)]
+    assert [s is None for s in staged] == [False] * 5 + [True] * 3
+    assert store.read("fan").count() == 0
+    store.commit("fan", [s for s in staged if s])
     assert as_set(store.read("fan"), *CELL) == as_set(compute_frames(views, 6, 6, 40), *CELL)
     assert store.commits("fan").count() == 6
     with pytest.raises(ValueError):
         fan_out(store, "fan", views, 8, 8)
 
 
-def test_workers_commit_at_the_same_time(spark, store):
+def test_workers_stage_at_the_same_time_and_one_caller_commits(spark, store):
     views = zoom_schedule(spark, 8)
     store.create_run("fan", 8, 5, 5, 30)
     with ThreadPoolExecutor(4) as pool:
         workers = [GridStore(spark, store.root) for _ in range(4)]
-        list(pool.map(lambda t: fan_out(workers[t], "fan", views, 4, t), range(4)))
-    assert store.commits("fan").count() == 5
+        staged = list(pool.map(lambda t: fan_out(workers[t], "fan", views, 4, t), range(4)))
+    store.commit("fan", staged)
+    assert [(c["commit_seq"], c["message"]) for c in store.history("fan").collect()][1:] == [(k + 2, f"task {k} of 4") for k in range(4)]
     assert as_set(store.read("fan"), *CELL) == as_set(compute_frames(views, 5, 5, 30), *CELL)
     assert store.read("fan").count() == 200
 
 
-def test_same_number_is_ordered_by_snapshot(spark, store, monkeypatch):
-    store.create_run("r", 1, 1, 1)
-    cell = "frame INT, y INT, x INT, iterations INT"
-    store.write_frames("r", spark.createDataFrame([(0, 0, 0, 1)], cell))
-    before = GridStore._write_row
+def test_progress_survives_a_crash(spark, store, monkeypatch):
+    views = zoom_schedule(spark, 7)
+    store.create_run("r", 7, 5, 5, 30)
+    before, calls = GridStore.commit, []
 
-    def same_number(self, name, schema, values, *where):
-        before(self, name, schema, (2, *values[1:]) if name == "commits" else values, *where)
+    def third_dies(self, *args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("driver lost")
+        before(self, *args)
 
-    monkeypatch.setattr(GridStore, "_write_row", same_number)
-    other = store.write_frames("r", spark.createDataFrame([(0, 0, 0, 2)], cell))
-    first = next(c["snapshot_id"] for c in store.commits("r").collect() if c["n_frames"] and c["snapshot_id"] != other)
-    assert [r["iterations"] for r in store.read("r").collect()] == [2 if other > first else 1]
+    monkeypatch.setattr(GridStore, "commit", third_dies)
+    with pytest.raises(RuntimeError):
+        materialise(store, "r", views, frames_per_commit=2)
+    monkeypatch.undo()
+    assert as_set(pending(store, "r", views), "frame") == {(4,), (5,), (6,)}
+    fill_pending(store, "r", views, frames_per_commit=2)
+    assert [c["n_frames"] for c in store.history("r").collect()] == [0, 2, 2, 2, 1]
+    assert as_set(store.read("r"), *CELL) == as_set(compute_frames(views, 5, 5, 30), *CELL)
+
+
+def test_a_run_of_other_settings_is_refused(spark, store):
+    views = zoom_schedule(spark, 2)
+    zoom_run(store, "r", views, 4, 4, 50)
+    for other in ((8, 4, 50, "early_exit"), (4, 4, 51, "early_exit"), (4, 4, 50, "exact")):
+        with pytest.raises(ValueError, match="other settings"):
+            zoom_run(store, "r", views, *other)
+    zoom_run(store, "r", views, 4, 4, 50)
+    assert store.describe("r").first()["cells_written"] == 32
+
+
+def test_a_deep_frame_uses_many_tasks(spark, view):
+    cells = compute_frames(view((-0.5, 0, 1)), 512, 512, 4000, "exact")
+    assert cells.rdd.getNumPartitions() >= 7
 
 
 def test_pending_and_fill(spark, store):
@@ -87,7 +111,7 @@ def test_fill_after_a_crash(spark, store, monkeypatch):
     def die(*args, **kwargs):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(GridStore, "_log", die)
+    monkeypatch.setattr(GridStore, "_append", die)
     with pytest.raises(RuntimeError):
         fill_pending(store, "r", views)
     monkeypatch.undo()

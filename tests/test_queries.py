@@ -16,11 +16,15 @@ def sql():
     return oracle_check.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, sql, name):
     got = queries()[name](spark, FOLDER).toPandas()
     assert oracle_check.difference(got, sql.execute(oracle_sql()[name]).df()) is None
 
 
+def test_every_sql_belongs_to_a_query():
+    assert set(oracle_sql()) <= set(queries())
+
+
 def test_entry_has_rows(spark):
     assert entry(spark).count() > 0

@@ -44,6 +44,17 @@ def test_palette_bins(spark):
         render.apply_palette(v, palette.limit(0))
 
 
+def test_every_cell_keeps_its_row_and_odd_palettes_are_refused(spark):
+    v = spark.createDataFrame([(0.1,), (0.9,), (-0.6,), (7.0,), (None,), (float("nan"),)], "v DOUBLE")
+    palette = spark.createDataFrame([(i, i, i, i) for i in range(4)], "bin INT, r INT, g INT, b INT")
+    assert [r["r"] for r in render.apply_palette(v, palette).collect()].count(None) == 2
+    got = {r["v"]: r["r"] for r in render.apply_palette(v, palette).filter("v IS NOT NULL AND NOT isnan(v)").collect()}
+    assert got == {0.1: 0, 0.9: 3, -0.6: 0, 7.0: 3}
+    for bad in (palette.filter("bin <> 1"), palette.filter("bin = 1"), palette.union(palette.limit(1))):
+        with pytest.raises(ValueError, match="once each"):
+            render.apply_palette(v, bad)
+
+
 def test_palettes_are_whole_and_8_bit(spark):
     for palette in (gray_palette(spark), ember_palette(spark), ember_palette(spark, 16)):
         rows = palette.collect()
@@ -91,6 +102,36 @@ def test_missing_bands_stay_black(spark, monkeypatch):
     assert image.shape == (9, 5, 3) and image[7, 3].tolist() == [1, 2, 3] and image.sum() == 6
 
 
+def test_parts_join_to_the_same_image(spark, monkeypatch):
+    monkeypatch.setattr(render, "CELLS_PER_TILE", 10)
+    rgb = spark.createDataFrame([(f, y, x, y, x, 9) for f in (0, 4) for y in range(9) for x in range(5) if y != 3],
+                                "frame INT, y INT, x INT, r INT, g INT, b INT")
+    parts = render.image_parts(rgb, 9, 5).collect()
+    whole = {r["frame"]: bytes(r["png"]) for r in render.frame_images(rgb, 9, 5).collect()}
+    for frame in (0, 4):
+        own = sorted((r["part"], bytes(r["bytes"])) for r in parts if r["frame"] == frame)
+        assert [k for k, _ in own] == list(range(7)) and b"".join(b for _, b in own) == whole[frame]
+        assert png.decode(whole[frame])[8, 4].tolist() == [8, 4, 9]
+
+
+def test_pixels_outside_the_image_are_an_error(spark):
+    for y, x in ((0, 5), (9, 0), (-1, 0), (0, -1)):
+        rgb = spark.createDataFrame([(0, y, x, 1, 2, 3)], "frame INT, y INT, x INT, r INT, g INT, b INT")
+        with pytest.raises(Exception, match="outside the image"):
+            render.frame_images(rgb, 9, 5).collect()
+
+
+def test_a_rebuilt_pyramid_has_no_level_of_the_old_one(cells, spark, tmp_path):
+    path = f"{tmp_path}/tiles"
+    render.build_pyramid(cells(np.ones((16, 16))), path, "r", 16, 16, tile_size=4)
+    again = render.build_pyramid(cells(np.ones((4, 4))), path, "r", 4, 4, tile_size=4)
+    assert {r["z"]: r["count"] for r in again.groupBy("z").count().collect()} == {0: 16}
+    render.build_pyramid(cells(np.ones((4, 4))), path, "s", 4, 4, tile_size=4)
+    assert render.read_pyramid(spark, path).count() == 32
+    spark.range(1).write.parquet(f"{path}/levels/run_id=r/version=3/z=0")  # a build that died
+    assert render.read_pyramid(spark, path, "r").count() == 16
+
+
 def test_oversized_image_is_refused(spark):
     one = spark.createDataFrame([(0, 0, 0, 1, 2, 3)], "frame INT, y INT, x INT, r INT, g INT, b INT")
     with pytest.raises(ValueError, match="tile_images"):

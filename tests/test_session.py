@@ -1,6 +1,6 @@
 import pytest
 
-from gridscale.session import session_setting, settled, shared_folder
+from gridscale.session import settled, shared_folder
 
 
 class FakeContext:
@@ -17,7 +17,7 @@ class FakeContext:
 class FakeSession:
     def __init__(self, master, conf=None, folder=None):
         self.sparkContext = FakeContext(master, folder)
-        self.conf = {} if conf is None else {"spark.checkpoint.dir": conf}
+        self.conf = {"spark.sql.warehouse.dir": "file:/warehouse"} | ({} if conf is None else {"spark.checkpoint.dir": conf})
 
 
 def test_the_folder_the_cluster_names_is_used():
@@ -25,24 +25,17 @@ def test_the_folder_the_cluster_names_is_used():
     assert shared_folder(FakeSession("yarn", None, "hdfs:///set")).startswith("hdfs:///set/gridscale-")
 
 
-def test_a_temporary_folder_only_in_local_mode():
+def test_without_a_named_folder_only_local_mode_works():
     local = FakeSession("local[2]")
     first, second = shared_folder(local), shared_folder(local)
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession("spark://host:7077"))
+    assert first != second and first.startswith("file:/warehouse/gridscale-shared/")
+    assert local.sparkContext.getCheckpointDir() is None
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(FakeSession(master))
 
 
 def test_settled_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "a INT, b STRING")
     kept = settled(df)
     assert kept.schema == df.schema and sorted(kept.collect()) == sorted(df.collect())
-
-
-def test_settings_are_put_back(spark):
-    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
-    with pytest.raises(RuntimeError):
-        with session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "5"):
-            assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "5"
-            raise RuntimeError
-    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before

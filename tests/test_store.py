@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_set
 from gridscale.operators.store import CREATE_MESSAGE, GridStore
-from gridscale.session import session_setting
+from gridscale.sources.grid import missing_cells
 
 CELL = ("frame", "y", "x", "iterations")
 
@@ -70,7 +70,7 @@ def test_history_latest_and_as_of(spark, store):
     store.write_frames("r", plane(spark, 1, 2, 9), message="second look")
     store.write_frames("r", plane(spark, 2, 2, 5))
     log = [(c["commit_seq"], c["message"], c["n_frames"], c["n_cells"]) for c in store.history("r").collect()]
-    assert log == [(1, CREATE_MESSAGE, 0, 0), (2, "2 frames", 2, 8), (3, "second look", 1, 4), (4, "frame 0002", 1, 4)]
+    assert log == [(1, CREATE_MESSAGE, 0, 0), (2, "wrote 2 frames", 2, 8), (3, "second look", 1, 4), (4, "wrote frame 2", 1, 4)]
     assert as_set(store.read("r"), "frame", "iterations") == {(0, 1), (1, 9), (2, 5)}
     assert as_set(store.read("r", as_of=2), "frame", "iterations") == {(0, 1), (1, 1)}
     assert as_set(store.read("r", as_of=3), "frame", "iterations") == {(0, 1), (1, 9)}
@@ -90,7 +90,7 @@ def test_files_without_a_log_row_do_not_exist(spark, store, monkeypatch):
     def die(*args, **kwargs):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(GridStore, "_log", die)
+    monkeypatch.setattr(GridStore, "_append", die)
     with pytest.raises(RuntimeError):
         store.write_frames("r", plane(spark, 0, 2, 7).union(plane(spark, 1, 2, 7)))
     monkeypatch.undo()
@@ -129,40 +129,117 @@ def test_partly_written_frames_fill_up_in_the_dense_view(spark, store):
     assert dense.select("frame", "y", "x").distinct().count() == 18
 
 
-def test_reading_many_commits_takes_the_other_path(spark, store, monkeypatch):
-    """Beyond the limits that allow listing and broadcasting, joins give the same answer."""
-    import gridscale.operators.store as module
+def lose(store, folder):
+    """Delete one data folder of a store below a test's own temporary folder."""
+    spark = store.spark
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store.root}/{folder}")
+    assert path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def test_a_folder_that_is_gone_is_an_error(spark, store):
     store.create_run("r", 4, 2, 2)
-    for frame in (0, 1, 2, 1):
-        store.write_frames("r", plane(spark, frame, 2, 10 + frame))
-    expected = as_set(store.read("r"), *CELL)
-    monkeypatch.setattr(module, "MAX_LISTED_COMMITS", 2)
-    monkeypatch.setattr(module, "BROADCAST_ROWS", 0)
+    kept = store.write_frames("r", plane(spark, 0, 2, 1))
+    gone = store.write_frames("r", plane(spark, 1, 2, 2))
+    store.write_frames("r", plane(spark, 2, 2, 3))
+    lose(store, f"pixels/run_id=r/snapshot_id={gone}")
+    for read in (lambda: store.read("r"), lambda: store.read_frame("r", 1), lambda: store.dense("r"), lambda: store.select("r", frame=1)):
+        with pytest.raises(FileNotFoundError, match=gone):
+            read().count()
+    assert as_set(store.read_frame("r", 2), "iterations") == {(3,)}  # needs another folder
+    assert as_set(store.read("r", as_of=kept), "iterations") == {(1,)}
+    lose(store, f"frames/run_id=r/snapshot_id={gone}")
+    with pytest.raises(FileNotFoundError, match=gone):
+        store.frames("r").count()
+
+
+def test_a_lost_folder_among_very_many_commits(spark, store):
+    """The outcome does not depend on how many commits the log has."""
+    store.create_run("r", 2000, 1, 1)
+    real = store.write_frames("r", spark.createDataFrame([(0, 0, 0, 5)], "frame INT, y INT, x INT, iterations INT"))
+    store._append("r", [{"snapshot_id": f"s{k}", "message": "m", "n_frames": 1, "n_cells": 1, "elapsed_s": 0.0} for k in range(1200)])
+    assert len(store.state("r").commits) == 1201
+    with pytest.raises(FileNotFoundError):
+        store.read("r").count()
+    assert as_set(store.read("r", as_of=real), "iterations") == {(5,)}
+
+
+def test_a_commit_between_state_and_read_changes_nothing(spark, store):
+    store.create_run("r", 2, 2, 2)
+    store.write_frames("r", plane(spark, 0, 2, 1))
+    store.write_frames("r", plane(spark, 1, 2, 1))
     state = store.state("r")
-    assert state.snapshots is None and state.frame_rows == 4 and state.created_at == 1
-    assert as_set(store.read("r"), *CELL) == expected
-    assert store.read("r").count() == 12
+    store.write_frames("r", plane(spark, 0, 2, 9))
+    live = {r["frame"]: r["commit_seq"] for r in store.live_frames("r", state=state).collect()}
+    assert live == {0: 2, 1: 3}
+    assert {r["frame"]: r["commit_seq"] for r in store.live_frames("r").collect()} == {0: 4, 1: 3}
+
+
+def test_a_second_committer_is_refused(spark, store, monkeypatch):
+    store.create_run("r", 2, 2, 2)
+    staged = [store.stage_frames("r", plane(spark, f, 2, f + 1)) for f in range(2)]
+    assert store.read("r").count() == 0
+    store.commit("r", staged)
+    assert [c["commit_seq"] for c in store.history("r").collect()] == [1, 2, 3]
+    other = GridStore(spark, store.root)
+    monkeypatch.setattr(other, "_newest", lambda run_id: 2 if run_id == "r" else 0)  # it looked before the first one wrote
+    spark.range(0).write.mode("overwrite").parquet(f"{store.root}/unused")
+    with pytest.raises(Exception):
+        other.create_run("r", 2, 2, 2)
+    assert as_set(store.read("r"), "frame", "iterations") == {(0, 1), (1, 2)}
+
 
+def test_an_incomplete_version_of_the_log_is_passed_over(spark, store):
+    store.create_run("r", 1, 1, 1)
+    spark.range(1).write.parquet(f"{store.root}/commits/run_id=r/version=9/_temporary/0")
+    assert store.history("r").count() == 1
 
-def test_reading_one_frame_opens_one_block(spark, store, monkeypatch):
+
+def test_as_of_a_snapshot_id(spark, store):
+    store.create_run("r", 2, 2, 2)
+    first = store.write_frames("r", plane(spark, 0, 2, 1))
+    store.write_frames("r", plane(spark, 0, 2, 2))
+    assert as_set(store.read("r", as_of=first), "iterations") == {(1,)}
+    assert as_set(store.read_frame("r", 0, as_of=first), "iterations") == {(1,)}
+    with pytest.raises(ValueError, match="no such snapshot"):
+        store.read("r", as_of="nothing")
+
+
+def test_reading_one_frame_opens_one_folder(spark, store, monkeypatch):
     import gridscale.operators.store as module
     monkeypatch.setattr(module, "CELLS_PER_BLOCK", 4)
     store.create_run("r", 3, 2, 2)
-    store.write_frames("r", plane(spark, 0, 2, 1).union(plane(spark, 1, 2, 2)).union(plane(spark, 2, 2, 3)))
+    snapshot = store.write_frames("r", plane(spark, 0, 2, 1).union(plane(spark, 1, 2, 2)).union(plane(spark, 2, 2, 3)))
     one = store.read_frame("r", 2)
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "(frame_block#" in plan.split("PartitionFilters")[1] and "EqualTo(frame,2)" in plan
+    assert {f.split("/run_id=r/")[1].rsplit("/", 1)[0] for f in one.inputFiles()} == {f"snapshot_id={snapshot}/frame_block=2"}
     assert as_set(one, "iterations") == {(3,)}
 
 
+def test_a_cell_repeated_in_a_split_frame_is_found(spark, store):
+    store.create_run("r", 1, 300, 300)
+    twice = plane(spark, 0, 300, 1).repartition(20).union(plane(spark, 0, 300, 2).filter("y = 299 AND x = 7"))
+    with pytest.raises(ValueError, match="more than once"):
+        store.write_frames("r", twice)
+
+
+def test_one_very_long_line_is_filled_in_segments(spark):
+    width = 3_000_000
+    lines = spark.createDataFrame([(0, 0)], "frame INT, y INT")
+    known = spark.range(0, width, 3).select(F.lit(0).alias("frame"), F.lit(0).alias("y"), F.col("id").cast("int").alias("x"))
+    gaps = missing_cells(lines, known, width, 8)
+    assert gaps.agg(F.count("*"), F.sum("x")).first()[:] == (2_000_000, sum(range(width)) - sum(range(0, width, 3)))
+
+
 def test_a_frame_that_holds_most_cells_is_split(spark, store):
     """Adaptive execution cuts the hot frame into several files; every cell arrives once."""
     store.create_run("r", 40, 600, 600)
     hot = plane(spark, 3, 600, 7)
     rest = spark.range(40).select(F.col("id").cast("int").alias("frame"), F.lit(0).alias("y"), F.lit(0).alias("x"),
                                   F.lit(1).alias("iterations")).filter("frame <> 3")
-    with session_setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB"):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
         store.write_frames("r", hot.repartition(12).union(rest))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     cells = store.read("r")
     files = cells.filter("frame = 3").select(F.input_file_name().alias("f")).distinct().count()
     assert files > 1
