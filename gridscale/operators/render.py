@@ -62,7 +62,7 @@ def apply_palette(cells: DataFrame, palette: DataFrame) -> DataFrame:
     n_bins = seen["n"]
     if not 1 <= n_bins <= MAX_BINS or (seen["bins"], seen["low"], seen["high"]) != (n_bins, 0, n_bins - 1):
         raise ValueError(f"a palette has the bins 0 to n - 1, once each, and at most {MAX_BINS}")
-    v = F.when(~F.isnan("v"), F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)))
+    v = F.when(F.col("v").isNotNull() & ~F.isnan("v"), F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)))
     bins = F.when(v.isNotNull(), F.least((v * n_bins).cast("int"), F.lit(n_bins - 1)))
     return (cells.withColumn("bin", bins)
             .join(F.broadcast(palette.select("bin", "r", "g", "b")), "bin", "left").drop("bin"))
