@@ -83,4 +83,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_privacy": op10_privacy,
 }
 
-ORACLES: dict[str, str] = {}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _word_lists(table_name: str, key: str, pattern: str) -> str:
+    return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}') AS w FROM {table_name}")
+
+
+#: Language models, trees, token codes, hash rings, byte windows and matches of patterns in order have no SQL form; the tests hold those
+#: queries against brute force.
+ORACLES: dict[str, str] = {
+    "op4_jaccard": rf"""WITH RECURSIVE docs AS ({_word_lists('documents', 'doc_id', r'[^\x20\x09-\x0D]+')}),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+FROM (SELECT a AS doc_id, min(b) AS c FROM reached GROUP BY a) LEFT JOIN sizes USING (doc_id)""",
+    "op6_chat": r"""WITH everything AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+given AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM everything),
+escaped AS (
+  SELECT *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsb;') AS etext,
+         replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsb;'), chr(10), '&nl;') AS erole FROM given)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length(erole) + length(etext) + 9)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id""",
+    "op7_decontamination": rf"""WITH docs AS ({_word_lists('documents', 'doc_id', r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')}),
+items AS ({_word_lists('benchmark', 'item_id', r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')}),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)),
+found AS (
+  SELECT doc_id, i, k, item_id
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k) d
+  JOIN windows USING (k) WHERE array_to_string(w[i:i + k - 1], ' ') = g),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+}
