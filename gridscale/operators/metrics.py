@@ -19,13 +19,15 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compare_metrics(metrics: DataFrame, baseline_stage: str) -> DataFrame:
-    """Mean wall time per stage, its speed-up over the baseline stage and its rank.
+    """Mean wall time per stage, its speed-up over the baseline stage and its rank. Metrics without the
+    baseline stage are an error.
 
     The ranking window runs over one row per stage, after the aggregation."""
     stages = metrics.groupBy("stage_id").agg(
         F.count("*").alias("n_runs"), F.avg("wall_time_seconds").alias("mean_seconds"))
     baseline = (metrics.filter(F.col("stage_id") == baseline_stage)
-                .agg(F.avg("wall_time_seconds").alias("s")).scalar())
+                .agg(F.coalesce(F.avg("wall_time_seconds"), F.raise_error(F.lit(f"no times of stage {baseline_stage!r}")))
+                     .alias("s")).scalar())
     return stages.withColumns({
         "speedup": baseline / F.when(F.col("mean_seconds") > 0, F.col("mean_seconds")),
         "place": F.rank().over(Window.orderBy("mean_seconds")),

@@ -24,6 +24,11 @@ def test_speedup_over_the_baseline(metrics):
     assert got == {"loop": (2, 15.0, 1.0, 2), "tiles": (1, 0.5, 30.0, 1)}
 
 
+def test_an_absent_baseline_is_an_error(metrics):
+    with pytest.raises(Exception, match="no times of stage 'other'"):
+        compare_metrics(metrics, "other").collect()
+
+
 def test_ms_per_frame(spark):
     log = spark.createDataFrame([("r", 0, 1.0), ("r", 1, 3.0), ("r", 9, 2.0)], "run_id STRING, frame INT, elapsed_s DOUBLE")
     assert ms_per_frame(log).first()[:] == ("r", 3, 6.0, 2000.0)
