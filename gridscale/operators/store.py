@@ -20,7 +20,7 @@ import time
 import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -57,6 +57,7 @@ class GridStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._logs: dict[str, tuple[int, list[Row]]] = {}  # by run: a version, which never changes, and its rows
 
     # -- creating runs ---------------------------------------------------------------
 
@@ -129,16 +130,19 @@ class GridStore:
         return RunState(created["spec"], created["commit_seq"], rows[-1]["commit_seq"], since)
 
     def _log(self, run_id: str) -> list[Row]:
-        return sorted(self.commits(run_id).collect(), key=lambda r: r["commit_seq"])
+        """The newest log, oldest commit first; read again only if there is a newer version."""
+        version = self._newest(run_id)
+        if self._logs.get(run_id, (0, []))[0] != version:
+            self._logs[run_id] = version, sorted(self.commits(run_id).collect(), key=lambda r: r["commit_seq"])
+        return self._logs[run_id][1] if version else []
 
     def _append(self, run_id: str, entries: list[dict]) -> None:
         """The log with more rows, as its next version."""
         version = self._newest(run_id)
-        more = [(version + k + 1, e["message"], e["n_frames"], e["n_cells"], float(e["elapsed_s"]), e.get("spec"), e["snapshot_id"]) for k, e in enumerate(entries)]
         columns = [f.name for f in COMMITS if f.name not in ("run_id", "version")]
-        rows = self.spark.createDataFrame(more, _fields(COMMITS, columns))
-        if version:
-            rows = self.commits(run_id).select(*columns).unionByName(rows)
+        given = [tuple(r[c] for c in columns) for r in self._log(run_id)]
+        more = [(version + k + 1, e["message"], e["n_frames"], e["n_cells"], float(e["elapsed_s"]), e.get("spec"), e["snapshot_id"]) for k, e in enumerate(entries)]
+        rows = self.spark.createDataFrame(given + more, _fields(COMMITS, columns))
         path = f"{self.root}/commits/run_id={run_id}/version={version + len(entries)}"
         try:
             rows.coalesce(1).write.mode("errorifexists").parquet(path)
@@ -198,11 +202,11 @@ class GridStore:
         else:
             counted = self._counted(self._opened([path], PIXELS), spec, views)
         folder = f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"
-        counted.write.mode("errorifexists").parquet(folder)
-        done = (self.spark.read.schema(counted.schema).parquet(folder)
-                .agg(F.count("*").alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
-                     F.min("frame").alias("first"), F.coalesce(F.sum("again"), F.lit(0)).alias("again"),
-                     F.min_by("frame", F.when(F.col("again") > 0, F.col("frame"))).alias("bad")).first())
+        seen = Observation()
+        counted.observe(seen, F.count(F.lit(1)).alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
+                        F.min("frame").alias("first"), F.coalesce(F.sum("again"), F.lit(0)).alias("again"),
+                        F.min(F.when(F.col("again") > 0, F.col("frame"))).alias("bad")).write.mode("errorifexists").parquet(folder)
+        done = seen.get
         if done["again"]:
             raise ValueError(f"cells of run {run_id!r} occur more than once, e.g. in frame {done['bad']}")
         if message is None:
