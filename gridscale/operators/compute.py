@@ -49,10 +49,10 @@ def compute_frames(
         n_tiles = default_tiles(height, width_px, -(-n_tasks // max(n_frames, 1)))
 
     tiles = tile_grid(views.select("frame", "center_re", "center_im", "width"), height, width_px, n_tiles)
-    if n_tasks > 1:
+    if n_tasks > 1 and n_frames > 1:
         tiles = tiles.repartitionByRange(n_tasks, "frame", "tile_y", "tile_x")
-    else:
-        tiles = tiles.repartition(1)  # a coalesce would drag the job behind the views into one task
+    else:  # one frame has no order of frames to keep, and one task needs no range bounds
+        tiles = tiles.repartition(n_tasks)
 
     def cells(batches):
         gathered, points = [], 0
