@@ -66,6 +66,12 @@ def timed(make, times=1):
     return round(sorted(seconds)[len(seconds) // 2], 3)
 
 
+def marginal(seconds):
+    if not {"zoom_60x480", "zoom_120x480"} <= set(seconds):
+        return {}
+    return {"480x480, 512 steps": round(1000 * (seconds["zoom_120x480"] - seconds["zoom_60x480"]) / 60, 1)}
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -88,7 +94,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds,
-        "ms_per_frame": {"480x480, 512 steps": round(1000 * (seconds["zoom_120x480"] - seconds["zoom_60x480"]) / 60, 1)} if "zoom_60x480" in seconds and "zoom_120x480" in seconds else {},
+        "ms_per_frame": marginal(seconds),
         "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale, "cpus": cpus,
     }))
     spark.stop()
