@@ -18,7 +18,7 @@ CHOICE = LENGTH - GRAM + 1
 #: Symbols that lie whole within any repeated string.
 SURE = LENGTH // SYMBOL - 1
 #: Contexts of one anchor in one unit of work, and bytes of contexts in a unit.
-CHUNK_CONTEXTS, UNIT_BYTES = 2048, 2 << 20
+CHUNK_CONTEXTS, UNIT_BYTES = 256, 1 << 20
 
 _POSITION_BITS = 24
 #: Longer texts are searched in overlapping parts of this size.
@@ -255,37 +255,40 @@ def _compare(work: list, add) -> None:
     order = order[full[order]]
     run = slices.hashes(at[order], at[order] + SURE * SYMBOL)
     same = np.concatenate([[False], run[1:] == run[:-1]])
-    shared = same | np.append(same[1:], False)
     hot = np.array([w[5] for w in work])
     places = np.array([w[3] for w in work])
-    order, run = order[shared | hot[owner[order]] | (places[owner[order]] > 1)], run[shared | hot[owner[order]] | (places[owner[order]] > 1)]
-    # Strings that begin up to SYMBOL - 1 bytes before such a run, and hold it.
-    suffix = np.repeat(np.arange(len(order)), SYMBOL)
-    who = owner[order][suffix]
-    start = at[order][suffix] - np.tile(np.arange(SYMBOL), len(order))
-    fits = (start >= begin[who]) & (start + LENGTH <= begin[who + 1])
-    suffix, who, start = suffix[fits], who[fits], start[fits]
-    apart = start - centre[who]
-    anchor = np.array([w[0][0] for w in work], np.int64)
-    string = mixed(slices.hashes(start, start + LENGTH) + apart.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + mixed(anchor[who].view(np.uint64)))
-    _, first, inverse, counts = np.unique(string, return_index=True, return_inverse=True, return_counts=True)
-    inverse = inverse.ravel()
-    twice = (counts[inverse] > 1) | (places[who] > 1)
-    order_by = np.lexsort([apart, who])
-    bounds = np.searchsorted(who[order_by], np.arange(len(work) + 1))
-    is_first = np.zeros(len(string), bool)
-    is_first[first] = True
-    for k, (key, *_rest) in enumerate(work):
-        own = order_by[bounds[k]:bounds[k + 1]]
-        spans = _spans_of(apart[own][twice[own]])
-        if spans:
-            add(*key, spans, None, None, None, None)
-        if hot[k]:  # the anchor's other chunks may hold the strings too
-            own = own[is_first[own]]
-            for s in np.unique(suffix[own]):
-                some = own[suffix[own] == s]
-                name = mixed(run[s:s + 1] + step[order[s]:order[s] + 1].astype(np.uint64) + mixed(anchor[k:k + 1].view(np.uint64)))
-                add(*key, None, work[k][4], int(name.view(np.int64)[0]), apart[some].tolist(), string[some].view(np.int64).tolist())
+    wanted = same | np.append(same[1:], False) | hot[owner[order]] | (places[owner[order]] > 1)
+    order, run = order[wanted], run[wanted]
+    # Strings that begin up to SYMBOL - 1 bytes before such a run, and hold it. Those that begin differently many
+    # bytes before it are at other distances from the anchor, so each number of bytes is a case of its own.
+    anchor = mixed(np.array([w[0][0] for w in work], np.int64).view(np.uint64))
+    twice, firsts = [], []
+    for ahead in range(SYMBOL):
+        start = at[order] - ahead
+        who = owner[order]
+        fits = (start >= begin[who]) & (start + LENGTH <= begin[who + 1])
+        suffix, who, start = np.flatnonzero(fits), who[fits], start[fits]
+        apart = start - centre[who]
+        string = mixed(slices.hashes(start, start + LENGTH) + apart.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + anchor[who])
+        _, first, inverse, counts = np.unique(string, return_index=True, return_inverse=True, return_counts=True)
+        again = (counts[inverse.ravel()] > 1) | (places[who] > 1)
+        twice.append(np.column_stack([who[again], apart[again]]).astype(np.int32))
+        first = first[hot[who[first]]]  # the anchor's other chunks may hold these strings too
+        firsts.append((who[first], suffix[first], apart[first], string[first]))
+    who, apart = np.concatenate(twice).T
+    sorting = np.lexsort([apart, who])
+    who, apart = who[sorting], apart[sorting]
+    bounds = np.searchsorted(who, np.arange(len(work) + 1))
+    for k in np.flatnonzero(np.diff(bounds)):
+        add(*work[k][0], _spans_of(apart[bounds[k]:bounds[k + 1]]), None, None, None, None)
+    who, suffix, apart, string = (np.concatenate(c) for c in zip(*firsts))
+    sorting = np.argsort(suffix, kind="stable")
+    who, suffix, apart, string = (c[sorting] for c in (who, suffix, apart, string))
+    edges = np.append(np.flatnonzero(np.diff(suffix, prepend=-1)), len(suffix))
+    name = mixed(run + step[order].astype(np.uint64) + anchor[owner[order]]).view(np.int64)
+    for x, y in zip(edges, edges[1:]):
+        k = who[x]
+        add(*work[k][0], None, work[k][4], int(name[suffix[x]]), apart[x:y].tolist(), string[x:y].view(np.int64).tolist())
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -299,23 +302,26 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     named = _named(docs)
     found = stored(named.mapInArrow(over_batches(_anchor_rows), "uid BIGINT, anchor BIGINT, positions ARRAY<INT>"))
-    twice = found.groupBy("anchor").agg(F.sum(F.size("positions")).alias("n")).where("n > 1").select("anchor")
+    # Counts are written before they are joined, so that adaptive execution can split an anchor that many texts have.
+    twice = stored(found.groupBy("anchor").agg(F.sum(F.size("positions")).alias("n")).where("n > 1").select("anchor"))
     marks = found.join(twice, "anchor").groupBy("uid").agg(F.collect_set(F.struct("anchor", "positions")).alias("marks"))
     both = stored(named.join(marks, "uid").select("uid", "text", "marks").mapInArrow(over_batches(_context_rows), _CONTEXTS_SQL))
     contexts = both.where("body IS NOT NULL")
     size = contexts.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     units = max(1, size // UNIT_BYTES)
-    counts = contexts.groupBy("anchor").agg(F.ceil(F.count("*") / CHUNK_CONTEXTS).alias("chunks"))
-    dealt = contexts.join(counts, "anchor").select(
-        "anchor", "ctx", "lead", "body", "places", (F.col("chunks") > 1).alias("hot"), F.pmod("ctx", F.col("chunks")).alias("chunk"))
+    split = stored(contexts.groupBy("anchor").agg(F.ceil(F.count("*") / CHUNK_CONTEXTS).alias("chunks")).where("chunks > 1"))
+    dealt = contexts.join(split, "anchor", "left").select(
+        "anchor", "ctx", "lead", "body", "places", F.col("chunks").isNotNull().alias("hot"),
+        F.pmod("ctx", F.coalesce("chunks", F.lit(1))).alias("chunk"))
     dealt = dealt.withColumn("unit", F.pmod(F.xxhash64("anchor", "chunk"), F.lit(units)))
     repeats = stored(dealt.groupBy("unit").applyInArrow(_repeated, _REPEATS_SQL))
     spans = repeats.where("spans IS NOT NULL").select("anchor", "ctx", "spans")
     firsts = repeats.where("run IS NOT NULL")
     several = firsts.groupBy("run").agg(F.min("chunk").alias("one"), F.max("chunk").alias("other")).where("one <> other").select("run")
+    several = stored(several)
     strings = firsts.join(several, "run").select("anchor", "ctx", F.explode(F.arrays_zip("starts", "strings")).alias("x")).select(
         "anchor", "ctx", F.col("x.starts").alias("start"), F.col("x.strings").alias("string"))
-    common = strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    common = stored(strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"))
     # A string that two chunks saw first is repeated in them; so it is wherever it occurs, which each chunk has found itself.
     more = strings.join(common, "string").select("anchor", "ctx", F.array(F.struct(
         F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end"))).alias("spans"))
