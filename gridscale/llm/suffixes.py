@@ -180,10 +180,10 @@ def _context_batches(bodies, seen):
 # 3. Suffix arrays over the contexts of a unit tell which strings occur twice.
 
 _REPEATS_SQL = ("anchor BIGINT, ctx BIGINT, spans ARRAY<STRUCT<start:INT,end:INT>>, chunk BIGINT, run BIGINT, "
-                "starts ARRAY<INT>, strings ARRAY<BIGINT>")
+                "starts ARRAY<INT>, strings ARRAY<BIGINT>, alone ARRAY<BOOLEAN>")
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _REPEATS = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("spans", _SPANS), ("chunk", pa.int64()), ("run", pa.int64()),
-                      ("starts", pa.list_(pa.int32())), ("strings", pa.list_(pa.int64()))])
+                      ("starts", pa.list_(pa.int32())), ("strings", pa.list_(pa.int64())), ("alone", pa.list_(pa.bool_()))])
 
 
 def _spans_of(starts: np.ndarray) -> list[dict]:
@@ -222,7 +222,7 @@ def _repeated(table: pa.Table) -> pa.Table:
     for key, (lead, body, places, chunk, hot) in zip(keys, rows):
         if alone[key[0]] == 1 and not hot:
             if places > 1 and len(body) >= LENGTH:
-                add(*key, [{"start": -lead, "end": len(body) - lead}], None, None, None, None)
+                add(*key, [{"start": -lead, "end": len(body) - lead}], *[None] * 5)
         elif len(body) >= LENGTH:
             work.append((key, lead, body, places, chunk, hot))
     if work:
@@ -274,21 +274,21 @@ def _compare(work: list, add) -> None:
         again = (counts[inverse.ravel()] > 1) | (places[who] > 1)
         twice.append(np.column_stack([who[again], apart[again]]).astype(np.int32))
         first = first[hot[who[first]]]  # the anchor's other chunks may hold these strings too
-        firsts.append((who[first], suffix[first], apart[first], string[first]))
+        firsts.append((who[first], suffix[first], apart[first], string[first], ~again[first]))
     who, apart = np.concatenate(twice).T
     sorting = np.lexsort([apart, who])
     who, apart = who[sorting], apart[sorting]
     bounds = np.searchsorted(who, np.arange(len(work) + 1))
     for k in np.flatnonzero(np.diff(bounds)):
-        add(*work[k][0], _spans_of(apart[bounds[k]:bounds[k + 1]]), None, None, None, None)
-    who, suffix, apart, string = (np.concatenate(c) for c in zip(*firsts))
+        add(*work[k][0], _spans_of(apart[bounds[k]:bounds[k + 1]]), *[None] * 5)
+    who, suffix, apart, string, alone = (np.concatenate(c) for c in zip(*firsts))
     sorting = np.argsort(suffix, kind="stable")
-    who, suffix, apart, string = (c[sorting] for c in (who, suffix, apart, string))
+    who, suffix, apart, string, alone = (c[sorting] for c in (who, suffix, apart, string, alone))
     edges = np.append(np.flatnonzero(np.diff(suffix, prepend=-1)), len(suffix))
     name = mixed(run + step[order].astype(np.uint64) + anchor[owner[order]]).view(np.int64)
     for x, y in zip(edges, edges[1:]):
         k = who[x]
-        add(*work[k][0], None, work[k][4], int(name[suffix[x]]), apart[x:y].tolist(), string[x:y].view(np.int64).tolist())
+        add(*work[k][0], None, work[k][4], int(name[suffix[x]]), apart[x:y].tolist(), string[x:y].view(np.int64).tolist(), alone[x:y].tolist())
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -319,11 +319,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     firsts = repeats.where("run IS NOT NULL")
     several = firsts.groupBy("run").agg(F.min("chunk").alias("one"), F.max("chunk").alias("other")).where("one <> other").select("run")
     several = stored(several)
-    strings = firsts.join(several, "run").select("anchor", "ctx", F.explode(F.arrays_zip("starts", "strings")).alias("x")).select(
-        "anchor", "ctx", F.col("x.starts").alias("start"), F.col("x.strings").alias("string"))
-    common = stored(strings.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string"))
-    # A string that two chunks saw first is repeated in them; so it is wherever it occurs, which each chunk has found itself.
-    more = strings.join(common, "string").select("anchor", "ctx", F.array(F.struct(
+    strings = firsts.join(several, "run").select("anchor", "ctx", F.explode(F.arrays_zip("starts", "strings", "alone")).alias("x")).select(
+        "anchor", "ctx", F.col("x.starts").alias("start"), F.col("x.strings").alias("string"), F.col("x.alone").alias("alone"))
+    # A string that two chunks saw is repeated; where a chunk has it once only, that chunk could not know.
+    common = stored(strings.groupBy("string").agg(F.count("*").alias("n"), F.bool_or("alone").alias("alone")).where("n > 1 AND alone").select("string"))
+    more = strings.where("alone").join(common, "string").select("anchor", "ctx", F.array(F.struct(
         F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end"))).alias("spans"))
     places = both.where("uid IS NOT NULL").select("anchor", "ctx", "uid", "positions")
     moved = F.flatten(F.transform("positions", lambda p: F.transform("spans", lambda s: F.struct(
