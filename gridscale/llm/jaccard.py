@@ -19,6 +19,8 @@ SHINGLE, LEAST, WHOLE = 5, 80, 100
 COUNT_BITS = 48
 #: Sizes of the units of work: documents that are counted together, shingles of a bucket, sets of a chunk.
 GROUP_DOCS, BUCKET_SHINGLES, CHUNK_SETS = 1024, 500_000, 512
+#: Shingles that a task holds before it lists them.
+LISTED_SHINGLES = 1_500_000
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -71,17 +73,26 @@ _LISTED = pa.schema([("bucket", pa.int32()), ("shingles", pa.binary()), ("groups
 
 
 def _list_shingles(rows, buckets):
-    values, groups = [], []
+    values, groups, waiting = [], [], 0
     for own, group in zip(shingle_sets(rows["text"]), rows["grp"].to_numpy()):
         values.append(_counted_part(own))
         groups.append(np.full(len(own), group, np.uint32))
+        waiting += len(own)
+        if waiting > LISTED_SHINGLES:
+            yield _listed(values, groups, buckets)
+            values, groups, waiting = [], [], 0
+    if waiting:
+        yield _listed(values, groups, buckets)
+
+
+def _listed(values, groups, buckets):
     values, groups = np.concatenate(values), np.concatenate(groups)
     order = np.argsort(values, kind="stable")
     values, groups = values[order], groups[order]
     edges = np.searchsorted(values, (np.arange(buckets + 1) * (1 << COUNT_BITS) // buckets).astype(np.uint64))
     full = np.flatnonzero(np.diff(edges))
-    yield batch(_LISTED, full.astype(np.int32), [_pack_sorted(values[edges[k]:edges[k + 1]]) for k in full],
-                [pack(groups[edges[k]:edges[k + 1]]) for k in full])
+    return batch(_LISTED, full.astype(np.int32), [_pack_sorted(values[edges[k]:edges[k + 1]]) for k in full],
+                 [pack(groups[edges[k]:edges[k + 1]]) for k in full])
 
 
 _TOLD = pa.schema([("grp", pa.int32()), ("shingles", pa.binary()), ("levels", pa.binary())])
@@ -214,10 +225,11 @@ def _leaders(table: pa.Table) -> pa.Table:
 
 def _chunked_leaders(sets: DataFrame, key: str) -> DataFrame:
     """Sets with an equal least hash, which similar sets mostly have, in chunks of about ``CHUNK_SETS``."""
-    counts = sets.groupBy(key).agg(F.count("*").alias("in_key")).where("in_key > 1")
+    counts = stored(sets.groupBy(key).agg(F.count("*").alias("in_key")).where("in_key > 1"))
     chunk = F.pmod(F.xxhash64("cid", F.lit(key)), F.ceil(F.col("in_key") / CHUNK_SETS))
-    return sets.select("cid", "n", "common", key).join(counts, key).withColumn("chunk", chunk).select("cid", "n", "common", key, "chunk").groupBy(
-        key, "chunk").applyInArrow(_leaders, "cid STRING, leader STRING")
+    # One name for key and chunk: grouping by both would leave all chunks of a key in the task that the join put them in.
+    return sets.select("cid", "n", "common", key).join(counts, key).select("cid", "n", "common", F.xxhash64(key, chunk).alias("unit")).groupBy(
+        "unit").applyInArrow(_leaders, "cid STRING, leader STRING")
 
 
 def _matched(block: pa.Table, queries: pa.Table) -> pa.Table:
@@ -261,12 +273,17 @@ def _remaining_links(sets: DataFrame, blocks: DataFrame, labels: DataFrame) -> D
         F.when(swap, F.col("blk_b")).otherwise(F.col("blk_a")).alias("from"), F.when(swap, F.col("blk_a")).otherwise(F.col("blk_b")).alias("blk"),
         F.least("members_a", "members_b").alias("sent")))
     # A block that many sets are sent to is copied, one copy for each CHUNK_SETS of them.
-    copies = pairs.groupBy("blk").agg(F.ceil(F.sum("sent") / CHUNK_SETS).cast("int").alias("copies"))
+    copies = stored(pairs.groupBy("blk").agg(F.ceil(F.sum("sent") / CHUNK_SETS).cast("int").alias("copies")))
     queries = pairs.join(copies, "blk").join(named.select(F.col("blk").alias("from"), "cid", "n", "common"), "from").select(
-        *(F.col(c).alias(c) for c in ("blk", "cid", "n", "common")), F.pmod(F.hash("cid"), F.col("copies")).alias("copy"))
+        *(F.col(c).alias(c) for c in ("blk", "cid", "n", "common")), _unit(F.pmod(F.hash("cid"), F.col("copies"))))
     targets = named.select("blk", "cid", "n", "common").join(copies, "blk").select(
-        "blk", "cid", "n", "common", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    return targets.groupBy("blk", "copy").cogroup(queries.groupBy("blk", "copy")).applyInArrow(_matched, "a STRING, b STRING")
+        "blk", "cid", "n", "common", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")).select("blk", "cid", "n", "common", _unit(F.col("copy")))
+    return targets.groupBy("unit").cogroup(queries.groupBy("unit")).applyInArrow(_matched, "a STRING, b STRING")
+
+
+def _unit(copy):
+    """One name for a block and its copy, so that the copies are dealt to different tasks."""
+    return F.concat_ws(":", "blk", copy.cast("string")).alias("unit")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
