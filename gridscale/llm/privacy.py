@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 
@@ -25,6 +24,8 @@ _WORD = re.compile(r"[^\W_]{3,}")
 
 #: Words on either side of an entity, within so many characters, are its context.
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
+#: Shares of texts are taken at their lower bound, which nine of ten samples exceed.
+Z = 1.28
 
 
 def _emails(text: str):
@@ -90,10 +91,10 @@ def context(text: str, start: int, end: int) -> list[tuple[int, int]]:
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("around", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-_FOUND = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("spans", pa.list_(_SPAN)), ("near", pa.list_(_NEAR))])
-_FOUND_SQL = ("doc_id BIGINT, uid BIGINT, spans ARRAY<STRUCT<start:INT,kind:INT,end:INT>>, "
-              "near ARRAY<STRUCT<entity:STRING,term:STRING,around:BIGINT,start:INT,end:INT>>")
+_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("copy", pa.int64()), ("spans", pa.list_(_SPAN)), ("near", pa.list_(_NEAR))])
+_FOUND_SQL = ("doc_id BIGINT, uid BIGINT, copy BIGINT, spans ARRAY<STRUCT<start:INT,kind:INT,end:INT>>, "
+              "near ARRAY<STRUCT<entity:STRING,term:STRING,start:INT,end:INT>>")
 
 
 def _found_rows(rows):
@@ -104,11 +105,9 @@ def _found_rows(rows):
         own = []
         for a, k, b in found:
             words = [s for s in context(text, a, b) if not any(s[0] < y and x < s[1] for x, _, y in found)]
-            terms = [text[x:y].lower() for x, y in words]
-            around = int.from_bytes(hashlib.blake2b(" ".join(terms).encode(), digest_size=8).digest(), signed=True)
-            own += [{"entity": entity(k, text[a:b]), "term": t, "around": around, "start": x, "end": y} for t, (x, y) in zip(terms, words)]
+            own += [{"entity": entity(k, text[a:b]), "term": text[x:y].lower(), "start": x, "end": y} for x, y in words]
         near.append(own)
-    yield batch(_FOUND, rows["doc_id"], rows["uid"], spans, near)
+    yield batch(_FOUND, rows["doc_id"], rows["uid"], rows["copy"], spans, near)
 
 
 _COUNTS = pa.schema([("term", pa.string()), ("n", pa.int64())])
@@ -119,7 +118,7 @@ def _term_counts(batches):
     for rows in batches:
         for text in rows["text"].to_pylist():
             if text:
-                counts.update(set(_WORD.findall(text.lower())))
+                counts.update({w.lower() for w in set(_WORD.findall(text))})
             if len(counts) >= 500_000:
                 yield batch(_COUNTS, list(counts), list(counts.values()))
                 counts.clear()
@@ -128,31 +127,46 @@ def _term_counts(batches):
 
 def _named(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("uid"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("uid"),
+                       F.xxhash64(text).alias("copy"), text.alias("text"))
 
 
-def disclosures(found: DataFrame, docs: DataFrame, least_contexts: int = 3) -> DataFrame:
-    """(entity, term, disclosure) of terms seen with an entity in ``least_contexts`` different contexts or more.
+def _distinct_texts(source: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of each text; only texts that occur more than once are shuffled, as long as their hashes can be broadcast."""
+    copied = stored(found.groupBy("copy").count().where("count > 1").select("copy"))
+    texts = source.select("copy", "text")
+    return texts.join(copied, "copy", "left_anti").unionByName(texts.join(copied, "copy", "left_semi").dropDuplicates(["copy"]))
 
-    With n documents in all, the pointwise mutual information log2(n_et n / (n_e n_t)) says how much of the entity's own
-    information log2(n / n_e) the term gives away; the disclosure is their ratio, 1 for a term that never occurs
-    without the entity. Counts are of documents, over the whole corpus; copies share one context, so a
-    word is not taken for revealing because its text was copied.
+
+def lower_share(k: Column, n: Column, z: float = Z) -> Column:
+    """Wilson's lower bound of the share that ``k`` of ``n`` stand for: 1 of 1 is little, 20 of 20 nearly all."""
+    share = k / n
+    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of all terms seen with an entity.
+
+    With n texts in all, the pointwise mutual information log2(n_et n / (n_e n_t)) says how much of the entity's own
+    information log2(n / n_e) the term gives away; the disclosure is their ratio, with the lower bound of the share
+    n_et / n_t in its place: it nears 1 for a term that never occurs without the entity as their number grows. What few texts
+    cost is the same number of bits in any corpus, so one or two are enough where the entity is rare among
+    very many texts, and are not where anything is rare. Counts are of different texts, over the whole corpus: copies
+    count once, so a word is not taken for revealing because its text was copied.
     """
-    near = found.select("uid", F.explode("near").alias("x")).select("uid", "x.entity", "x.term", "x.around")
-    pairs = near.groupBy("entity", "term", "around").agg(F.countDistinct("uid").alias("n")).groupBy("entity", "term").agg(
-        F.count("*").alias("n_contexts"), F.sum("n").alias("n_et")).where(F.col("n_contexts") >= least_contexts)
-    entities = near.groupBy("entity").agg(F.countDistinct("uid").alias("n_e"))
-    terms = _named(docs).select("text").mapInArrow(_term_counts, "term STRING, n BIGINT").groupBy("term").agg(F.sum("n").alias("n_t"))
-    n = F.lit(max(1, found.count()))
+    near = found.select("copy", F.explode("near").alias("x")).select("copy", "x.entity", "x.term")
+    pairs = near.groupBy("entity", "term").agg(F.countDistinct("copy").alias("n_et"))
+    entities = near.groupBy("entity").agg(F.countDistinct("copy").alias("n_e"))
+    terms = _distinct_texts(_named(docs), found).select("text").mapInArrow(_term_counts, "term STRING, n BIGINT").groupBy("term").agg(F.sum("n").alias("n_t"))
+    n = F.lit(max(1, found.select("copy").distinct().count()))
     whole = F.log2(n / F.col("n_e"))
-    shared = F.log2(F.least("n_et", "n_e", "n_t") * n / (F.col("n_e") * F.col("n_t")))
-    # An entity that is in every document has no information left to give away.
+    share = lower_share(F.least("n_et", "n_e", "n_t"), F.col("n_t"))
+    # An entity that is in every text has no information left to give away.
     return pairs.join(entities, "entity").join(terms, "term").where("n_e > 0 AND n_t > 0").select(
-        "entity", "term", F.when(whole > 0, shared / whole).otherwise(0.0).alias("disclosure"))
+        "entity", "term", F.when(whole > 0, 1 + F.log2(share) / whole).otherwise(0.0).alias("disclosure"))
 
 
-def private_spans(docs: DataFrame, generalise: float = 0.85, remove: float = 0.97, least_contexts: int = 3) -> DataFrame:
+def private_spans(docs: DataFrame, generalise: float = 0.85, remove: float = 0.97) -> DataFrame:
     """(doc_id, uid, base, terms) of each row of ``docs``.
 
     ``base``: spans of e-mail addresses, IP addresses, card and phone numbers. ``terms``: spans of the words
@@ -161,7 +175,7 @@ def private_spans(docs: DataFrame, generalise: float = 0.85, remove: float = 0.9
     """
     source = _named(docs)
     found = stored(source.mapInArrow(over_batches(_found_rows), _FOUND_SQL))
-    telling = disclosures(found, docs, least_contexts).where(F.col("disclosure") >= generalise)
+    telling = disclosures(found, docs).where(F.col("disclosure") >= generalise)
     words = found.select("uid", F.explode("near").alias("x")).select("uid", "x.*").join(telling, ["entity", "term"])
     marked = words.groupBy("uid", "start", "end").agg(F.max("disclosure").alias("disclosure")).groupBy("uid").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", (F.col("disclosure") >= remove).alias("removed")))).alias("terms"))

@@ -87,3 +87,17 @@ def test_overlapping_spans():
     base = [{"start": 0, "kind": 2, "end": 6}, {"start": 4, "kind": 3, "end": 8}]
     assert sanitised("123456789", base, []) == "[CARD]9"
     assert sanitised("ab Cd 12 e", [], [{"start": 3, "end": 5, "removed": False}, {"start": 6, "end": 8, "removed": False}, {"start": 0, "end": 2, "removed": True}]) == " [NAME] [NUMBER] e"
+
+
+def rare(n):
+    """Many texts, and three addresses with a word of their own: in one text, in two, and in copies of one."""
+    return [*(f"{prose(k, 12)} no{k // 2}" for k in range(n)), "the Wibble of wib@mail.example and", "then Grumbel at gru@mail.example in",
+            "nd Grumbel here it gru@mail.example rest", *["that Quixel sells bob@mail.example again"] * 40]
+
+
+def test_terms_of_entities_in_one_or_two_texts(spark):
+    texts = rare(1500)
+    rows = {r["doc_id"]: r["spans"] for r in span_digests(private_spans(documents(spark, texts))).collect()}
+    for k, text in enumerate(texts):
+        words = [text[int(a):int(b)] for s in rows[k].split(",") if s.startswith("term") for _, a, b in [s.split(":")]]
+        assert words == re.findall("Wibble|Grumbel|Quixel|sells", text), text
