@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +22,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W_]{3,}")
+_WORD = re.compile(r"[^\W_]+")
 
-#: Words on either side of an entity, within so many characters, are its context.
-CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
+#: Telling terms are looked for by this many bits of their checksum before they are joined.
+TERM_BITS = 24
 #: Shares of texts are taken at their lower bound, which nine of ten samples exceed.
 Z = 1.28
 
@@ -79,50 +81,54 @@ def entity(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind == 0 else _digits(value) if kind > 1 else value}"
 
 
-def context(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """Spans of the words around an entity, those cut by the edge of the context left out."""
-    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
-    left = [m.span() for m in _WORD.finditer(text, low, start) if m.start() > low or low == 0]
-    right = [m.span() for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)]
-    # A word glued to the entity is a part of its spelling, not a term of its own.
-    left = [s for s in left if s[1] < start]
-    right = [s for s in right if s[0] > end]
-    return left[-CONTEXT_WORDS:] + right[:CONTEXT_WORDS]
+def words_of(text: str) -> list[tuple[str, int, int]]:
+    """(term, start, end) of all words but those in an entity or glued to one, which are a part of its spelling."""
+    found = base_spans(text)
+    if not found:
+        return [(m[0].lower(), *m.span()) for m in _WORD.finditer(text)]
+    out, at, end = [], 0, -1
+    for m in _WORD.finditer(text):
+        x, y = m.span()
+        while at < len(found) and found[at][0] <= y:
+            end = max(end, found[at][2])
+            at += 1
+        # Entities that start at the word's end or before it: it is clear of them if it starts behind their ends.
+        if x > end:
+            out.append((m[0].lower(), x, y))
+    return out
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_FOUND = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("copy", pa.int64()), ("spans", pa.list_(_SPAN)), ("near", pa.list_(_NEAR))])
-_FOUND_SQL = ("doc_id BIGINT, uid BIGINT, copy BIGINT, spans ARRAY<STRUCT<start:INT,kind:INT,end:INT>>, "
-              "near ARRAY<STRUCT<entity:STRING,term:STRING,start:INT,end:INT>>")
+_FOUND = pa.schema([("doc_id", pa.int64()), ("uid", pa.int64()), ("copy", pa.int64()), ("spans", pa.list_(_SPAN)), ("entities", pa.list_(pa.string()))])
+_FOUND_SQL = "doc_id BIGINT, uid BIGINT, copy BIGINT, spans ARRAY<STRUCT<start:INT,kind:INT,end:INT>>, entities ARRAY<STRING>"
 
 
 def _found_rows(rows):
-    spans, near = [], []
+    spans, entities = [], []
     for text in rows["text"].to_pylist():
         found = base_spans(text)
         spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
-        own = []
-        for a, k, b in found:
-            words = [s for s in context(text, a, b) if not any(s[0] < y and x < s[1] for x, _, y in found)]
-            own += [{"entity": entity(k, text[a:b]), "term": text[x:y].lower(), "start": x, "end": y} for x, y in words]
-        near.append(own)
-    yield batch(_FOUND, rows["doc_id"], rows["uid"], rows["copy"], spans, near)
+        entities.append(sorted({entity(k, text[a:b]) for a, k, b in found}))
+    yield batch(_FOUND, rows["doc_id"], rows["uid"], rows["copy"], spans, entities)
 
 
-_COUNTS = pa.schema([("term", pa.string()), ("n", pa.int64())])
+_COUNTS = pa.schema([("term", pa.string()), ("n", pa.int64()), ("copy", pa.int64())])
 
 
 def _term_counts(batches):
+    """Numbers of texts by term; for texts with an entity one row per term, with the text's hash."""
     counts: Counter[str] = Counter()
     for rows in batches:
-        for text in rows["text"].to_pylist():
-            if text:
+        for text, copy in zip(rows["text"].to_pylist(), rows["copy"].to_pylist()):
+            if text and base_spans(text):
+                terms = list({t for t, _, _ in words_of(text)})
+                yield batch(_COUNTS, terms, [1] * len(terms), [copy] * len(terms))
+            elif text:
                 counts.update({w.lower() for w in set(_WORD.findall(text))})
             if len(counts) >= 500_000:
-                yield batch(_COUNTS, list(counts), list(counts.values()))
+                yield batch(_COUNTS, list(counts), list(counts.values()), [None] * len(counts))
                 counts.clear()
-    yield batch(_COUNTS, list(counts), list(counts.values()))
+    yield batch(_COUNTS, list(counts), list(counts.values()), [None] * len(counts))
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -144,8 +150,8 @@ def lower_share(k: Column, n: Column, z: float = Z) -> Column:
     return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of all terms seen with an entity.
+def disclosures(found: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """(entity, term, disclosure) of all terms in a text with an entity, near it or not, that disclose ``least`` or more.
 
     With n texts in all, the pointwise mutual information log2(n_et n / (n_e n_t)) says how much of the entity's own
     information log2(n / n_e) the term gives away; the disclosure is their ratio, with the lower bound of the share
@@ -154,33 +160,74 @@ def disclosures(found: DataFrame, docs: DataFrame) -> DataFrame:
     very many texts, and are not where anything is rare. Counts are of different texts, over the whole corpus: copies
     count once, so a word is not taken for revealing because its text was copied.
     """
-    near = found.select("copy", F.explode("near").alias("x")).select("copy", "x.entity", "x.term")
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("copy").alias("n_et"))
-    entities = near.groupBy("entity").agg(F.countDistinct("copy").alias("n_e"))
-    terms = _distinct_texts(_named(docs), found).select("text").mapInArrow(_term_counts, "term STRING, n BIGINT").groupBy("term").agg(F.sum("n").alias("n_t"))
-    n = F.lit(max(1, found.select("copy").distinct().count()))
-    whole = F.log2(n / F.col("n_e"))
-    share = lower_share(F.least("n_et", "n_e", "n_t"), F.col("n_t"))
+    terms = stored(_distinct_texts(_named(docs), found).select("copy", "text").mapInArrow(_term_counts, "term STRING, n BIGINT, copy BIGINT"))
+    totals = stored(terms.groupBy("term").agg(F.sum("n").alias("n_t")))
+    owners = found.select("copy", F.explode("entities").alias("entity")).distinct()
+    owners = stored(owners.join(owners.groupBy("entity").agg(F.count("*").alias("n_e")), "entity"))
+    n = max(1, found.select("copy").distinct().count())
+    most = owners.agg(F.max("n_e")).first()[0] or 1
+    # The bound is below n_e / n_t, so more texts than this put a term below ``least``, whatever else is known.
+    rare = lambda n_e: 1.001 * n_e * (n / n_e) ** (1 - least) if least > 0 else F.lit(float("inf"))
+    # Terms of every 200th text are few and would be the hot keys of the join; those that may still tell stay.
+    common = totals.where((F.col("n_t") > rare(most)) & (F.col("n_t") > n / 200)).select("term")
+    held = terms.where("copy IS NOT NULL").select("copy", "term").join(F.broadcast(common), "term", "left_anti").join(totals, "term")
+    pairs = held.join(owners, "copy").where(F.col("n_t") <= rare(F.col("n_e"))).groupBy("entity", "term").agg(
+        F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    whole = F.log2(F.lit(n) / F.col("n_e"))
+    share = lower_share(F.least("n_et", "n_t"), F.col("n_t"))
     # An entity that is in every text has no information left to give away.
-    return pairs.join(entities, "entity").join(terms, "term").where("n_e > 0 AND n_t > 0").select(
-        "entity", "term", F.when(whole > 0, 1 + F.log2(share) / whole).otherwise(0.0).alias("disclosure"))
+    return pairs.select("entity", "term", F.when(whole > 0, 1 + F.log2(share) / whole).otherwise(0.0).alias("disclosure")).where(F.col("disclosure") >= least)
+
+
+_PLACES = pa.schema([("uid", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+
+
+def _places(rows, bits: np.ndarray):
+    """All occurrences of the terms whose bit is set."""
+    known: dict[str, bool] = {}
+    for uid, text in zip(rows["uid"].to_pylist(), rows["text"].to_pylist()):
+        some = set(_WORD.findall(text or ""))
+        for w in some - known.keys():
+            at = zlib.crc32(w.lower().encode()) & ((1 << TERM_BITS) - 1)
+            known[w] = bool(bits[at >> 3] >> (at & 7) & 1)
+        if any(map(known.__getitem__, some)):
+            here = {w.lower() for w in some if known[w]}
+            hits = [x for x in words_of(text) if x[0] in here]
+            if hits:
+                terms, starts, ends = zip(*hits)
+                yield batch(_PLACES, [uid] * len(hits), list(terms), list(starts), list(ends))
+
+
+def _bits_of(terms: DataFrame) -> np.ndarray | None:
+    """2 MB whatever the number of terms; none if there is no term."""
+    at = terms.select((F.crc32(F.col("term").cast("binary")) % (1 << TERM_BITS)).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()
+    if not len(at):
+        return None
+    bits = np.zeros(1 << TERM_BITS, bool)
+    bits[at] = True
+    return np.packbits(bits, bitorder="little")
 
 
 def private_spans(docs: DataFrame, generalise: float = 0.85, remove: float = 0.97) -> DataFrame:
     """(doc_id, uid, base, terms) of each row of ``docs``.
 
-    ``base``: spans of e-mail addresses, IP addresses, card and phone numbers. ``terms``: spans of the words
-    around them whose disclosure reaches ``generalise``; from ``remove`` on they are marked for removal.
-    ``uid`` is a hash of id and text, so equal rows share it and their result. Null and empty texts have no spans.
+    ``base``: spans of e-mail addresses, IP addresses, card and phone numbers. ``terms``: spans of all words of the
+    corpus, in texts with an entity or without, whose term's disclosure of any entity reaches ``generalise``; from ``remove`` on
+    they are marked for removal. ``uid`` is a hash of id and text, so equal rows share it and their result. Null and empty
+    texts have no spans.
     """
     source = _named(docs)
     found = stored(source.mapInArrow(over_batches(_found_rows), _FOUND_SQL))
-    telling = disclosures(found, docs).where(F.col("disclosure") >= generalise)
-    words = found.select("uid", F.explode("near").alias("x")).select("uid", "x.*").join(telling, ["entity", "term"])
-    marked = words.groupBy("uid", "start", "end").agg(F.max("disclosure").alias("disclosure")).groupBy("uid").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", (F.col("disclosure") >= remove).alias("removed")))).alias("terms"))
-    return found.join(marked, "uid", "left").select("doc_id", "uid", F.col("spans").alias("base"), F.coalesce(
-        "terms", F.array().cast("array<struct<start:int,end:int,removed:boolean>>")).alias("terms"))
+    telling = stored(disclosures(found, docs, generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+    nothing = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
+    columns = ["doc_id", "uid", F.col("spans").alias("base")]
+    bits = _bits_of(telling)
+    if bits is None:
+        return found.select(*columns, nothing.alias("terms"))
+    places = source.select("uid", "text").mapInArrow(over_batches(_places, bits), "uid BIGINT, term STRING, start INT, end INT")
+    marked = places.join(telling, "term").groupBy("uid").agg(
+        F.array_sort(F.collect_set(F.struct("start", "end", (F.col("disclosure") >= remove).alias("removed")))).alias("terms"))
+    return found.join(marked, "uid", "left").select(*columns, F.coalesce("terms", nothing).alias("terms"))
 
 
 def _labels(kind: Column) -> Column:

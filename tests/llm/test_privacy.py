@@ -4,7 +4,7 @@ import re
 
 from helpers import EDGES, documents, prose
 
-from gridscale.llm.privacy import KINDS, base_spans, private_spans, sanitise, sanitised, span_digests
+from gridscale.llm.privacy import KINDS, base_spans, private_spans, sanitise, sanitised, span_digests, words_of
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
@@ -91,7 +91,7 @@ def test_overlapping_spans():
 
 def rare(n):
     """Many texts, and three addresses with a word of their own: in one text, in two, and in copies of one."""
-    return [*(f"{prose(k, 12)} no{k // 2}" for k in range(n)), "the Wibble of wib@mail.example and", "then Grumbel at gru@mail.example in",
+    return [*(f"{prose(k, 12)} no{k // 2}" for k in range(n)), "the Wibble of wib@mail.example and", "then Grumbel it gru@mail.example in",
             "nd Grumbel here it gru@mail.example rest", *["that Quixel sells bob@mail.example again"] * 40]
 
 
@@ -101,3 +101,24 @@ def test_terms_of_entities_in_one_or_two_texts(spark):
     for k, text in enumerate(texts):
         words = [text[int(a):int(b)] for s in rows[k].split(",") if s.startswith("term") for _, a, b in [s.split(":")]]
         assert words == re.findall("Wibble|Grumbel|Quixel|sells", text), text
+
+
+def test_terms_go_wherever_they_are(spark):
+    """A telling name far from the address, in texts without the address, and names of one and two characters."""
+    far = " ".join(["the of and in it"] * 60)
+    texts = [prose(k, 12) for k in range(1500)]
+    texts += [f"{prose(2000 + k, 5)} Zorblatt {far} {k} zor@mail.example {far} zorblatt" for k in range(20)] + ["Zorblatt here", f"then {far} ZORBLATT"]
+    texts += [f"{prose(3000 + k, 5)} 李 {far} li@mail.example {far} 王五" for k in range(3)]
+    rows = {r["doc_id"]: r["spans"] for r in span_digests(private_spans(documents(spark, texts))).collect()}
+    for k, text in enumerate(texts):
+        words = [text[int(a):int(b)] for s in rows[k].split(",") if s.startswith("term") for _, a, b in [s.split(":")]]
+        assert [w for w in words if not w.isdigit()] == re.findall("zorblatt(?!@)|李|王五", text, re.I), text
+    clean = [r["text"] for r in sanitise(documents(spark, texts)).collect()]
+    assert not any(re.search("zorblatt|李|王五", t, re.I) for t in clean)
+
+
+def test_words_beside_entities():
+    for text in ["call +1 (269) 555-3296x or a@b.cd, _c a@b.cde é", "a@b.cd", "x 1.2.3.4.5 6", ""]:
+        spans = base_spans(text)
+        want = [m.span() for m in re.finditer(r"[^\W_]+", text) if all(m.end() < a or b < m.start() for a, _, b in spans)]
+        assert [(a, b) for _, a, b in words_of(text)] == want
