@@ -185,17 +185,23 @@ _PLACES = pa.schema([("uid", pa.int64()), ("term", pa.string()), ("start", pa.in
 def _places(rows, bits: np.ndarray):
     """All occurrences of the terms whose bit is set."""
     known: dict[str, bool] = {}
+    uids, terms, starts, ends = [], [], [], []
     for uid, text in zip(rows["uid"].to_pylist(), rows["text"].to_pylist()):
-        some = set(_WORD.findall(text or ""))
-        for w in some - known.keys():
-            at = zlib.crc32(w.lower().encode()) & ((1 << TERM_BITS) - 1)
-            known[w] = bool(bits[at >> 3] >> (at & 7) & 1)
-        if any(map(known.__getitem__, some)):
-            here = {w.lower() for w in some if known[w]}
-            hits = [x for x in words_of(text) if x[0] in here]
-            if hits:
-                terms, starts, ends = zip(*hits)
-                yield batch(_PLACES, [uid] * len(hits), list(terms), list(starts), list(ends))
+        here = set()
+        for w in set(_WORD.findall(text or "")):
+            hit = known.get(w)
+            if hit is None:
+                at = zlib.crc32(w.lower().encode()) & ((1 << TERM_BITS) - 1)
+                hit = known[w] = bool(bits[at >> 3] >> (at & 7) & 1)
+            if hit:
+                here.add(w.lower())
+        for term, x, y in words_of(text) if here else ():
+            if term in here:
+                uids.append(uid)
+                terms.append(term)
+                starts.append(x)
+                ends.append(y)
+    yield batch(_PLACES, uids, terms, starts, ends)
 
 
 def _bits_of(terms: DataFrame) -> np.ndarray | None:
