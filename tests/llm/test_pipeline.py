@@ -63,3 +63,13 @@ def test_an_empty_table(spark, case, tmp_path):
     spark.read.parquet(f"{case[2]}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{case[2]}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_texts_in_no_learned_language_go(spark, case):
+    r = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = ["Этот текст написан на русском языке", "这是一段中文文本", "Questo testo non dovrebbe essere accettato"]
+    strange += ["".join(r.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n)) for n in (100, 400, 2000)]
+    more = spark.createDataFrame([(10**9 + k, t, None, "s", len(t)) for k, t in enumerate(strange)], SCHEMA)
+    kept = {x["doc_id"] for x in corpus_pipeline.language_id(spark, docs.unionByName(more), case[2]).select("doc_id").collect()}
+    assert kept == {x["doc_id"] for x in docs.select("doc_id").collect()}
