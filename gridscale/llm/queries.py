@@ -11,13 +11,16 @@ from gridscale.llm.chat import conversation_digests
 from gridscale.llm.decontamination import contamination_digests
 from gridscale.llm.jaccard import jaccard_components
 from gridscale.llm.languages import languages
+from gridscale.llm.lines import line_digests
 from gridscale.llm.privacy import private_spans, span_digests
 from gridscale.llm.quality import quality_verdicts
 from gridscale.llm.sentencepieces import code_digests
 from gridscale.llm.sharding import shard_documents
+from gridscale.llm.spelling import document_variants
 from gridscale.llm.suffixes import repeat_digests
 from gridscale.llm.text import table
 from gridscale.llm.tokencounts import token_totals
+from gridscale.llm.vectorcodes import code_digests as vector_code_digests
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +73,21 @@ def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(private_spans(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, and the common form of each rare one."""
+    return document_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector and how far it is from the vector."""
+    return vector_code_digests(table(spark, sf_dir, "embeddings"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines that ten documents share."""
+    return line_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -81,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_privacy": op10_privacy,
+    "op11_spelling": op11_spelling,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 
@@ -91,7 +112,23 @@ def _word_lists(table_name: str, key: str, pattern: str) -> str:
     return (f"SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}') AS w FROM {table_name}")
 
 
-#: Language models, trees, token codes, hash rings, byte windows and matches of patterns in order have no SQL form; the tests hold those
+def _assigned(book: str) -> str:
+    """For every part of every vector the nearest entry of a codebook, the lower of equals."""
+    return f"""SELECT vec_id, p, v, best['e'] AS e, best['d'] AS d FROM (
+    SELECT vec_id, p, v, min({{'d': list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT, 'e': e}}) AS best
+    FROM parts JOIN {book} USING (p) GROUP BY vec_id, p, v)"""
+
+
+def _moved(book: str, assigned: str) -> str:
+    """The codebook after its entries went to the floor of the mean of their parts."""
+    return f"""SELECT p, e, coalesce(m, c) AS c FROM {book} LEFT JOIN (
+    SELECT p, e, list(x ORDER BY i) AS m FROM (
+      SELECT p, e, i, floor(sum(x) / count(*))::BIGINT AS x
+      FROM (SELECT p, e, unnest(v) AS x, unnest(range(len(v))) AS i FROM {assigned}) GROUP BY p, e, i)
+    GROUP BY p, e) USING (p, e)"""
+
+
+#: Checksums of words, language models, trees, token codes, hash rings, byte windows and matches of patterns in order have no SQL form; the tests hold those
 #: queries against brute force.
 ORACLES: dict[str, str] = {
     "op4_jaccard": rf"""WITH RECURSIVE docs AS ({_word_lists('documents', 'doc_id', r'[^\x20\x09-\x0D]+')}),
@@ -136,4 +173,29 @@ listed AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)""",
+    "op12_vector_codes": f"""WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS v FROM (SELECT vec_id, v, unnest(range(16)) AS p FROM kept)),
+book0 AS MATERIALIZED (
+  SELECT p, e, v AS c FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)),
+assigned0 AS MATERIALIZED ({_assigned("book0")}),
+book1 AS MATERIALIZED ({_moved("book0", "assigned0")}),
+assigned1 AS MATERIALIZED ({_assigned("book1")}),
+book2 AS MATERIALIZED ({_moved("book1", "assigned1")}),
+assigned2 AS MATERIALIZED ({_assigned("book2")}),
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM assigned2 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)""",
+    "op13_line_dedup": rf"""WITH split AS MATERIALIZED (
+  SELECT doc, doc_id, unnest(l) AS line, unnest(range(len(l))) AS k
+  FROM (SELECT row_number() OVER () AS doc, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS MATERIALIZED (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM split),
+common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common c ON keyed.key = c.key GROUP BY doc, doc_id""",
 }
