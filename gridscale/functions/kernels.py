@@ -17,7 +17,7 @@ from gridscale.schema import CELL_MAX, CELL_MIN, CELLS_PER_TILE, check_max_iter,
 
 
 _CACHE_POINTS = 8192
-_LONGEST_INTERVAL = 64  # survived steps of an interval are counted in a byte
+_LONGEST_INTERVAL = 120  # survived steps of an interval are counted in a byte; many cycle lengths divide it
 
 
 def _closed_form_members(re, im):
@@ -30,7 +30,7 @@ def _closed_form_members(re, im):
     return cardioid | (left * left + im2 < re.dtype.type(0.0625))
 
 
-def _iterate(re, im, max_iter):
+def _iterate(re, im, max_iter, find_cycles=False):
     """Steps survived by every point, at most ``max_iter``.
 
     The live set is compacted at growing intervals rather than at every step: between
@@ -38,11 +38,17 @@ def _iterate(re, im, max_iter):
     escaped orbit only grows, and overflow to inf/NaN compares False too), so the
     number of True flags is the escape step. Within an interval the live set is walked
     in pieces that stay in the CPU cache.
+
+    ``find_cycles`` looks for orbits that repeat (Brent): from the first interval of full length on, the orbit points of
+    all live points are remembered after 1, 2, 4, ... intervals, and each later interval's points are held against them. Only
+    points equal in every bit that counts are a cycle, and a cycle of these numbers never escapes, so no count changes.
     """
     out = np.full(re.shape[0], max_iter, dtype=np.int32)
     where = np.arange(re.shape[0])
     cr, ci = re, im
     zr, zi = re.copy(), im.copy()
+    seen_r = seen_i = None
+    waited, patience = 0, 1
     inside = np.empty(re.shape[0], dtype=bool)
     scratch = np.empty((3, _CACHE_POINTS), dtype=re.dtype)
     step, interval = 0, 1
@@ -54,11 +60,22 @@ def _iterate(re, im, max_iter):
             _advance(zr[piece], zi[piece], cr[piece], ci[piece], inside[piece], survived[piece],
                      scratch[:, :piece.stop - piece.start], stop - step)
         inside = inside[:where.size]
+        live = inside
         if not inside.all():
             gone = ~inside
             out[where[gone]] = survived[gone] + np.int32(step)
-            where, cr, ci = where[inside], cr[inside], ci[inside]
-            zr, zi = zr[inside], zi[inside]
+        if seen_r is not None:
+            live = inside & ~((zr == seen_r) & (zi == seen_i))
+        if not live.all():
+            where, cr, ci = where[live], cr[live], ci[live]
+            zr, zi = zr[live], zi[live]
+            if seen_r is not None:
+                seen_r, seen_i = seen_r[live], seen_i[live]
+        if find_cycles and interval == _LONGEST_INTERVAL:
+            waited += 1
+            if waited == patience:
+                seen_r, seen_i = zr.copy(), zi.copy()
+                waited, patience = 0, 2 * patience
         step = stop
         interval = min(step // 4 + 1, _LONGEST_INTERVAL)
     return out
@@ -93,7 +110,7 @@ def escape_steps(re, im, max_iter: int, mode: str = "early_exit"):
         else:
             todo = ~_closed_form_members(re, im)
             out = np.full(re.shape[0], max_iter, dtype=np.int32)
-            out[todo] = _iterate(re[todo], im[todo], max_iter)
+            out[todo] = _iterate(re[todo], im[todo], max_iter, find_cycles=True)
     undefined = np.isnan(re) | np.isnan(im)
     if undefined.any():  # a NaN orbit never tests as escaped
         out[undefined] = max_iter

@@ -1,9 +1,12 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import as_set, counts_by_loop
 from gridscale.functions.kernels import (
+    _iterate,
     escape_count,
     escape_count_native,
     escape_steps,
@@ -110,6 +113,29 @@ def test_interval_lengths_do_not_matter():
         assert (escape_steps(re, im, steps, "exact") == np.minimum(deep, steps)).all()
 
 
+@pytest.mark.parametrize("view", [(-0.75, 0.0, 3.5, 70), (-0.12256116687665, 0.74486176661974, 0.4, 40), (-1.7548776662466927, 0.0, 0.05, 40),
+                                  (-1.3, 0.0, 0.3, 40), (-0.743643887037151, 0.131825904205330, 1e-3, 24), (0.28, 0.53, 0.1, 30)])
+@pytest.mark.parametrize("mode", ["early_exit", "float32"])
+def test_cycles_change_no_count(view, mode):
+    """Views with parts of many periods: leaving an orbit at its first repetition gives what all steps give."""
+    re, im, width, n = view
+    kind = np.float32 if mode == "float32" else np.float64
+    re, im = (a.ravel().astype(kind) for a in np.meshgrid(np.linspace(re - width / 2, re + width / 2, n), np.linspace(im - width / 2, im + width / 2, n)))
+    for steps in (130, 5000, 20001):
+        with np.errstate(all="ignore"):
+            assert (escape_steps(re, im, steps, mode) == _iterate(re, im, steps)).all()
+
+
+def test_a_deep_frame_in_the_set_is_left_early():
+    """A frame whose in-set points have period 3: most of 65,535 steps are spared."""
+    re, im = (a.ravel() for a in np.meshgrid(np.linspace(-0.16, -0.09, 96), np.linspace(0.71, 0.78, 96)))
+    start = time.perf_counter()
+    whole = escape_steps(re, im, 65535, "exact")
+    middle = time.perf_counter()
+    assert (escape_steps(re, im, 65535) == whole).all() and (whole == 65535).all()
+    assert time.perf_counter() - middle < (middle - start) / 5
+
+
 def test_membership_is_strict_on_the_edge(spark):
     df = spark.createDataFrame([(0.0, 0.0), (-1.0, 0.0), (-1.25, 0.0), (0.25, 0.0), (2.0, 2.0)], "re DOUBLE, im DOUBLE")
     got = [r[0] for r in df.select(membership_class("re", "im")).collect()]
