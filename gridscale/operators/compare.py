@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _paired(actual: DataFrame, expected: DataFrame) -> DataFrame:
+def paired(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """Cells of both sides by position, with their difference; null where one side has none."""
     keys = ["frame", "y", "x"]
     a = actual.select(*keys, F.col("iterations").cast("long").alias("a"))
     b = expected.select(*keys, F.col("iterations").cast("long").alias("b"))
     return a.join(b, keys, "full_outer").withColumn("delta", F.abs(F.col("a") - F.col("b")))
 
 
-def _verdicts(max_pixel_diff_pct, max_iter_delta):
-    unmatched = F.count_if(F.col("delta").isNull())
-    differing = F.count_if(F.col("delta") > max_iter_delta)
-    cells = F.count("*")
+def verdicts(max_pixel_diff_pct, max_iter_delta, times=None):
+    """The columns of a comparison; a row stands for as many cells as ``times`` says, or for one."""
+    def number(condition):
+        return F.count_if(condition) if times is None else F.coalesce(F.sum(F.when(condition, F.col(times))), F.lit(0)).cast("long")
+
+    unmatched = number(F.col("delta").isNull())
+    differing = number(F.col("delta") > max_iter_delta)
+    cells = number(F.lit(True))
     pct = F.when(cells > 0, F.lit(100.0) * differing / cells).otherwise(0.0)
     return [
         cells.alias("n_cells"),
@@ -35,13 +40,13 @@ def compare_runs(actual: DataFrame, expected: DataFrame,
     """One row: how many cells differ by more than ``max_iter_delta``, in percent, and a
     verdict. A cell that only one side has makes it a shape mismatch. Cells are the join
     keys, so a frame that holds most of the data is spread like any other."""
-    return _paired(actual, expected).agg(*_verdicts(max_pixel_diff_pct, max_iter_delta))
+    return paired(actual, expected).agg(*verdicts(max_pixel_diff_pct, max_iter_delta))
 
 
 def compare_frames(actual: DataFrame, expected: DataFrame,
                    max_pixel_diff_pct: float = 1.0, max_iter_delta: int = 1) -> DataFrame:
     """The same by frame: where do two runs diverge?"""
-    return _paired(actual, expected).groupBy("frame").agg(*_verdicts(max_pixel_diff_pct, max_iter_delta))
+    return paired(actual, expected).groupBy("frame").agg(*verdicts(max_pixel_diff_pct, max_iter_delta))
 
 
 def assert_runs_close(actual: DataFrame, expected: DataFrame,

@@ -13,7 +13,7 @@ from gridscale.sources.grid import default_tiles, grid_tasks, tile_grid
 _CELL_ARROW = pa.schema([(f.name, pa.int32()) for f in CELLS.fields])
 
 
-def _axis_slice(center, width, n, start, stop):
+def axis_slice(center, width, n, start, stop):
     lo, hi = center - width / 2.0, center + width / 2.0
     if n == 1:
         return np.array([lo])[start:stop]
@@ -72,12 +72,12 @@ def compute_frames(
 
 def _tile_bands(tile, height, width_px):
     """A tile as bands of rows of at most ``CELLS_PER_TILE`` cells: frame, y, x, re, im."""
-    re = _axis_slice(tile["center_re"], tile["width"], width_px, tile["x0"], tile["x1"])
+    re = axis_slice(tile["center_re"], tile["width"], width_px, tile["x0"], tile["x1"])
     x = np.arange(tile["x0"], tile["x1"], dtype=np.int32)
     band = max(1, CELLS_PER_TILE // x.size)
     for top in range(tile["y0"], tile["y1"], band):
         bottom = min(top + band, tile["y1"])
-        im = _axis_slice(tile["center_im"], tile["width"], height, top, bottom)
+        im = axis_slice(tile["center_im"], tile["width"], height, top, bottom)
         y = np.arange(top, bottom, dtype=np.int32)
         yield tile["frame"], np.repeat(y, x.size), np.tile(x, y.size), np.tile(re, y.size), np.repeat(im, x.size)
 

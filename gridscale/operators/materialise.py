@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridscale.operators.bands import compute_bands
 from gridscale.operators.compute import compute_frames
 from gridscale.operators.store import GridStore, Staged
 from gridscale.session import settled
@@ -26,6 +27,9 @@ def _checked(store: GridStore, run_id: str, views: DataFrame):
 
 
 def _stage(store: GridStore, run_id: str, spec, views: DataFrame, n: int, message: str | None) -> Staged:
+    if spec["layout"] == "bands":
+        bands = compute_bands(views, spec["height"], spec["width_px"], spec["max_iter"], spec["mode"], n)
+        return store.stage_bands(run_id, bands, views, message, spec)
     cells = compute_frames(views, spec["height"], spec["width_px"], spec["max_iter"], spec["mode"], n_frames=n)
     return store.stage_frames(run_id, cells, views, message, ordered=True, spec=spec)
 

@@ -34,7 +34,10 @@ TILES = T.StructType([
 def normalise_global(cells: DataFrame) -> DataFrame:
     """Add ``v``: the cell over the largest cell of all frames, in single precision, so
     colours do not flicker between frames. The maximum is a scalar subquery, not a join."""
-    top = cells.select(largest_count().cast("float").alias("top")).scalar()
+    return scaled_by_top(cells, cells.select(largest_count().cast("float").alias("top")).scalar())
+
+
+def scaled_by_top(cells: DataFrame, top) -> DataFrame:
     return cells.withColumn("v", (F.col("iterations").cast("float") / top).cast("float"))
 
 
@@ -45,7 +48,10 @@ def normalise_per_frame(cells: DataFrame) -> DataFrame:
     window, so a frame need not fit one task. They are settled first: planned from the cells,
     their size would be unknown and the join would shuffle every cell.
     """
-    ranges = settled(cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi")))
+    return scaled_by_range(cells, settled(cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi"))))
+
+
+def scaled_by_range(cells: DataFrame, ranges: DataFrame) -> DataFrame:
     spread = (F.col("hi") - F.col("lo")).cast("double")
     v = F.when(spread > 0, (F.col("iterations") - F.col("lo")) / spread).otherwise(0.0)
     return cells.join(ranges, "frame").withColumn("v", v).drop("lo", "hi")

@@ -2,19 +2,21 @@
 
 Layout below the root::
 
-    pixels/run_id=R/snapshot_id=S/frame_block=B   cells that one commit wrote
+    pixels/run_id=R/snapshot_id=S/frame_block=B   what one commit wrote: bands of cells, or one row per cell
+    zones/run_id=R/snapshot_id=S                  range, sums and digest of each band it wrote
     frames/run_id=R/snapshot_id=S                 view and cell count of each frame it wrote
-    commits/run_id=R/version=N                    the whole log after N commits, as one file
+    commits/run_id=R/version=N.json               the entries of the N-th append to the log
 
-A commit writes its data folders first and the next version of the log last, as one file that appears at
-once. Readers take the newest version and open exactly the folders it names, so a job that dies
-midway leaves files nobody looks at, and a folder that is named but gone is an error. Each run has
-one committer at a time; a second one that takes the same version number fails and changes nothing.
+A commit writes its data folders first and one log file last. That file is written under a name of its own and
+then published by a rename that fails if its version exists, so it appears whole or not at all: a job that dies midway leaves
+files nobody looks at, and of two committers that start from one version the later one fails and changes nothing. Readers
+open exactly the folders that the log names, and a folder that is gone is an error.
 Workers only *stage* data: they write folders and hand back what a commit needs to name them.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
@@ -22,16 +24,24 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from gridscale.schema import CELL_MAX, CELLS, CELLS_PER_BLOCK, COMMITS, FRAMES, PIXELS, VIEWS, check_max_iter, check_mode
-from gridscale.session import folder_names
+from gridscale.operators.bands import band_of, bands_of_cells, cells_of_bands
+from gridscale.schema import (
+    BANDS, CELL_MAX, CELLS, CELLS_PER_BLOCK, COMMITS, FRAMES, LAYOUTS, PIXELS, RUN_SPEC, VIEWS, ZONES, check_max_iter, check_mode,
+)
+from gridscale.session import folder_names, publish_once, read_text
 from gridscale.sources.grid import grid_tasks, missing_cells
 
 CREATE_MESSAGE = "create run"
 
-#: Cells whose presence one bitmap records when repeated cells are looked for.
-BITMAP_CELLS = 8 * 4096
+#: Appends after which a log file holds the whole log again; a reader opens no more files than this.
+APPENDS_PER_WHOLE_LOG = 64
+_VERSION = re.compile(r"version=(\d+)\.json")
+_FOLDER = [T.StructField("run_id", T.StringType()), T.StructField("snapshot_id", T.StringType())]
+_BAND_FILES = T.StructType([*BANDS.fields, *_FOLDER, T.StructField("frame_block", T.IntegerType())])
+_ZONE_FILES = T.StructType([*ZONES.fields, *_FOLDER])
 
 
 class Staged(NamedTuple):
@@ -42,6 +52,8 @@ class Staged(NamedTuple):
     n_frames: int
     n_cells: int
     elapsed_s: float
+    first_frame: int | None = None
+    last_frame: int | None = None
 
 
 class RunState(NamedTuple):
@@ -54,9 +66,15 @@ class RunState(NamedTuple):
 
 
 class GridStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Runs below ``root``. ``layout`` is that of new runs: ``bands`` keeps a band of cells in one row, ``cells`` one row per cell,
+    for readers that do not know this library."""
+
+    def __init__(self, spark: SparkSession, root: str, layout: str = "bands"):
+        if layout not in LAYOUTS:
+            raise ValueError(f"unknown layout {layout!r}; choose one of {', '.join(LAYOUTS)}")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.layout = layout
         self._logs: dict[str, tuple[int, list[Row]]] = {}  # by run: a version, which never changes, and its rows
 
     # -- creating runs ---------------------------------------------------------------
@@ -75,7 +93,8 @@ class GridStore:
         per_block = max(1, CELLS_PER_BLOCK // (height * width_px))
         self._append(run_id, [{
             "snapshot_id": snapshot, "message": CREATE_MESSAGE, "n_frames": 0, "n_cells": 0, "elapsed_s": 0.0,
-            "spec": (height, width_px, n_frames, max_iter, mode, per_block)}])
+            "spec": {"height": height, "width_px": width_px, "n_frames": n_frames, "max_iter": max_iter, "mode": mode,
+                     "frames_per_block": per_block, "layout": self.layout}}])
         return snapshot
 
     def create_run_if_absent(self, run_id: str, n_frames: int, height: int, width_px: int,
@@ -92,14 +111,14 @@ class GridStore:
     # -- the log ---------------------------------------------------------------------
 
     def commits(self, run_id: str | None = None) -> DataFrame:
-        """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s`` and, for the
+        """The log: ``run_id, commit_seq, snapshot_id, message, n_frames, n_cells, elapsed_s, first_frame, last_frame`` and, for the
         commits that create a run, its ``spec``."""
         whole = f"{self.root}/commits"
         runs = [run_id] if run_id is not None else [n.removeprefix("run_id=") for n in folder_names(self.spark, whole)]
-        paths = [f"{whole}/run_id={r}/version={v}" for r in runs if (v := self._newest(r))]
+        paths = [self._log_file(r, v) for r in runs for v, _ in self._chain(r)]
         if not paths:
             return self.spark.createDataFrame([], COMMITS)
-        return self.spark.read.schema(COMMITS).option("basePath", whole).parquet(*paths).drop("version")
+        return self.spark.read.schema(COMMITS).option("basePath", whole).json(paths).where("commit_seq IS NOT NULL")
 
     def history(self, run_id: str) -> DataFrame:
         """The commits of a run, oldest first."""
@@ -130,34 +149,47 @@ class GridStore:
         return RunState(created["spec"], created["commit_seq"], rows[-1]["commit_seq"], since)
 
     def _log(self, run_id: str) -> list[Row]:
-        """The newest log, oldest commit first; read again only if there is a newer version."""
-        version = self._newest(run_id)
-        if self._logs.get(run_id, (0, []))[0] != version:
-            self._logs[run_id] = version, sorted(self.commits(run_id).collect(), key=lambda r: r["commit_seq"])
-        return self._logs[run_id][1] if version else []
+        """The newest log, oldest commit first; of a log known in part only the later files are read."""
+        newest = self._newest(run_id)
+        known, rows = self._logs.get(run_id, (0, []))
+        if newest != known:
+            chain = self._chain(run_id, newest, known)
+            added = [_entry(line) for _, lines in reversed(chain) for line in lines]
+            rows = (rows if chain[-1][1] and added[0]["commit_seq"] > 1 else []) + added
+            self._logs[run_id] = newest, rows
+        return rows if newest else []
+
+    def _chain(self, run_id: str, newest: int | None = None, known: int = 0) -> list[tuple[int, list[dict]]]:
+        """Versions of the log, newest first, with their entries, down to one that holds all before it, or to the ``known`` one."""
+        version = self._newest(run_id) if newest is None else newest
+        chain = []
+        while version > known:
+            head, *lines = (json.loads(line) for line in read_text(self.spark, self._log_file(run_id, version)).splitlines())
+            chain.append((version, lines))
+            version = head["since"]
+        return chain
 
     def _append(self, run_id: str, entries: list[dict]) -> None:
-        """The log with more rows, as its next version."""
+        """More entries of the log, as its next version; every so often the version holds the whole log."""
         version = self._newest(run_id)
-        columns = [f.name for f in COMMITS if f.name not in ("run_id", "version")]
-        given = [tuple(r[c] for c in columns) for r in self._log(run_id)]
-        more = [(version + k + 1, e["message"], e["n_frames"], e["n_cells"], float(e["elapsed_s"]), e.get("spec"), e["snapshot_id"]) for k, e in enumerate(entries)]
-        rows = self.spark.createDataFrame(given + more, _fields(COMMITS, columns))
-        path = f"{self.root}/commits/run_id={run_id}/version={version + len(entries)}"
-        try:
-            rows.coalesce(1).write.mode("errorifexists").parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise RuntimeError(f"run {run_id!r} has another committer; nothing was committed") from e
+        rows = self._log(run_id)
+        columns = [f.name for f in COMMITS if f.name not in ("run_id", "commit_seq")]
+        last = rows[-1]["commit_seq"] if rows else 0
+        lines = [{"commit_seq": last + k + 1, **{c: e.get(c) for c in columns}} for k, e in enumerate(entries)]
+        whole = version == 0 or (version + 1) % APPENDS_PER_WHOLE_LOG == 0
+        if whole:
+            lines = [r.asDict(recursive=True) for r in rows] + lines
+        text = "\n".join(json.dumps(line) for line in [{"since": 0 if whole else version}, *lines])
+        if not publish_once(self.spark, text, self._log_file(run_id, version + 1)):
+            raise RuntimeError(f"run {run_id!r} has another committer; nothing was committed")
+
+    def _log_file(self, run_id: str, version: int) -> str:
+        return f"{self.root}/commits/run_id={run_id}/version={version}.json"
 
     def _newest(self, run_id: str) -> int:
-        """The newest version of a run's log whose file is complete; 0 without any."""
-        whole = f"{self.root}/commits/run_id={run_id}"
-        for version in sorted((int(n.removeprefix("version=")) for n in folder_names(self.spark, whole)), reverse=True):
-            if any(n.startswith("part-") for n in folder_names(self.spark, f"{whole}/version={version}")):
-                return version
-        return 0
+        """The newest version of a run's log; 0 without any."""
+        names = (_VERSION.fullmatch(n) for n in folder_names(self.spark, f"{self.root}/commits/run_id={run_id}"))
+        return max((int(m[1]) for m in names if m), default=0)
 
     # -- writing ---------------------------------------------------------------------
 
@@ -179,54 +211,60 @@ class GridStore:
 
         Frames not in ``cells`` stay untouched. ``views`` supplies their centre and width. A cell outside
         the run's shape or the cell type fails the job, and so does a cell given twice. Cells are gathered
-        by frame, in partitions that adaptive execution sizes and, for a frame holding much
-        of the data, splits. Cells that ``compute_frames`` made for this run from ``views`` are right by construction
-        and already ``ordered``: they are written as they come and their counts follow from the run's shape.
+        by frame and band, so a frame holding much of the data is spread over tasks. Cells that ``compute_frames``
+        made for this run from ``views`` are right by construction and already ``ordered``: the layout of rows writes them as they come.
         """
-        if message == CREATE_MESSAGE:
-            raise ValueError("that message marks the creation of a run")
         spec = spec or self.state(run_id).spec
-        snapshot = uuid.uuid4().hex
-        path = f"{self.root}/pixels/run_id={run_id}/snapshot_id={snapshot}"
-        started = time.perf_counter()
+        if _layout(spec) == "bands":
+            checked = cells.select("frame", "y", "x", _checked_cell(spec).alias("iterations"))
+            return self.stage_bands(run_id, bands_of_cells(checked, spec["width_px"], spec["max_iter"]), views, message, spec)
         value = F.col("iterations") if ordered else _checked_cell(spec)
         rows = cells.select("frame", "y", "x", value.alias("iterations"), _block(spec).alias("frame_block"))
         if not ordered:
             rows = (rows.hint("rebalance", "frame_block", "frame")
                     .sortWithinPartitions("frame_block", "frame", "y", "x"))
-        rows.write.partitionBy("frame_block").mode("errorifexists").parquet(path)
+        return self._staged(run_id, rows, views, message, spec)
+
+    def stage_bands(self, run_id: str, bands: DataFrame, views: DataFrame | None = None,
+                    message: str | None = None, spec: Row | None = None) -> Staged:
+        """Write bands of this run, as ``compute_bands`` and ``bands_of_cells`` make them, without committing them."""
+        spec = spec or self.state(run_id).spec
+        # Packed bands are small: dealing them once more costs little and leaves files of a sensible size, however many tasks made them.
+        rows = (bands.withColumn("frame_block", _block(spec)).hint("rebalance", "frame_block")
+                .sortWithinPartitions("frame_block", "frame", "band"))
+        return self._staged(run_id, rows, views, message, spec)
+
+    def _staged(self, run_id: str, rows: DataFrame, views: DataFrame | None, message: str | None, spec: Row) -> Staged:
+        """Data first, then what is known of its bands, then its frames with their views."""
+        if message == CREATE_MESSAGE:
+            raise ValueError("that message marks the creation of a run")
+        snapshot = uuid.uuid4().hex
+        folder = {name: f"{self.root}/{name}/run_id={run_id}/snapshot_id={snapshot}" for name in ("pixels", "zones", "frames")}
+        started = time.perf_counter()
+        rows.write.partitionBy("frame_block").mode("errorifexists").parquet(folder["pixels"])
         elapsed = time.perf_counter() - started
-        plane = spec["height"] * spec["width_px"]
-        if ordered:
-            counted = views.select(*VIEWS.names, F.lit(plane).cast("bigint").alias("n_cells"), F.lit(0).cast("bigint").alias("again"))
+        if _layout(spec) == "bands":
+            zones = self._opened([folder["pixels"]], _BAND_FILES)
+        else:
+            zones = bands_of_cells(self._opened([folder["pixels"]], PIXELS), spec["width_px"], spec["max_iter"], packed=False)
+        zones.select(*ZONES.names).sortWithinPartitions("frame", "band").write.mode("errorifexists").parquet(folder["zones"])
+        counted = self._opened([folder["zones"]], ZONES).groupBy("frame").agg(F.sum("n_cells").alias("n_cells"), F.sum("again").alias("again"))
+        if views is None:
+            unknown = F.lit(None).cast("double")
+            counted = counted.withColumns({"center_re": unknown, "center_im": unknown, "width": unknown})
         else:
-            counted = self._counted(self._opened([path], PIXELS), spec, views)
-        folder = f"{self.root}/frames/run_id={run_id}/snapshot_id={snapshot}"
+            counted = counted.join(views.select(*VIEWS.names), "frame", "left")
         seen = Observation()
-        counted.observe(seen, F.count(F.lit(1)).alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
-                        F.min("frame").alias("first"), F.coalesce(F.sum("again"), F.lit(0)).alias("again"),
-                        F.min(F.when(F.col("again") > 0, F.col("frame"))).alias("bad")).write.mode("errorifexists").parquet(folder)
+        counted.select(*VIEWS.names, "n_cells", "again").observe(
+            seen, F.count(F.lit(1)).alias("frames"), F.coalesce(F.sum("n_cells"), F.lit(0)).alias("cells"),
+            F.min("frame").alias("first"), F.max("frame").alias("last"), F.coalesce(F.sum("again"), F.lit(0)).alias("again"),
+            F.min(F.when(F.col("again") > 0, F.col("frame"))).alias("bad")).write.mode("errorifexists").parquet(folder["frames"])
         done = seen.get
         if done["again"]:
             raise ValueError(f"cells of run {run_id!r} occur more than once, e.g. in frame {done['bad']}")
         if message is None:
             message = f"wrote frame {done['first']}" if done["frames"] == 1 else f"wrote {done['frames']} frames"
-        return Staged(snapshot, message, done["frames"], done["cells"], elapsed)
-
-    def _counted(self, written: DataFrame, spec: Row, views: DataFrame | None) -> DataFrame:
-        """Per frame: its view, its cells, and how many of them repeat another one.
-
-        Each bitmap records which of 32,768 cells were seen, so what is shuffled is a bit per cell."""
-        at = F.col("y").cast("bigint") * spec["width_px"] + F.col("x")
-        parts = written.groupBy("frame", F.expr(f"(bigint(y) * {spec['width_px']} + x) div {BITMAP_CELLS}").alias("part")).agg(
-            F.count("*").alias("n_cells"), F.bitmap_count(F.bitmap_construct_agg(at % BITMAP_CELLS)).alias("distinct"))
-        counted = parts.groupBy("frame").agg(F.sum("n_cells").alias("n_cells"), (F.sum("n_cells") - F.sum("distinct")).alias("again"))
-        if views is None:
-            unknown = F.lit(None).cast("double")
-            counted = counted.withColumns({"center_re": unknown, "center_im": unknown, "width": unknown})
-        else:
-            counted = counted.join(views.select(*VIEWS.names), "frame", "left")
-        return counted.select(*VIEWS.names, "n_cells", "again")
+        return Staged(snapshot, message, done["frames"], done["cells"], elapsed, done["first"], done["last"])
 
     # -- reading ---------------------------------------------------------------------
 
@@ -239,44 +277,81 @@ class GridStore:
                 .groupBy("frame").agg(newest.alias("at"), F.max("commit_seq").alias("commit_seq"))
                 .select("frame", "at.*", "commit_seq"))
 
+    def zones(self, run_id: str, as_of: int | str | None = None, state: RunState | None = None) -> DataFrame:
+        """What is known of every band of the live frames: ``frame, band, n_cells, min_iter, max_seen, in_set, last_y, last_x, digest,
+        histogram`` and the ``snapshot_id`` that wrote it. Zones are written with their cells and found by the same commit, so they are never of
+        another state than the cells."""
+        state = state or self.state(run_id, as_of)
+        names = [c["snapshot_id"] for c in state.commits]
+        run = f"{self.root}/zones/run_id={run_id}"
+        found = self._opened([f"{run}/snapshot_id={s}" for s in names], _ZONE_FILES, f"{self.root}/zones").drop("again", "run_id")
+        if _disjoint(state.commits):
+            return found
+        return found.join(self.live_frames(run_id, state=state).select("frame", "snapshot_id"), ["frame", "snapshot_id"], "left_semi")
+
     def read(self, run_id: str, as_of: int | str | None = None, where: Column | None = None,
-             with_view: bool = False) -> DataFrame:
+             with_view: bool = False, values: tuple[int, int] | None = None) -> DataFrame:
         """Cells of the run's newest state, or of its state at the commit ``as_of`` (number or snapshot id).
 
         ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``; then only the
-        commits that hold such frames are opened. If no frame was written twice, the folders
+        commits that hold such frames are opened. ``values`` selects cells by their count, both ends included; bands whose range lies
+        outside are skipped by the statistics of their files. If no frame was written twice, the folders
         of the commits are the answer; otherwise the list of live frames is joined to them.
         """
         state = self.state(run_id, as_of)
+        names = [c["snapshot_id"] for c in state.commits]
         if where is None and not with_view:
             written = sum(c["n_frames"] for c in state.commits)
-            if len(state.commits) < 2 or self.live_frames(run_id, state=state).count() == written:
-                return self._cells(run_id, [c["snapshot_id"] for c in state.commits]).select(*CELLS.names)
+            if _disjoint(state.commits) or self.live_frames(run_id, state=state).count() == written:
+                return self._as_cells(self._rows(run_id, names, state.spec), state.spec, values=values)
         live = self.live_frames(run_id, state=state)
-        names = [c["snapshot_id"] for c in state.commits]
         if where is not None:
             live = live.filter(where)
             names = [r[0] for r in live.select("snapshot_id").distinct().collect()]
-        return self._cells_of(run_id, live, state, names, with_view)
+        return self._cells_of(run_id, live, state, names, with_view, values)
 
-    def _cells_of(self, run_id, live, state, names, with_view=False):
+    def _cells_of(self, run_id, live, state, names, with_view=False, values=None):
         """Cells of the given live frames, which are joined on partition columns, so that dynamic
-        pruning opens only the folders of their blocks."""
-        columns = CELLS.names + (["center_re", "center_im", "width"] if with_view else [])
-        wanted = live.select("snapshot_id", "frame", _block(state.spec).alias("frame_block"),
-                             "center_re", "center_im", "width")
-        return self._cells(run_id, names).join(wanted, ["snapshot_id", "frame_block", "frame"]).select(*columns)
+        pruning opens only the folders of their blocks. With a column ``band``, only those bands."""
+        more = ["center_re", "center_im", "width"] if with_view else []
+        by_band = ["band"] if "band" in live.columns else []
+        wanted = live.select("snapshot_id", "frame", _block(state.spec).alias("frame_block"), *by_band, *more)
+        rows = self._rows(run_id, names, state.spec)
+        if by_band and _layout(state.spec) == "cells":
+            rows = rows.withColumn("band", band_of(state.spec["width_px"]))
+        return self._as_cells(rows.join(wanted, ["snapshot_id", "frame_block", "frame", *by_band]), state.spec, more, values)
+
+    def _as_cells(self, rows: DataFrame, spec: Row, more: list[str] = (), values: tuple[int, int] | None = None) -> DataFrame:
+        """Rows of data folders as cells, in whatever layout they are."""
+        if _layout(spec) == "bands":
+            if values is not None:
+                rows = rows.filter((F.col("max_seen") >= values[0]) & (F.col("min_iter") <= values[1]))
+            rows = cells_of_bands(rows.select("frame", "cells", *more), spec["width_px"])
+        if values is not None:
+            rows = rows.filter(F.col("iterations").between(*values))
+        return rows.select(*CELLS.names, *more)
+
+    def read_bands(self, run_id: str, bands: DataFrame, as_of: int | str | None = None) -> DataFrame:
+        """Cells of the given bands (``frame, band, snapshot_id``) of the run's state; only the commits that hold some are opened."""
+        state = self.state(run_id, as_of)
+        names = {r[0] for r in bands.select("snapshot_id").distinct().collect()}
+        names = [c["snapshot_id"] for c in state.commits if c["snapshot_id"] in names]  # not more than the log has
+        return self._cells_of(run_id, bands, state, names)
 
     def read_frame(self, run_id: str, frame: int, as_of: int | str | None = None) -> DataFrame:
-        """One frame by position. Its row names the commit, so one folder is opened."""
+        """One frame by position. Only commits whose range of frames has it are asked, and one folder of cells is opened."""
         state = self.state(run_id, as_of)
         if not 0 <= frame < state.spec["n_frames"]:
             raise ValueError(f"frame {frame} outside 0..{state.spec['n_frames'] - 1}")
-        live = self.live_frames(run_id, state=state).filter(F.col("frame") == frame).first()
+        near = tuple(c for c in state.commits if c["first_frame"] is None or c["first_frame"] <= frame <= c["last_frame"])
+        if not near:
+            return self.spark.createDataFrame([], CELLS)
+        live = self.live_frames(run_id, state=state._replace(commits=near)).filter(F.col("frame") == frame).first()
         if live is None:
             return self.spark.createDataFrame([], CELLS)
         block = frame // state.spec["frames_per_block"]
-        return self._cells(run_id, [live["snapshot_id"]], f"/frame_block={block}").filter(F.col("frame") == frame).select(*CELLS.names)
+        rows = self._rows(run_id, [live["snapshot_id"]], state.spec, f"/frame_block={block}")
+        return self._as_cells(rows.filter(F.col("frame") == frame), state.spec)
 
     def select(self, run_id: str, frame: int | None = None, width: float | None = None,
                width_between: tuple[float, float] | None = None) -> DataFrame:
@@ -355,9 +430,11 @@ class GridStore:
         kept = ["commit_seq", "message", "n_frames", "n_cells", "elapsed_s", "snapshot_id"]
         return self.spark.createDataFrame([tuple(r[c] for c in kept) for r in rows], _fields(COMMITS, kept))
 
-    def _cells(self, run_id, snapshots, block="") -> DataFrame:
+    def _rows(self, run_id, snapshots, spec, block="") -> DataFrame:
+        """What the data folders hold: bands or cells."""
         run = f"{self.root}/pixels/run_id={run_id}"
-        return self._opened([f"{run}/snapshot_id={s}{block}" for s in snapshots], PIXELS, f"{self.root}/pixels")
+        schema = _BAND_FILES if _layout(spec) == "bands" else PIXELS
+        return self._opened([f"{run}/snapshot_id={s}{block}" for s in snapshots], schema, f"{self.root}/pixels")
 
     def _frame_rows(self, run_id, rows) -> DataFrame:
         run = f"{self.root}/frames/run_id={run_id}"
@@ -380,6 +457,27 @@ class GridStore:
             raise FileNotFoundError(f"the log names data that is gone: {e.getMessageParameters().get('path', paths)}") from e
 
 
+def _entry(line: dict) -> Row:
+    """One entry of the log, whatever columns it was written with."""
+    spec = line.get("spec")
+    values = {f.name: line.get(f.name) for f in COMMITS if f.name != "run_id"}
+    return Row(**values | {"spec": Row(**{f.name: spec.get(f.name) for f in RUN_SPEC}) if spec else None})
+
+
+def _layout(spec: Row) -> str:
+    return spec["layout"] or "cells"
+
+
+def _disjoint(commits: tuple[Row, ...]) -> bool:
+    """Whether the ranges of frames prove that no frame was written twice."""
+    if len(commits) < 2:
+        return True
+    if any(c["first_frame"] is None for c in commits):
+        return False
+    ranges = sorted((c["first_frame"], c["last_frame"]) for c in commits)
+    return all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def _fields(schema, names):
     return type(schema)([schema[n] for n in names])
 

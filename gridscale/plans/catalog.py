@@ -48,6 +48,16 @@ from gridscale.operators.stats import (
     mixed_frames,
 )
 from gridscale.operators.store import GridStore
+from gridscale.operators.zones import (
+    cells_above,
+    compare_commits,
+    normalise_stored_global,
+    normalise_stored_per_frame,
+    stored_frame_stats,
+    stored_global_max,
+    stored_histogram,
+    stored_mixed_frames,
+)
 from gridscale.plans import inputs
 from gridscale.session import shared_folder
 from gridscale.sources.grid import fill_grid, frame_ranges, pixel_grid, split_frames, tile_grid
@@ -61,7 +71,8 @@ SIZE = 8  # cells per axis of a customer view
 STORE_SIZE = 16  # and of a supplier view kept in a store
 FRAME_STEPS = 50
 POINT_STEPS = 128
-LARGE_SIZE, LARGE_STEPS = 520, 24  # more cells than a tile holds
+CYCLE_SIZE, CYCLE_STEPS = 12, 2000  # cells per axis and steps where orbits repeat
+LARGE_SIZE, LARGE_STEPS = 90, 24  # per axis of a supplier view in tiles
 TILE = 32
 
 
@@ -165,6 +176,12 @@ def k2_early_exit_frames(spark, d):
     return compute_frames(inputs.customer_views(spark, d), SIZE, SIZE, FRAME_STEPS, "early_exit", n_tiles=3)
 
 
+@query
+def k2_cycles_frames(spark, d):
+    """So many steps that orbits in the set are left at their first repetition."""
+    return compute_frames(inputs.supplier_views(spark, d), CYCLE_SIZE, CYCLE_SIZE, CYCLE_STEPS)
+
+
 @query
 def k3_membership_class(spark, d):
     return inputs.lineitem_points(spark, d).select(
@@ -191,13 +208,13 @@ def k5_cell_type(spark, d):
 
 # -- store -----------------------------------------------------------------------------
 
-def _new_store(spark):
-    return GridStore(spark, shared_folder(spark))
+def _new_store(spark, layout="bands"):
+    return GridStore(spark, shared_folder(spark), layout)
 
 
-def _event_store(spark, d, restated=False):
+def _event_store(spark, d, restated=False, layout="bands"):
     """A fresh store with the event cube as one commit, and the restated weekends as another."""
-    store = _new_store(spark)
+    store = _new_store(spark, layout)
     store.create_run("events", inputs.event_frames(spark, d), inputs.EVENTS_HEIGHT, inputs.event_width(spark, d))
     views = inputs.event_views(spark, d)
     store.write_frames("events", inputs.event_cube(spark, d), views, "all events")
@@ -237,6 +254,18 @@ def s5_read_latest(spark, d):
     return _event_store(spark, d, restated=True).read("events")
 
 
+@query
+def s5_read_values(spark, d):
+    """Cells of two to four events: bands without such cells are skipped."""
+    return _event_store(spark, d, restated=True).read("events", values=(2, 4))
+
+
+@query
+def s5_read_rows_layout(spark, d):
+    """The same cells from a store that keeps one row per cell."""
+    return _event_store(spark, d, restated=True, layout="cells").read("events")
+
+
 @query
 def s6_read_as_of(spark, d):
     return _event_store(spark, d, restated=True).read("events", as_of=2)
@@ -297,6 +326,12 @@ def _supplier_store(spark, d):
     return store, views
 
 
+def _zoom_store(spark, d):
+    store, views = _supplier_store(spark, d)
+    materialise(store, "zoom", views)
+    return store
+
+
 def _requested_views(spark, d, views):
     return views.join(inputs.requested_suppliers(spark, d), "frame", "left_semi")
 
@@ -372,11 +407,32 @@ def a1_frame_stats(spark, d):
 
 @query
 def a1_large_frame_stats(spark, d):
-    """Frames of several tiles each, over several tasks."""
-    cells = compute_frames(inputs.region_views(spark, d), LARGE_SIZE, LARGE_SIZE, LARGE_STEPS, "exact")
+    """A larger frame per supplier, each of sixteen tiles over several tasks."""
+    cells = compute_frames(inputs.supplier_views(spark, d), LARGE_SIZE, LARGE_SIZE, LARGE_STEPS, "exact", n_tiles=4)
     return frame_stats(cells, LARGE_STEPS)
 
 
+@query
+def a1_stored_frame_stats(spark, d):
+    return stored_frame_stats(_zoom_store(spark, d), "zoom")
+
+
+@query
+def a1_stored_histogram(spark, d):
+    return stored_histogram(_event_store(spark, d, restated=True), "events")
+
+
+@query
+def a2_stored_global_max(spark, d):
+    return stored_global_max(_event_store(spark, d, restated=True), "events")
+
+
+@query
+def a2_cells_above(spark, d):
+    """Cells in the bins that the busiest hundredth reaches into."""
+    return cells_above(_event_store(spark, d, restated=True), "events", 0.01)
+
+
 @query
 def a2_global_max(spark, d):
     return global_max(_lineitem_counts(spark, d, "early_exit"))
@@ -399,12 +455,23 @@ def q2_compare_frames(spark, d):
     return compare_frames(inputs.event_cube_without_errors(spark, d), inputs.event_cube(spark, d), 1.0, 0)
 
 
+@query
+def q2_compare_commits(spark, d):
+    """The restated weekends against the state before them: only their bands are opened."""
+    return compare_commits(_event_store(spark, d, restated=True), "events", 2, 3, 1.0, 0)
+
+
 @query
 def v1_mixed_frames(spark, d):
     cells = compute_frames(inputs.customer_views(spark, d), SIZE, SIZE, FRAME_STEPS)
     return mixed_frames(cells, FRAME_STEPS)
 
 
+@query
+def v1_stored_mixed_frames(spark, d):
+    return stored_mixed_frames(_zoom_store(spark, d), "zoom")
+
+
 @query
 def v2_views_complete(spark, d):
     return check_views(schedules_from(inputs.run_requests_with_overrides(spark, d)))
@@ -433,6 +500,16 @@ def r2_normalise_per_frame(spark, d):
     return normalise_per_frame(inputs.event_cube(spark, d))
 
 
+@query
+def r1_normalise_stored(spark, d):
+    return normalise_stored_global(_event_store(spark, d), "events").withColumn("v", F.col("v").cast("double"))
+
+
+@query
+def r2_normalise_stored(spark, d):
+    return normalise_stored_per_frame(_event_store(spark, d), "events")
+
+
 @query
 def r3_apply_palette(spark, d):
     coloured = apply_palette(normalise_global(inputs.event_cube(spark, d)), ember_palette(spark))

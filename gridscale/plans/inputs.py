@@ -113,13 +113,6 @@ def event_frames(spark, folder) -> int:
     return table(spark, folder, "events").agg(F.max(day())).first()[0] + 1
 
 
-def region_views(spark, folder) -> DataFrame:
-    """One view per region, each half as wide as the one before."""
-    return table(spark, folder, "region").select(
-        F.col("r_regionkey").cast("int").alias("frame"), F.lit(-0.75).alias("center_re"), F.lit(0.0).alias("center_im"),
-        F.expr("3.5D / (1 << cast(r_regionkey AS INT))").alias("width"))
-
-
 def event_views(spark, folder) -> DataFrame:
     """One view per day that has events."""
     days = table(spark, folder, "events").select(day().alias("frame")).distinct()

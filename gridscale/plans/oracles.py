@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridscale.plans.catalog import FRAME_STEPS, LARGE_SIZE, LARGE_STEPS, POINT_STEPS, SIZE, STORE_SIZE, TILE
+from gridscale.plans.catalog import CYCLE_SIZE, CYCLE_STEPS, FRAME_STEPS, LARGE_SIZE, LARGE_STEPS, POINT_STEPS, SIZE, STORE_SIZE, TILE
 from gridscale.plans.inputs import EVENTS_HEIGHT, ORDERS_HEIGHT, ORDERS_WIDTH
 
 # -- inputs ----------------------------------------------------------------------------
@@ -186,6 +186,20 @@ def _padded(source, h, w):
     return rows
 
 
+#: Cells by powers of two of their count plus one.
+BIN = "floor(log2(iterations + 1))::INT"
+
+
+def _stats(cells, steps):
+    return f"""SELECT frame, min(iterations) AS min_iter, max(iterations) AS max_seen, count(*) AS n_cells, max(y) + 1 AS height,
+       max(x) + 1 AS width_px, count(*) FILTER (WHERE iterations = {steps}) AS in_set FROM {cells} GROUP BY frame"""
+
+
+def _mixed(cells, steps):
+    return f"""SELECT frame, bool_or(iterations = {steps}) AS has_in_set, bool_or(iterations < {steps}) AS has_escaped,
+       bool_or(iterations = {steps}) AND bool_or(iterations < {steps}) AS mixed FROM {cells} GROUP BY frame"""
+
+
 LEVELS = f"(SELECT count(*) FROM range(40) t(k) WHERE ({TILE}::BIGINT << k::INT) < greatest({EVENTS_HEIGHT}, {EVENT_WIDTH}))"
 PYRAMID = f"""{CUBE}, top AS (SELECT {LEVELS}::INT AS top),
 levels AS (
@@ -231,6 +245,7 @@ LEFT JOIN cube ON frame = f AND y = h AND x = u"""),
     "k1_exact_native": _with(ORDERS_POINTS, _counts(POINT_STEPS), _counted("b.o_orderkey, b.re, b.im")),
     "k2_early_exit_points": _with(LINEITEM_POINTS, _counts(POINT_STEPS, closed_forms=True), _counted(LINEITEM_COLUMNS)),
     "k2_early_exit_frames": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS, closed_forms=True), "SELECT * FROM cells"),
+    "k2_cycles_frames": _with(_frames(SUPPLIER_VIEWS, CYCLE_SIZE, CYCLE_STEPS, closed_forms=True), "SELECT * FROM cells"),
     "k3_membership_class": _with(LINEITEM_POINTS, """SELECT l_orderkey, l_linenumber, re, im,
        CASE WHEN q * (q + (re - 0.25::DOUBLE)) < 0.25::DOUBLE * im * im THEN 'cardioid'
             WHEN (re + 1) * (re + 1) + im * im < 0.0625::DOUBLE THEN 'period2' ELSE 'iterate' END AS class
@@ -252,6 +267,8 @@ FROM (SELECT *, (re - 0.25::DOUBLE) * (re - 0.25::DOUBLE) + im * im AS q FROM ba
   UNION ALL
   SELECT 3, frame, 'weekends without errors', count(*) FROM weekends GROUP BY frame) JOIN views USING (frame)"""),
     "s5_read_latest": _with(LATEST, "SELECT * FROM latest"),
+    "s5_read_values": _with(LATEST, "SELECT * FROM latest WHERE iterations BETWEEN 2 AND 4"),
+    "s5_read_rows_layout": _with(LATEST, "SELECT * FROM latest"),
     "s6_read_as_of": _with(CUBE, "SELECT frame, y, x, iterations::INT AS iterations FROM cube"),
     "s7_history": _with(CUBE, CUBE_WEEKENDS, """SELECT 1::BIGINT AS commit_seq,
        'create run' AS message, 0::BIGINT AS n_frames, 0::BIGINT AS n_cells
@@ -287,14 +304,14 @@ FROM supplier""",
        CASE WHEN frame IN {REQUESTED} THEN 2 ELSE 3 END::BIGINT AS commit_seq FROM cells"""),
     "m6_fill_from_stream": _with(SUPPLIER_CELLS, f"SELECT * FROM cells WHERE frame IN {REQUESTED}"),
 
-    "a1_frame_stats": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), f"""SELECT frame,
-       min(iterations) AS min_iter, max(iterations) AS max_seen, count(*) AS n_cells, max(y) + 1 AS height,
-       max(x) + 1 AS width_px, count(*) FILTER (WHERE iterations = {FRAME_STEPS}) AS in_set FROM cells GROUP BY frame"""),
-    "a1_large_frame_stats": _with(_frames("""views AS (
-  SELECT r_regionkey::INT AS frame, -0.75::DOUBLE AS center_re, 0.0::DOUBLE AS center_im,
-         3.5::DOUBLE / (1 << r_regionkey::INT) AS width FROM region)""", LARGE_SIZE, LARGE_STEPS), f"""SELECT frame,
-       min(iterations) AS min_iter, max(iterations) AS max_seen, count(*) AS n_cells, max(y) + 1 AS height,
-       max(x) + 1 AS width_px, count(*) FILTER (WHERE iterations = {LARGE_STEPS}) AS in_set FROM cells GROUP BY frame"""),
+    "a1_frame_stats": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), _stats("cells", FRAME_STEPS)),
+    "a1_large_frame_stats": _with(_frames(SUPPLIER_VIEWS, LARGE_SIZE, LARGE_STEPS), _stats("cells", LARGE_STEPS)),
+    "a1_stored_frame_stats": _with(SUPPLIER_CELLS, _stats("cells", FRAME_STEPS)),
+    "a1_stored_histogram": _with(LATEST, f"SELECT frame, {BIN} AS bin, count(*) AS n_cells FROM latest GROUP BY ALL"),
+    "a2_stored_global_max": _with(LATEST, "SELECT greatest(max(iterations), 1) AS global_max FROM latest"),
+    "a2_cells_above": _with(LATEST, f"""bins AS (SELECT {BIN} AS bin, count(*) AS n FROM latest GROUP BY ALL)""",
+                            f"""SELECT * FROM latest WHERE {BIN} >= (
+  SELECT max(bin) FROM (SELECT bin, sum(n) OVER (ORDER BY bin DESC) AS n FROM bins) WHERE n >= 0.01::DOUBLE * (SELECT sum(n) FROM bins))"""),
     "a2_global_max": _with(LINEITEM_POINTS, _counts(POINT_STEPS),
                            "SELECT greatest(max(iterations), 1) AS global_max FROM counts"),
     "q1_compare_runs": _with(CUBE, CUBE_NO_ERRORS, PAIRED, f"SELECT {_verdict(1.0, 1)} FROM paired"),
@@ -305,9 +322,10 @@ FROM supplier""",
         f"late AS ({_counted('b.frame, b.y, b.x', 'FLOAT', counts='single')})",
         PAIRED, f"SELECT {_verdict(5.0, 1)} FROM paired"),
     "q2_compare_frames": _with(CUBE, CUBE_NO_ERRORS, PAIRED, f"SELECT frame, {_verdict(1.0, 0)} FROM paired GROUP BY frame"),
-    "v1_mixed_frames": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), f"""SELECT frame,
-       bool_or(iterations = {FRAME_STEPS}) AS has_in_set, bool_or(iterations < {FRAME_STEPS}) AS has_escaped,
-       bool_or(iterations = {FRAME_STEPS}) AND bool_or(iterations < {FRAME_STEPS}) AS mixed FROM cells GROUP BY frame"""),
+    "q2_compare_commits": _with(LATEST, PAIRED.replace("FROM late a", "FROM latest a"),
+                                f"SELECT frame, {_verdict(1.0, 0)} FROM paired GROUP BY frame"),
+    "v1_mixed_frames": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), _mixed("cells", FRAME_STEPS)),
+    "v1_stored_mixed_frames": _with(SUPPLIER_CELLS, _mixed("cells", FRAME_STEPS)),
     "v2_views_complete": _with(OVERRIDES, """SELECT run_id, count(*) AS n_frames,
        count(*) FILTER (WHERE center_re IS NULL OR center_im IS NULL OR width IS NULL) AS missing,
        min(center_re) = max(center_re) AND min(center_im) = max(center_im) AS center_constant
@@ -321,6 +339,8 @@ FROM (SELECT *, avg(step) OVER (PARTITION BY run_id) AS mean FROM steps) GROUP B
 
     "r1_normalise_global": _with(CUBE, f"SELECT *, {GLOBAL_V}::DOUBLE AS v FROM cube"),
     "r2_normalise_per_frame": _with(CUBE, f"SELECT frame, y, x, iterations, v FROM ({PER_FRAME})"),
+    "r1_normalise_stored": _with(CUBE, f"SELECT frame, y, x, iterations::INT AS iterations, {GLOBAL_V}::DOUBLE AS v FROM cube"),
+    "r2_normalise_stored": _with(CUBE, f"SELECT frame, y, x, iterations::INT AS iterations, v FROM ({PER_FRAME})"),
     "r3_apply_palette": _with(CUBE, PALETTE, f"""SELECT frame, y, x, r, g, b FROM cube
 JOIN palette ON bin = least(trunc({GLOBAL_V} * 256)::INT, 255)"""),
     "r4_flip_rows": _with(CUBE, f"SELECT frame, {EVENTS_HEIGHT - 1} - y AS y, x, iterations FROM cube"),

@@ -24,6 +24,8 @@ CELLS_PER_BLOCK = 4096 * 4096
 CELLS_PER_TASK = 262_144
 CELLS_PER_TILE = 262_144
 STEPS_PER_TASK = 134_217_728
+# Cells of a band of rows, which is stored as one value and described by one zone.
+CELLS_PER_BAND = 32_768
 
 VIEWS = T.StructType([
     T.StructField("frame", T.IntegerType()),
@@ -47,14 +49,34 @@ RUN_SPEC = T.StructType([
     T.StructField("max_iter", T.IntegerType()),
     T.StructField("mode", T.StringType()),
     T.StructField("frames_per_block", T.IntegerType()),
+    T.StructField("layout", T.StringType()),
 ])
 
+LAYOUTS = ("bands", "cells")
+
 PIXELS = T.StructType(CELLS.fields + [
     T.StructField("run_id", T.StringType()),
     T.StructField("snapshot_id", T.StringType()),
     T.StructField("frame_block", T.IntegerType()),
 ])
 
+ZONES = T.StructType([
+    T.StructField("frame", T.IntegerType()),
+    T.StructField("band", T.IntegerType()),
+    T.StructField("n_cells", T.LongType()),
+    T.StructField("again", T.LongType()),
+    T.StructField("min_iter", T.IntegerType()),
+    T.StructField("max_seen", T.IntegerType()),
+    T.StructField("in_set", T.LongType()),
+    T.StructField("last_y", T.IntegerType()),
+    T.StructField("last_x", T.IntegerType()),
+    T.StructField("digest", T.LongType()),
+    T.StructField("histogram", T.ArrayType(T.LongType())),
+])
+ZONE_COLUMNS = ("n_cells", "min_iter", "max_seen", "in_set", "last_y", "last_x", "digest", "histogram")
+
+BANDS = T.StructType(ZONES.fields + [T.StructField("cells", T.BinaryType())])
+
 FRAMES = T.StructType(VIEWS.fields + [
     T.StructField("n_cells", T.LongType()),
     T.StructField("run_id", T.StringType()),
@@ -67,10 +89,11 @@ COMMITS = T.StructType([
     T.StructField("n_frames", T.LongType()),
     T.StructField("n_cells", T.LongType()),
     T.StructField("elapsed_s", T.DoubleType()),
+    T.StructField("first_frame", T.IntegerType()),
+    T.StructField("last_frame", T.IntegerType()),
     T.StructField("spec", RUN_SPEC),
     T.StructField("snapshot_id", T.StringType()),
     T.StructField("run_id", T.StringType()),
-    T.StructField("version", T.IntegerType()),
 ])
 
 METRICS = T.StructType([

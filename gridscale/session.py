@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,47 @@ def folder_names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(path)] if system.exists(path) else []
 
 
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of any file system that Spark reaches."""
+    path, system = _file_system(spark, path)
+    stream = system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_once(spark: SparkSession, text: str, path: str) -> bool:
+    """A small file that appears whole, unless there is one of that name already: then False, and nothing changes.
+
+    The text is written under a fresh name first. A rename that finds its target taken fails on HDFS and the file systems that keep to
+    its rules; local files are hard-linked, which is exclusive there. On stores where a rename overwrites, callers must
+    keep to one writer at a time.
+    """
+    target, system = _file_system(spark, path)
+    draft, _ = _file_system(spark, f"{target.getParent()}/.draft-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            try:
+                os.link(draft.toUri().getPath(), target.toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+        return not system.exists(target) and system.rename(draft, target)
+    finally:
+        system.delete(draft, False)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

@@ -1,13 +1,21 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import as_set
 from gridscale.operators.store import CREATE_MESSAGE, GridStore
+from gridscale.schema import LAYOUTS
 from gridscale.sources.grid import missing_cells
 
 CELL = ("frame", "y", "x", "iterations")
 
 
+@pytest.fixture(params=LAYOUTS)
+def store(spark, tmp_path, request):
+    return GridStore(spark, f"file:{tmp_path}/store", request.param)
+
+
 def plane(spark, frame, size, value):
     return spark.range(size * size).select(
         F.lit(frame).alias("frame"), F.expr(f"int(id div {size})").alias("y"),
@@ -41,7 +49,7 @@ def test_values_are_cast_or_refused(spark, store):
     store.write_frames("r", plane(spark, 0, 4, 100).withColumn("iterations", F.col("iterations").cast("long")))
     assert as_set(store.read("r"), "iterations") == {(100,)}
     assert store.read("r").schema["iterations"].dataType.simpleString() == "int"
-    for bad in (plane(spark, 0, 4, 65536), plane(spark, 1, 4, 1), plane(spark, 0, 5, 1)):
+    for bad in (plane(spark, 0, 4, 65536), plane(spark, 0, 4, -1), plane(spark, 1, 4, 1), plane(spark, 0, 5, 1)):
         with pytest.raises(Exception, match="does not fit the run"):
             store.write_frames("r", bad)
     assert store.commits("r").count() == 2
@@ -181,17 +189,45 @@ def test_a_second_committer_is_refused(spark, store, monkeypatch):
     store.commit("r", staged)
     assert [c["commit_seq"] for c in store.history("r").collect()] == [1, 2, 3]
     other = GridStore(spark, store.root)
-    monkeypatch.setattr(other, "_newest", lambda run_id: 2 if run_id == "r" else 0)  # it looked before the first one wrote
-    spark.range(0).write.mode("overwrite").parquet(f"{store.root}/unused")
-    with pytest.raises(Exception):
+    monkeypatch.setattr(other, "_newest", lambda run_id: 1)  # it looked before the first one wrote
+    with pytest.raises(RuntimeError, match="another committer"):
         other.create_run("r", 2, 2, 2)
     assert as_set(store.read("r"), "frame", "iterations") == {(0, 1), (1, 2)}
 
 
-def test_an_incomplete_version_of_the_log_is_passed_over(spark, store):
-    store.create_run("r", 1, 1, 1)
-    spark.range(1).write.parquet(f"{store.root}/commits/run_id=r/version=9/_temporary/0")
-    assert store.history("r").count() == 1
+def test_of_two_committers_at_once_one_wins(spark, store):
+    """Both start from the same version, again and again; every version is one of theirs, whole, and no entry is lost."""
+    store.create_run("r", 100, 1, 1)
+    done = []
+
+    def commits(name):
+        own = GridStore(spark, store.root)
+        for k in range(30):
+            try:
+                own._append("r", [{"snapshot_id": f"{name}{k}", "message": name, "n_frames": 0, "n_cells": 0, "elapsed_s": 0.0}])
+                done.append(f"{name}{k}")
+            except RuntimeError:
+                pass
+
+    threads = [threading.Thread(target=commits, args=(name,)) for name in "ab"]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    log = store.history("r").collect()
+    assert sorted(c["snapshot_id"] for c in log[1:]) == sorted(done) and len(done) >= 30
+    assert [c["commit_seq"] for c in log] == list(range(1, len(log) + 1))
+    assert len(GridStore(spark, store.root)._chain("r")) <= 64 and store._log("r") == GridStore(spark, store.root)._log("r")
+
+
+def test_a_committer_that_died_does_not_block_the_next(spark, store):
+    """Drafts and folders that a killed driver leaves are no version of the log."""
+    store.create_run("r", 2, 1, 1)
+    spark.range(1).write.parquet(f"{store.root}/commits/run_id=r/version=2/_temporary/0")
+    spark.range(1).write.json(f"{store.root}/commits/run_id=r/.draft-lost")
+    store.write_frames("r", plane(spark, 1, 1, 7))
+    assert store.history("r").count() == 2 and as_set(store.read("r"), "frame", "iterations") == {(1, 7)}
+    assert {r["run_id"] for r in store.list_runs().collect()} == {"r"}
 
 
 def test_as_of_a_snapshot_id(spark, store):
@@ -229,8 +265,9 @@ def test_one_very_long_line_is_filled_in_segments(spark):
     assert gaps.agg(F.count("*"), F.sum("x")).first()[:] == (2_000_000, sum(range(width)) - sum(range(0, width, 3)))
 
 
-def test_a_frame_that_holds_most_cells_is_split(spark, store):
+def test_a_frame_that_holds_most_cells_is_split(spark, tmp_path):
     """Adaptive execution cuts the hot frame into several files; every cell arrives once."""
+    store = GridStore(spark, f"file:{tmp_path}/store", "cells")
     store.create_run("r", 40, 600, 600)
     hot = plane(spark, 3, 600, 7)
     rest = spark.range(40).select(F.col("id").cast("int").alias("frame"), F.lit(0).alias("y"), F.lit(0).alias("x"),
