@@ -6,6 +6,7 @@ import codecs
 import hashlib
 import re
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import ahocorasick
 import pyarrow as pa
@@ -15,8 +16,10 @@ from pyspark.sql import DataFrame
 from gridscale.llm.text import batch, over_batches
 
 _SPACE = "▁"
-#: Chunks whose codes a task remembers; the rarer ones are forgotten when it is full.
-REMEMBERED = 800_000
+#: Chunks whose codes a task remembers; the rarer ones are forgotten when it is full. Longer chunks hardly come twice.
+REMEMBERED, LONGEST = 200_000, 48
+#: Pairs of pieces whose compatibility a task remembers.
+REMEMBERED_PAIRS = 500_000
 _EACH_BYTE = "each-byte"
 codecs.register_error(_EACH_BYTE, lambda e: ("\ufffd", e.start + 1))  # as the library does
 
@@ -67,16 +70,36 @@ class PieceCodec:
         return re.compile(f"{_SPACE}*(?:[^\\W_]++(?=[{_SPACE}{marks}]|\\Z)|[{marks}]++(?=[^\\W_]|{_SPACE}|\\Z)|[^{_SPACE}]+)|{_SPACE}+")
 
     def _merged(self, symbols: list[str]) -> tuple[list[str], tuple[str, str] | None]:
-        """Merge the best pair, the leftmost of equals, until none is left; also the last merge."""
-        last = None
-        while True:
-            best = max(((self.score[self.id[a + b]], -k) for k, (a, b) in enumerate(zip(symbols, symbols[1:]))
-                        if a + b in self.id), default=None)
-            if best is None:
-                return symbols, last
-            k = -best[1]
-            last = symbols[k], symbols[k + 1]
-            symbols = [*symbols[:k], symbols[k] + symbols[k + 1], *symbols[k + 2:]]
+        """Merge the best pair, the leftmost of equals, until none is left; also the last merge.
+
+        Pairs wait in a heap, symbols are linked to their neighbours: n log n steps for n symbols."""
+        symbols, n = list(symbols), len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        last, waiting = None, []
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < n:
+                piece = self.id.get(symbols[k] + symbols[after[k]])
+                if piece is not None:
+                    heappush(waiting, (-self.score[piece], k, len(symbols[k]), len(symbols[after[k]])))
+
+        for k in range(n):
+            offer(k)
+        while waiting:
+            _, k, own, other = heappop(waiting)
+            right = after[k]
+            # A pair is out of date once one of its symbols has grown or has become a part of another.
+            if len(symbols[k]) != own or right >= n or len(symbols[right]) != other:
+                continue
+            last = symbols[k], symbols[right]
+            symbols[k] += symbols[right]
+            symbols[right] = ""
+            after[k] = after[right]
+            if after[k] < n:
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return [x for x in symbols if x], last
 
     def _reached(self, i: int) -> bool:
         """Whether merging yields this piece at all; notes the two pieces of its last merge."""
@@ -121,6 +144,8 @@ class PieceCodec:
                 pair = before << 32 | i
                 fit = fits.get(pair)
                 if fit is None:
+                    if len(fits) >= REMEMBERED_PAIRS:
+                        fits.clear()
                     fit = fits[pair] = self.compatible(before, i)
                 if not fit:
                     continue
@@ -190,6 +215,8 @@ class _Remembered(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, chunk):
+        if len(chunk) > LONGEST:
+            return self.make(chunk)
         found = self.old.pop(chunk, None) or self.make(chunk)
         if len(self) >= REMEMBERED // 2:
             self.old = dict(self)

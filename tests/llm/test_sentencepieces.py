@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -69,3 +70,10 @@ def test_empty_table_and_null_ids(spark):
     docs = documents(spark, ["a", "b"])
     assert code_digests(docs.limit(0), MODEL).count() == 0
     assert code_digests(docs.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "'x' AS ids_sha256"), MODEL).count() == 2
+
+
+def test_very_long_runs_of_spaces_and_symbols(library, codec):
+    for text in ("a" + " " * 100_000 + "b", "x" + " " * 777 + "y" + "=" * 5000, " " * 3001, "─" * 2000 + " " * 17 + "a b"):
+        start = time.perf_counter()
+        assert codec.encode(text) == library.encode(text) + [library.eos_id()]
+        assert time.perf_counter() - start < 5
