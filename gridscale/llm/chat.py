@@ -64,7 +64,8 @@ def chosen_paths(nodes: DataFrame, branches: str = "best") -> DataFrame:
         raise ValueError("branches must be 'best' or 'all'")
     ranked = paths.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"), F.count("*").alias("length"))
     best = ranked.groupBy("tree").agg(F.min_by("leaf", F.struct(-F.col("mean"), -F.col("length"), "leaf")).alias("leaf"))
-    return paths.drop("score").join(best, ["tree", "leaf"], "left_semi")
+    # A leaf has one tree, which may be null.
+    return paths.drop("score").join(best.select("leaf"), "leaf", "left_semi").select("tree", "leaf", "node", "up")
 
 
 def format_trees(nodes: DataFrame, branches: str = "best") -> DataFrame:

@@ -55,3 +55,10 @@ def test_a_long_conversation(spark):
     rows = [(1, k, "user" if k % 2 else "assistant", f"t{k}") for k in range(300)]
     row = [r for r in conversation_digests(spark.createDataFrame(rows, SCHEMA)).collect() if r["conv_id"] == 1][0]
     assert row["n_turns"] == 300
+
+
+def test_rows_without_a_conversation_are_one(spark):
+    given = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, 0, "user", "c"), (1, None, None, None)],
+                                  "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in conversation_digests(given).collect()}
+    assert got == {None: (2, 1), 1: (2, 0), -7: (2, len('</s>[INST] ok [/INST]'))}
