@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridscale.llm.text import Slices, batch, mixed, over_batches, pieces, stored
@@ -323,13 +323,27 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "anchor", "ctx", F.col("x.starts").alias("start"), F.col("x.strings").alias("string"), F.col("x.alone").alias("alone"))
     # A string that two chunks saw is repeated; where a chunk has it once only, that chunk could not know.
     common = stored(strings.groupBy("string").agg(F.count("*").alias("n"), F.bool_or("alone").alias("alone")).where("n > 1 AND alone").select("string"))
-    more = strings.where("alone").join(common, "string").select("anchor", "ctx", F.array(F.struct(
-        F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end"))).alias("spans"))
+    more = strings.where("alone").join(common, "string").groupBy("anchor", "ctx").agg(
+        _covered(F.array_sort(F.collect_set(F.col("start").cast("int")))).alias("spans"))
     places = both.where("uid IS NOT NULL").select("anchor", "ctx", "uid", "positions")
     moved = F.flatten(F.transform("positions", lambda p: F.transform("spans", lambda s: F.struct(
         (p + s["start"]).alias("start"), (p + s["end"]).alias("end")))))
+    # Equal rows share a uid and have the same spans; the set holds them once, however many rows there are.
     return places.join(spans.unionByName(more), ["anchor", "ctx"]).select("uid", moved.alias("spans")).groupBy("uid").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"))
+        F.flatten(F.collect_set("spans")).alias("spans"))
+
+
+def _covered(starts: Column) -> Column:
+    """Bytes covered by the strings at sorted starts, as spans that do not touch."""
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+
+    def step(done, start):
+        last = F.try_element_at(done, F.lit(-1))
+        span = lambda low: F.array(F.struct(low.alias("start"), (start + LENGTH).cast("int").alias("end")))
+        return F.when(last.isNotNull() & (start <= last["end"]), F.concat(F.slice(done, 1, F.size(done) - 1), span(last["start"]))).otherwise(
+            F.concat(done, span(start)))
+
+    return F.aggregate(starts, nothing, step)
 
 
 def _named(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridscale.llm import suffixes
-from gridscale.llm.suffixes import LENGTH, anchors, joined_spans, repeat_digests, suffix_array
+from gridscale.llm.suffixes import LENGTH, anchors, joined_spans, repeat_digests, repeated_spans, suffix_array
 
 
 def brute(texts):
@@ -85,3 +85,13 @@ def test_parts_of_a_long_text_have_the_same_anchors(monkeypatch):
 
 def test_joined_spans():
     assert joined_spans([{"start": 5, "end": 9}, {"start": 0, "end": 2}, {"start": 2, "end": 4}, {"start": 8, "end": 12}]) == [(0, 4), (5, 12)]
+
+
+def test_many_equal_rows_cost_in_proportion(spark):
+    """Spans of equal rows are kept once: every one of 3,000 rows is removed whole, and no row carries those of the others."""
+    text = "".join(chr(97 + (k * k + 7 * k) % 23) for k in range(900))
+    docs = documents(spark, [text]).crossJoin(spark.range(3000)).drop("id")
+    spans = repeated_spans(docs).collect()
+    assert len(spans) == 1 and len(spans[0]["spans"]) < 100
+    found = {(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeat_digests(docs).collect()}
+    assert found == {(900, 900, 1)}
