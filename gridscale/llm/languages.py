@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridscale.llm.text import LOWER, batch, byte_set, mixed, over_batches, pieces
+from gridscale.llm.text import LOWER, batch, byte_set, mixed, over_batches, pieces, stored
 
 #: Byte n-grams of these lengths make up the blended spectrum.
 LENGTHS = (2, 3, 4)
@@ -65,13 +66,13 @@ def _similarities(present: np.ndarray, columns: np.ndarray, landmarks: np.ndarra
     return (present[:, columns].astype(np.float32) @ landmarks) / size[:, None]
 
 
-def _training_rows(docs: DataFrame, per_language: int, max_languages: int) -> DataFrame:
-    """(lang, grams, order): packed presence bits of about ``per_language`` documents of each language."""
+def _training_rows(docs: DataFrame, per_language: int, max_rows: int) -> DataFrame:
+    """(lang, grams): packed presence bits of about ``per_language`` documents of each language, fewer if ``max_rows`` asks for it."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    # The table of languages is small whatever the input is: at most max_languages rows.
-    share = counts.select("lang", (F.lit(per_language) / F.col("count") * (1 << 30)).cast("bigint").alias("below"))
-    chosen = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("below"))
+    counts = stored(known.groupBy("lang").count())
+    each = min(per_language, max_rows / max(counts.count(), 1))
+    share = counts.select("lang", (F.lit(each) / F.col("count") * (1 << 30)).cast("bigint").alias("below"))
+    chosen = known.join(share, "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("below"))
     return chosen.select("lang", "text").mapInArrow(over_batches(_packed), "lang STRING, grams BINARY")
 
 
@@ -86,10 +87,10 @@ def _packed(rows):
             yield batch(_GRAMS, rows["lang"][first + k:first + k + len(bits)], [b.tobytes() for b in bits])
 
 
-def fit_languages(docs: DataFrame, per_language: int = 500, max_languages: int = 256, landmarks: int = 96,
+def fit_languages(docs: DataFrame, per_language: int = 500, max_rows: int = 32_000, landmarks: int = 96,
                   ridge: float = 1e-2) -> LanguageModel:
     """A model from a bounded sample of labelled rows: about ``per_language`` documents, chosen by a hash, of each
-    of the ``max_languages`` most frequent labels. Their presence bits (8 KB a document, whatever the
+    label, and of all labels together about ``max_rows``. Their presence bits (8 KB a document, whatever the
     length of its text) come to the driver.
 
     The kernel is the number of n-grams that two texts share, over the square root of the product of
@@ -97,7 +98,7 @@ def fit_languages(docs: DataFrame, per_language: int = 500, max_languages: int =
     similarities with them, whitened by their own matrix; a ridge regression to 1 and -1 per language
     follows, rows weighted so that each language counts alike.
     """
-    rows = _training_rows(docs, per_language, max_languages).toArrow()
+    rows = _training_rows(docs, per_language, max_rows).toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
     if not languages:
         nothing = np.zeros((0, 0), np.float32)
@@ -131,8 +132,7 @@ def fit_languages(docs: DataFrame, per_language: int = 500, max_languages: int =
 _LANG = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
-def _predict(rows, model: LanguageModel):
-    texts = rows["text"]
+def _named_scores(texts: pa.Array, model: LanguageModel) -> tuple[list[str], list[float]]:
     named, scores = [], []
     for first, end, data, offsets in pieces(texts, 1 << 18):
         ascii_letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
@@ -150,7 +150,35 @@ def _predict(rows, model: LanguageModel):
             best = margins.argmax(axis=1)
             named += [model.languages[b] if s else None for b, s in zip(best, some)]
             scores += np.where(some, np.clip(0.5 + 0.5 * margins.max(axis=1), 0, 1), 0.0).tolist()
-    yield batch(_LANG, rows["doc_id"], [n if n is not None else UNDETERMINED for n in named], scores)
+    return [n if n is not None else UNDETERMINED for n in named], scores
+
+
+def _predict(rows, model: LanguageModel):
+    yield batch(_LANG, rows["doc_id"], *_named_scores(rows["text"], model))
+
+
+def keep_languages(docs: DataFrame, model: LanguageModel, least_claim: float = 0.0, half_bytes: int = 8) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a language of the model; one pass, nothing is shuffled.
+
+    Margins of L languages sum to 2 - L, so no score is below 1 / L; a text's claim is how far its score goes from there to 1. Texts without
+    letters go, and those whose claim is below ``least_claim`` * b / (b + ``half_bytes``) for b bytes of text: what few
+    n-grams say is weak in any language. A single language has nothing to be held against and claims every text with letters.
+    """
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    lowest = 1 / len(model.languages) if model.languages else 1.0
+
+    def run(batches):
+        for rows in batches:
+            if not rows.num_rows:
+                continue
+            texts = rows["text"].cast(pa.string())
+            named, scores = _named_scores(texts, model)
+            size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(float)
+            claim = (np.array(scores) - lowest) / (1 - lowest) if lowest < 1 else np.full(len(scores), 1.0)
+            kept = (np.array(named) != UNDETERMINED) & (claim >= least_claim * size / (size + half_bytes))
+            yield rows.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, kinds)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
