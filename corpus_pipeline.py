@@ -8,45 +8,48 @@ from pyspark.sql import functions as F
 
 from gridscale.llm.decontamination import contamination
 from gridscale.llm.jaccard import jaccard_components
-from gridscale.llm.languages import UNDETERMINED, fit_languages, held_out, predict_languages
+from gridscale.llm.languages import fit_languages, held_out, keep_languages
 from gridscale.llm.privacy import sanitise
 from gridscale.llm.sentencepieces import code_digests
 from gridscale.llm.text import stored, table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-#: Margins of L languages sum to 2 - L, so no score is below 1 / L. A text whose score is not this part of the way from there
-#: to 1 is claimed by no language. On sf0.01, 337 held-out rows have 0.25 or more, random letters and unseen languages below 0.1.
+#: A long text whose score is not this part of the way from the lowest score to 1 is claimed by no language. On sf0.01,
+#: held-out rows claim 0.25 or more, random letters and unseen languages below 0.1.
 LEAST_CLAIM = 0.15
-#: Texts of fewer bytes have too few n-grams to tell ('Von.', labelled German, claims 0.06); letters are enough for them.
-LEAST_BYTES = 12
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is kept. Rows without an id cannot be told apart and go; of rows with equal ids
-    all stay or go."""
-    return docs.join(kept.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").select(docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, from id and text: rows without an id and different texts of one id are told apart."""
+    return docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
+def _as_ids(keyed: DataFrame) -> DataFrame:
+    """Texts under their rows' keys, for operators that name rows by ``doc_id``."""
+    return keyed.select(F.col("__row").alias("doc_id"), "text")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in one of the languages learned from those not held out; texts without letters or in no learned
-    language go. A single learned language has nothing to be held against and claims every text with letters."""
-    model = fit_languages(docs.where(~held_out()))
-    least = 1 / len(model.languages) if model.languages else 1
-    least = least + LEAST_CLAIM * (1 - least) if least < 1 else 0
-    short = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) < LEAST_BYTES
-    named = predict_languages(docs.where(~short), model).where(F.col("score") >= least).unionByName(predict_languages(docs.where(short), model))
-    return _only(docs, named.where(F.col("lang_pred") != UNDETERMINED))
+    language go."""
+    return keep_languages(docs, fit_languages(docs.where(~held_out())), LEAST_CLAIM)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    kept = jaccard_components(docs).where("doc_id = component_id")
-    return _only(docs.dropDuplicates(["doc_id"]), kept)
+    """Keeps one document of each group of near copies, that of the smallest id (null is larger than any), and of rows equal in
+    id and text one."""
+    keyed = _keyed(docs)
+    groups = jaccard_components(_as_ids(keyed)).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
+    named = keyed.select("__row", "doc_id").join(groups.distinct(), "__row")
+    kept = named.groupBy("group").agg(F.min_by("__row", F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("__row")).select("__row")
+    return keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without a passage of the benchmark."""
-    return _only(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("size(hits) = 0"))
+    keyed = _keyed(docs)
+    hit = contamination(_as_ids(keyed), table(spark, sf_dir, "benchmark")).where("size(hits) > 0").select(F.col("doc_id").alias("__row")).distinct()
+    return keyed.join(stored(hit), "__row", "left_anti").select(docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
