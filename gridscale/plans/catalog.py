@@ -17,6 +17,7 @@ from gridscale.functions.kernels import (
 from gridscale.functions.palettes import ember_palette
 from gridscale.operators.compare import compare_frames, compare_runs
 from gridscale.operators.compute import compute_frames
+from gridscale.operators.deep import deep_frames
 from gridscale.operators.materialise import fan_out, fill_pending, materialise, pending, zoom_run
 from gridscale.operators.metrics import (
     compare_metrics,
@@ -72,6 +73,7 @@ STORE_SIZE = 16  # and of a supplier view kept in a store
 FRAME_STEPS = 50
 POINT_STEPS = 128
 CYCLE_SIZE, CYCLE_STEPS = 12, 2000  # cells per axis and steps where orbits repeat
+DEEP_STEPS = 200
 LARGE_SIZE, LARGE_STEPS = 90, 24  # per axis of a supplier view in tiles
 TILE = 32
 
@@ -199,6 +201,12 @@ def k4_float32_embeddings(spark, d):
         "vec_id", "pair", "re", "im", escape_count("re", "im", POINT_STEPS, "float32").alias("iterations"))
 
 
+@query
+def k4_deep_frames(spark, d):
+    """A view per supplier of a width of 1e-20 and less, where neighbouring cells are one double."""
+    return deep_frames(inputs.deep_views(spark, d), SIZE, SIZE, DEEP_STEPS)
+
+
 @query
 def k5_cell_type(spark, d):
     value = F.floor("o_totalprice")

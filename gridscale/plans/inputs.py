@@ -30,6 +30,18 @@ def supplier_views(spark, folder) -> DataFrame:
         F.expr("3.5D / (1 << cast(s_suppkey % 5 AS INT))").alias("width"))
 
 
+def deep_views(spark, folder) -> DataFrame:
+    """One view per supplier close to i, -i or -2, where detail never ends; centres differ in the 21st digit and need strings."""
+    key = F.col("s_suppkey")
+    digits = F.concat(F.lit("000000000000000000"), F.lpad(key.cast("string"), 6, "0"))
+    near = key % 3
+    return table(spark, folder, "supplier").select(
+        key.cast("int").alias("frame"),
+        F.when(near == 2, F.concat(F.lit("-2."), digits)).otherwise(F.concat(F.lit("0."), digits)).alias("center_re"),
+        F.when(near == 0, F.concat(F.lit("1."), digits)).when(near == 1, F.concat(F.lit("-1."), digits)).otherwise(F.lit("0")).alias("center_im"),
+        F.expr("1e-20D / (1 << cast(s_suppkey % 5 AS INT))").alias("width"))
+
+
 def requested_suppliers(spark, folder) -> DataFrame:
     """The frames somebody asked for: suppliers with a high account balance."""
     return (table(spark, folder, "supplier").filter(F.col("s_acctbal") > 5000)
