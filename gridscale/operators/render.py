@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -179,13 +180,17 @@ def halve(level: DataFrame) -> DataFrame:
             .agg(F.max("value").alias("value")))
 
 
+#: Which version holds which tile of a pyramid; unchanged tiles are named here and not written again.
+TILE_INDEX = T.StructType([T.StructField(n, T.IntegerType()) for n in ("z", "frame", "tile_y", "tile_x", "version")])
+
+
 def build_pyramid(cells: DataFrame, path: str, run_id: str, height: int, width_px: int,
                   tile_size: int = TILE_SIZE) -> DataFrame:
     """Write a tile pyramid in image order and return it as a table.
 
     Level ``z = 0`` fits one tile, the last one is full resolution. Every level is halved
     from the written level below it, so the work adds up to a third of the base and no
-    level recomputes another. All levels go to a new version folder, which is named in ``built`` last, so
+    level recomputes another. All levels go to a new version folder, whose tiles are listed in ``built`` last, so
     a rebuilt run has no level of the old one, and one that failed midway leaves it as it was.
     """
     spark = cells.sparkSession
@@ -193,27 +198,107 @@ def build_pyramid(cells: DataFrame, path: str, run_id: str, height: int, width_p
     version = max(_versions(spark, path, run_id), default=0) + 1
     level = flip_rows(cells, height).select("frame", "y", "x", F.col("iterations").alias("value"))
     for z in range(top, -1, -1):
-        folder = f"{path}/levels/run_id={run_id}/version={version}/z={z}"
-        (level.select(
-            "frame",
-            F.floor(F.col("y") / tile_size).cast("int").alias("tile_y"),
-            F.floor(F.col("x") / tile_size).cast("int").alias("tile_x"),
-            (F.col("y") % tile_size).cast("int").alias("y"),
-            (F.col("x") % tile_size).cast("int").alias("x"),
-            F.col("value").cast("int").alias("value"))
-         .hint("rebalance", "frame", "tile_y", "tile_x")
-         .sortWithinPartitions("frame", "tile_y", "tile_x", "y", "x")
-         .write.mode("overwrite").parquet(folder))
-        written = spark.read.schema(T.StructType(TILES.fields[:6])).parquet(folder)
-        level = halve(written.select(
-            "frame",
-            (F.col("tile_y") * tile_size + F.col("y")).alias("y"),
-            (F.col("tile_x") * tile_size + F.col("x")).alias("x"),
-            "value"))
-    spark.range(1).write.mode("overwrite").parquet(f"{path}/built/run_id={run_id}/version={version}")
+        level = halve(_write_level(level, _level(path, run_id, version, z), tile_size))
+    _list_tiles(_level_tiles(spark, path, run_id, version), path, run_id, version)
+    return read_pyramid(spark, path, run_id)
+
+
+def update_pyramid(cells: DataFrame, changed: DataFrame, path: str, run_id: str, height: int, width_px: int,
+                   tile_size: int = TILE_SIZE) -> DataFrame:
+    """A new version of a pyramid in which only changed tiles and the tiles above them are written.
+
+    ``cells`` is the run as it is now; ``changed`` lists ``frame, first_y, last_y`` (as ``changed_rows`` makes it): the rows of cells that may
+    have changed. A changed tile is made anew from all its cells. On each level above, a tile is made from its four tiles below, those
+    of this version and those that older versions hold. All other tiles are named in the new version's list with the version
+    that has them. A run without a pyramid is built in full.
+    """
+    spark = cells.sparkSession
+    versions = _versions(spark, path, run_id)
+    if not versions:
+        return build_pyramid(cells, path, run_id, height, width_px, tile_size)
+    before, version = max(versions), max(versions) + 1
+    top = pyramid_levels(height, width_px, tile_size)
+    columns = -(-width_px // tile_size) - 1
+    row = lambda y: F.floor((F.lit(height - 1) - F.col(y)) / tile_size).cast("int")
+    dirty = settled(changed.select("frame", F.explode(F.sequence(row("last_y"), row("first_y"))).alias("tile_y")).distinct().select(
+        "frame", "tile_y", F.explode(F.sequence(F.lit(0), F.lit(columns))).alias("tile_x")))
+    known = _tile_list(spark, path, run_id, before)
+    named = flip_rows(cells, height).select("frame", "y", "x", F.col("iterations").alias("value"))
+    level = _in_tiles(named, dirty, tile_size)
+    touched = dirty.withColumn("z", F.lit(top))
+    for z in range(top, -1, -1):
+        written = _write_level(level, _level(path, run_id, version, z), tile_size)
+        if z:
+            above = settled(dirty.select("frame", F.shiftright("tile_y", 1).alias("tile_y"), F.shiftright("tile_x", 1).alias("tile_x")).distinct())
+            # Of the tiles below, those that stay as they are come from the versions that hold them.
+            below = above.select("frame", *(F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1)).alias(c) if c == "tile_y" else F.col(c) for c in ("tile_y", "tile_x")))
+            below = below.select("frame", "tile_y", F.explode(F.array(F.col("tile_x") * 2, F.col("tile_x") * 2 + 1)).alias("tile_x"))
+            kept = known.where(F.col("z") == z).join(below.join(dirty, ["frame", "tile_y", "tile_x"], "left_anti"), ["frame", "tile_y", "tile_x"])
+            level = halve(written.unionByName(_whole_cells(_tiles_of(spark, path, run_id, kept, z), tile_size)))
+            dirty = above
+            touched = touched.unionByName(dirty.withColumn("z", F.lit(z - 1)))
+    stays = known.join(touched, ["z", "frame", "tile_y", "tile_x"], "left_anti")
+    _list_tiles(stays.unionByName(_level_tiles(spark, path, run_id, version)), path, run_id, version)
     return read_pyramid(spark, path, run_id)
 
 
+def _level(path: str, run_id: str, version: int, z: int) -> str:
+    return f"{path}/levels/run_id={run_id}/version={version}/z={z}"
+
+
+def _write_level(level: DataFrame, folder: str, tile_size: int) -> DataFrame:
+    """Write one level as tiles, sorted so that a tile lies in few row groups; returns its cells as written."""
+    (level.select(
+        "frame",
+        F.floor(F.col("y") / tile_size).cast("int").alias("tile_y"),
+        F.floor(F.col("x") / tile_size).cast("int").alias("tile_x"),
+        (F.col("y") % tile_size).cast("int").alias("y"),
+        (F.col("x") % tile_size).cast("int").alias("x"),
+        F.col("value").cast("int").alias("value"))
+     .hint("rebalance", "frame", "tile_y", "tile_x")
+     .sortWithinPartitions("frame", "tile_y", "tile_x", "y", "x")
+     .write.mode("overwrite").parquet(folder))
+    return _whole_cells(level.sparkSession.read.schema(T.StructType(TILES.fields[:6])).parquet(folder), tile_size)
+
+
+def _whole_cells(tiles: DataFrame, tile_size: int) -> DataFrame:
+    """Cells of tiles by their place in the level."""
+    return tiles.select("frame", (F.col("tile_y") * tile_size + F.col("y")).alias("y"), (F.col("tile_x") * tile_size + F.col("x")).alias("x"), "value")
+
+
+def _in_tiles(level: DataFrame, tiles: DataFrame, tile_size: int) -> DataFrame:
+    at = [F.floor(F.col(c) / tile_size).cast("int").alias(f"tile_{c}") for c in "yx"]
+    return level.select("*", *at).join(tiles, ["frame", "tile_y", "tile_x"], "left_semi").select("frame", "y", "x", "value")
+
+
+def _level_tiles(spark: SparkSession, path: str, run_id: str, version: int) -> DataFrame:
+    """The tiles that one version wrote itself."""
+    folder = f"{path}/levels/run_id={run_id}/version={version}"
+    schema = T.StructType([*TILES.fields[:3], T.StructField("z", T.IntegerType())])
+    return spark.read.schema(schema).parquet(folder).distinct().select("z", "frame", "tile_y", "tile_x", F.lit(version).alias("version"))
+
+
+def _list_tiles(tiles: DataFrame, path: str, run_id: str, version: int) -> None:
+    tiles.select(*TILE_INDEX.names).sortWithinPartitions("z", "frame").write.mode("overwrite").parquet(f"{path}/built/run_id={run_id}/version={version}")
+
+
+def _tile_list(spark: SparkSession, path: str, run_id: str, version: int) -> DataFrame:
+    return spark.read.schema(TILE_INDEX).parquet(f"{path}/built/run_id={run_id}/version={version}")
+
+
+def _tiles_of(spark: SparkSession, path: str, run_id: str, listed: DataFrame, z: int | None = None) -> DataFrame:
+    """Cells of the listed tiles, from the version that holds each; versions are partitions, so others are not opened."""
+    versions = [r[0] for r in listed.select("version").distinct().collect()]
+    folders = [f"{path}/levels/run_id={run_id}/version={v}" + ("" if z is None else f"/z={z}") for v in sorted(versions)]
+    schema = T.StructType([*TILES.fields, T.StructField("version", T.IntegerType())])
+    if not folders:
+        return spark.createDataFrame([], schema).drop("version")
+    cells = spark.read.schema(schema).option("basePath", f"{path}/levels").parquet(*folders)
+    if len(folders) == 1 and z is None:
+        return cells.drop("version")  # a version that was built in full
+    return cells.join(listed, ["version", "z", "frame", "tile_y", "tile_x"]).select(*TILES.names)
+
+
 def _versions(spark: SparkSession, path: str, run_id: str) -> list[int]:
     """Versions of a run's pyramid that are complete."""
     built = f"{path}/built/run_id={run_id}"
@@ -225,11 +310,8 @@ def read_pyramid(spark: SparkSession, path: str, run_id: str | None = None) -> D
     """The newest pyramid of one run, or of every run."""
     runs = [run_id] if run_id is not None else [n.removeprefix("run_id=") for n in folder_names(spark, f"{path}/built")]
     newest = {r: max(_versions(spark, path, r), default=0) for r in runs}
-    paths = [f"{path}/levels/run_id={r}/version={v}" for r, v in newest.items() if v]
-    if not paths:
-        return spark.createDataFrame([], TILES)
-    schema = T.StructType([*TILES.fields, T.StructField("version", T.IntegerType())])
-    return spark.read.schema(schema).option("basePath", f"{path}/levels").parquet(*paths).drop("version")
+    found = [_tiles_of(spark, path, r, _tile_list(spark, path, r, v)) for r, v in newest.items() if v]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], TILES)
 
 
 def find_tile(pyramid: DataFrame, run_id: str, z: int, x: int, y: int, frame: int | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridscale.functions.bands import HISTOGRAM_BINS
+from gridscale.operators.bands import band_cells
 from gridscale.operators.compare import paired, verdicts
 from gridscale.operators.render import scaled_by_range, scaled_by_top
 from gridscale.operators.store import GridStore
@@ -93,6 +94,16 @@ def changed_bands(store: GridStore, run_id: str, before: AsOf, after: AsOf = Non
     return both.where(differs)
 
 
+def changed_rows(store: GridStore, run_id: str, before: AsOf, after: AsOf = None) -> DataFrame:
+    """``frame, first_y, last_y``: rows of the bands that differ between two states of a run."""
+    spec = store.state(run_id, after).spec
+    size, width = band_cells(spec["width_px"]), spec["width_px"]
+    first = F.expr(f"int((bigint(band) * {size}) div {width})")
+    last = F.expr(f"int(((bigint(band) + 1) * {size} - 1) div {width})")
+    return changed_bands(store, run_id, before, after).select(
+        "frame", first.alias("first_y"), F.least(last, F.lit(spec["height"] - 1)).alias("last_y"))
+
+
 def compare_commits(store: GridStore, run_id: str, before: AsOf, after: AsOf = None,
                     max_pixel_diff_pct: float = 1.0, max_iter_delta: int = 1) -> DataFrame:
     """``compare_frames`` of two states of a run; only bands whose digests differ are opened.

@@ -39,6 +39,7 @@ from gridscale.operators.render import (
     pad_even,
     pyramid_levels,
     tile_images,
+    update_pyramid,
 )
 from gridscale.operators.stats import (
     check_views,
@@ -51,6 +52,7 @@ from gridscale.operators.stats import (
 from gridscale.operators.store import GridStore
 from gridscale.operators.zones import (
     cells_above,
+    changed_rows,
     compare_commits,
     normalise_stored_global,
     normalise_stored_per_frame,
@@ -581,6 +583,16 @@ def r7_tile_pyramid(spark, d):
     return tiles.select("run_id", "frame", "z", "tile_y", "tile_x", "y", "x", "value")
 
 
+@query
+def r7_updated_pyramid(spark, d):
+    """The pyramid after the weekends were restated: only their tiles and those above are written anew."""
+    store, width = _event_store(spark, d, restated=True), inputs.event_width(spark, d)
+    path = f"{shared_folder(spark)}/tiles"
+    build_pyramid(store.read("events", 2), path, "events", inputs.EVENTS_HEIGHT, width, TILE)
+    tiles = update_pyramid(store.read("events"), changed_rows(store, "events", 2), path, "events", inputs.EVENTS_HEIGHT, width, TILE)
+    return tiles.select("run_id", "frame", "z", "tile_y", "tile_x", "y", "x", "value")
+
+
 @query
 def r8_find_tile(spark, d):
     tiles, top = _pyramid(spark, d)

@@ -201,15 +201,18 @@ def _mixed(cells, steps):
 
 
 LEVELS = f"(SELECT count(*) FROM range(40) t(k) WHERE ({TILE}::BIGINT << k::INT) < greatest({EVENTS_HEIGHT}, {EVENT_WIDTH}))"
-PYRAMID = f"""{CUBE}, top AS (SELECT {LEVELS}::INT AS top),
+def _pyramid(source):
+    return f"""{LATEST}, top AS (SELECT {LEVELS}::INT AS top),
 levels AS (
   SELECT frame, (top - l)::INT AS z, ({EVENTS_HEIGHT - 1} - y) >> l AS py, x >> l AS px, max(iterations)::INT AS value
-  FROM (SELECT cube.*, top, unnest(range(top + 1))::INT AS l FROM cube, top)
+  FROM (SELECT {source}.*, top, unnest(range(top + 1))::INT AS l FROM {source}, top)
   GROUP BY ALL),
 pyramid AS (
   SELECT frame, z, (py // {TILE})::INT AS tile_y, (px // {TILE})::INT AS tile_x,
          (py % {TILE})::INT AS y, (px % {TILE})::INT AS x, value FROM levels)"""
 
+PYRAMID = _pyramid("cube")
+
 METRICS = f"""metrics AS (
   SELECT event_id::VARCHAR AS run_id, event_type AS stage_id, upper(event_type) AS stage_name,
          (props::JSON ->> 'k')::INT AS max_iter, 'day ' || lpad(({DAY})::VARCHAR, 4, '0') AS schedule_name,
@@ -355,6 +358,7 @@ FROM ({_padded('coloured', ORDERS_HEIGHT, ORDERS_WIDTH)}) GROUP BY frame"""),
        {_channel_sums(TILE)}
 FROM (SELECT *, value % 256 AS r, (value >> 2) % 256 AS g, 255 - value % 256 AS b FROM pyramid) GROUP BY frame, z, tile_y, tile_x"""),
     "r7_tile_pyramid": _with(PYRAMID, "SELECT 'events' AS run_id, * FROM pyramid"),
+    "r7_updated_pyramid": _with(_pyramid("latest"), "SELECT 'events' AS run_id, * FROM pyramid"),
     "r8_find_tile": _with(PYRAMID, """SELECT frame, y, x, value FROM pyramid
 WHERE z = (SELECT top FROM top) AND tile_y = 0 AND tile_x = 0"""),
 

@@ -10,12 +10,13 @@ from gridscale.operators import bands as bands_module
 from gridscale.operators.compare import compare_frames
 from gridscale.operators.compute import compute_frames
 from gridscale.operators.materialise import fill_pending, materialise
-from gridscale.operators.render import normalise_global, normalise_per_frame
+from gridscale.operators.render import _level_tiles, build_pyramid, normalise_global, normalise_per_frame, read_pyramid, update_pyramid
 from gridscale.operators.stats import frame_stats, global_max, mixed_frames
 from gridscale.operators.store import GridStore
 from gridscale.operators.zones import (
     cells_above,
     changed_bands,
+    changed_rows,
     compare_commits,
     normalise_stored_global,
     normalise_stored_per_frame,
@@ -164,3 +165,32 @@ def test_a_run_deep_in_the_set_takes_a_tenth_of_the_bytes(spark, tmp_path, view)
         materialise(s, "z", view((-0.2, 0.0, 0.8)))
         sizes.append(sum(p.stat().st_size for p in (tmp_path / layout / "pixels").rglob("*.parquet")))
     assert sizes[0] * 10 <= sizes[1], sizes
+
+
+def test_an_updated_pyramid_writes_what_changed(spark, store, small_bands, tmp_path):
+    """Rows equal those of a full build; one changed band rewrites its tiles and their ancestors, and the rest is named."""
+    height, width, size = 70, 90, 16
+    store.create_run("r", 3, height, width)
+    first = spark.range(3 * height * width).select(
+        F.expr(f"int(id div {height * width})").alias("frame"), F.expr(f"int((id % {height * width}) div {width})").alias("y"),
+        F.expr(f"int(id % {width})").alias("x"), F.expr("int((id * 2654435761) % 1000)").alias("iterations"))
+    store.write_frames("r", first)
+    path, whole = f"file:{tmp_path}/tiles", f"file:{tmp_path}/whole"
+    build_pyramid(store.read("r"), path, "r", height, width, size)
+    second = first.filter("frame = 1").withColumn("iterations", F.when(F.col("y") == 33, F.col("iterations") + 2000).otherwise(F.col("iterations")))
+    store.write_frames("r", second)
+    third = first.filter("frame = 2").filter("y <> 5")
+    store.write_frames("r", third)
+    for state, row in ((3, 33), (4, 5)):
+        got = update_pyramid(store.read("r", state), changed_rows(store, "r", state - 1, state), path, "r", height, width, size)
+        want = build_pyramid(store.read("r", state), whole, "r", height, width, size)
+        assert rows(got) == rows(want)
+        new = _level_tiles(spark, path, "r", state - 1)
+        frames = {r["frame"] for r in new.collect()}
+        assert frames == {1 if state == 3 else 2}
+        tile_rows = {r["tile_y"] for r in new.filter("z = 3").collect()}
+        assert (height - 1 - row) // size in tile_rows and len(tile_rows) <= 2  # a band may reach into the next row of tiles
+        assert new.filter("z = 0").count() == 1
+    assert rows(read_pyramid(spark, path)) == rows(read_pyramid(spark, whole))
+    again = update_pyramid(store.read("r"), changed_rows(store, "r", 4, 4), path, "r", height, width, size)
+    assert rows(again) == rows(read_pyramid(spark, whole))
