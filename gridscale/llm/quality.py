@@ -209,7 +209,8 @@ def fit_quality(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, **o
     total = known.count()
     share = min(1.0, max_rows / max(total, 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = stats.join(chosen, "doc_id").select("features", "quality").limit(2 * max_rows).toArrow()
+    # One row for each id, so that repeated ids do not add to the bound.
+    rows = stats.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("features", "quality")).alias("row")).select("row.*").toArrow()
     if not rows.num_rows:
         return fit_trees(np.zeros((0, len(FEATURES))), np.zeros(0), list(FEATURES.values()))
     x = rows["features"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
