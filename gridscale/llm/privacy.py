@@ -28,6 +28,8 @@ _WORD = re.compile(r"[^\W_]+")
 TERM_BITS = 24
 #: Shares of texts are taken at their lower bound, which nine of ten samples exceed.
 Z = 1.28
+#: What would happen by chance once in 2^10 terms is no disclosure.
+CHANCE_BITS = 10
 
 
 def _emails(text: str):
@@ -153,12 +155,12 @@ def lower_share(k: Column, n: Column, z: float = Z) -> Column:
 def disclosures(found: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """(entity, term, disclosure) of all terms in a text with an entity, near it or not, that disclose ``least`` or more.
 
-    With n texts in all, the pointwise mutual information log2(n_et n / (n_e n_t)) says how much of the entity's own
-    information log2(n / n_e) the term gives away; the disclosure is their ratio, with the lower bound of the share
-    n_et / n_t in its place: it nears 1 for a term that never occurs without the entity as their number grows. What few texts
-    cost is the same number of bits in any corpus, so one or two are enough where the entity is rare among
-    very many texts, and are not where anything is rare. Counts are of different texts, over the whole corpus: copies
-    count once, so a word is not taken for revealing because its text was copied.
+    Of an entity's information, log2(n / n_e) bits if n_e of n texts have it, a term gives away the pointwise mutual information
+    log2(n_et n / (n_e n_t)), so -log2(n_et / n_t) bits are left to whoever knows the term. The disclosure is the share n_et / n_t
+    behind these bits, at its lower bound: 1 text of 1 is worth 0.38, 2 of 2 0.55, 10 of 10 0.86, in a corpus of any
+    size. A term must also be found with the entity more often than chance explains: the divergence of that share
+    from the base rate n_e / n, over all n_t texts, is ``CHANCE_BITS`` or more. Counts are of different texts, over the whole
+    corpus: copies count once, so a word is not taken for revealing because its text was copied; near copies count each.
     """
     terms = stored(_distinct_texts(_named(docs), found).select("copy", "text").mapInArrow(_term_counts, "term STRING, n BIGINT, copy BIGINT"))
     totals = stored(terms.groupBy("term").agg(F.sum("n").alias("n_t")))
@@ -167,16 +169,19 @@ def disclosures(found: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     n = max(1, found.select("copy").distinct().count())
     most = owners.agg(F.max("n_e")).first()[0] or 1
     # The bound is below n_e / n_t, so more texts than this put a term below ``least``, whatever else is known.
-    rare = lambda n_e: 1.001 * n_e * (n / n_e) ** (1 - least) if least > 0 else F.lit(float("inf"))
+    rare = lambda n_e: 1.001 * n_e / least if least > 0 else F.lit(float("inf"))
     # Terms of every 200th text are few and would be the hot keys of the join; those that may still tell stay.
     common = totals.where((F.col("n_t") > rare(most)) & (F.col("n_t") > n / 200)).select("term")
     held = terms.where("copy IS NOT NULL").select("copy", "term").join(F.broadcast(common), "term", "left_anti").join(totals, "term")
     pairs = held.join(owners, "copy").where(F.col("n_t") <= rare(F.col("n_e"))).groupBy("entity", "term").agg(
         F.count("*").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
-    whole = F.log2(F.lit(n) / F.col("n_e"))
-    share = lower_share(F.least("n_et", "n_t"), F.col("n_t"))
+    told, base = F.least("n_et", "n_t"), F.col("n_e") / F.lit(n)
+    share = told / F.col("n_t")
+    missing = F.when(share < 1, (1 - share) * F.log2((1 - share) / (1 - base))).otherwise(0.0)
     # An entity that is in every text has no information left to give away.
-    return pairs.select("entity", "term", F.when(whole > 0, 1 + F.log2(share) / whole).otherwise(0.0).alias("disclosure")).where(F.col("disclosure") >= least)
+    apart = F.when((base < 1) & (share > base), F.col("n_t") * (share * F.log2(share / base) + missing)).otherwise(0.0)
+    return pairs.withColumn("disclosure", lower_share(told, F.col("n_t"))).where((F.col("disclosure") >= least) & (apart >= CHANCE_BITS)).select(
+        "entity", "term", "disclosure")
 
 
 _PLACES = pa.schema([("uid", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -214,7 +219,7 @@ def _bits_of(terms: DataFrame) -> np.ndarray | None:
     return np.packbits(bits, bitorder="little")
 
 
-def private_spans(docs: DataFrame, generalise: float = 0.85, remove: float = 0.97) -> DataFrame:
+def private_spans(docs: DataFrame, generalise: float = 0.5, remove: float = 0.75) -> DataFrame:
     """(doc_id, uid, base, terms) of each row of ``docs``.
 
     ``base``: spans of e-mail addresses, IP addresses, card and phone numbers. ``terms``: spans of all words of the

@@ -1,10 +1,28 @@
 import hashlib
+import math
 import random
 import re
 
+import pytest
 from helpers import EDGES, documents, prose
 
-from gridscale.llm.privacy import KINDS, base_spans, private_spans, sanitise, sanitised, span_digests, words_of
+from gridscale.llm.privacy import (
+    _FOUND_SQL,
+    _found_rows,
+    _named,
+    CHANCE_BITS,
+    KINDS,
+    Z,
+    base_spans,
+    disclosures,
+    entity,
+    private_spans,
+    sanitise,
+    sanitised,
+    span_digests,
+    words_of,
+)
+from gridscale.llm.text import over_batches
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
@@ -46,7 +64,7 @@ def test_digests(spark):
         shown = ",".join(f"{KINDS[kind]}:{a}:{b}" for a, kind, b in found)
         assert rows[k]["base_sha256"] == hashlib.sha256(shown.encode()).hexdigest()
         assert [rows[k][f"n_{n}"] for n in KINDS] == [sum(f[1] == i for f in found) for i in range(4)]
-        assert rows[k]["spans"] == shown  # no term is seen in three contexts here
+        assert rows[k]["spans"] == shown  # no term is seen in two texts with an entity here
 
 
 def planted():
@@ -95,12 +113,58 @@ def rare(n):
             "nd Grumbel here it gru@mail.example rest", *["that Quixel sells bob@mail.example again"] * 40]
 
 
-def test_terms_of_entities_in_one_or_two_texts(spark):
+def test_two_texts_are_enough_and_one_is_not(spark):
+    """In one text every word is alone with the address, so none of them says more than another; copies are one text."""
     texts = rare(1500)
     rows = {r["doc_id"]: r["spans"] for r in span_digests(private_spans(documents(spark, texts))).collect()}
     for k, text in enumerate(texts):
         words = [text[int(a):int(b)] for s in rows[k].split(",") if s.startswith("term") for _, a, b in [s.split(":")]]
-        assert words == re.findall("Wibble|Grumbel|Quixel|sells", text), text
+        assert words == re.findall("Grumbel", text), text
+
+
+def by_hand(texts):
+    """{(entity, term): (n_et, n_t, n_e, n)} over different texts."""
+    texts = set(filter(None, texts))
+    with_term, with_entity = {}, {}
+    for t in texts:
+        spans = base_spans(t)
+        for w in {w for w, _, _ in words_of(t)} if spans else {w.lower() for w in re.findall(r"[^\W_]+", t)}:
+            with_term.setdefault(w, set()).add(t)
+        for a, kind, b in spans:
+            with_entity.setdefault(entity(kind, t[a:b]), set()).add(t)
+    return {(e, w): (len(own & x), len(x), len(own), len(texts)) for e, own in with_entity.items() for w, x in with_term.items() if own & x}
+
+
+@pytest.mark.parametrize("least", [0.3, 0.5, 0.8])
+def test_disclosures_by_hand(spark, least):
+    r = random.Random(8)
+    names = [f"name{k}" for k in range(12)]
+    texts = [" ".join(r.choice(names) for _ in range(4)) + f" {prose(k, 8)}" + (f" a{k % 5}@mail.example name{k % 5}x" if k % 3 == 0 else "") for k in range(240)]
+    texts += texts[:30] + [None, ""]
+    docs = documents(spark, texts)
+    found = _named(docs).mapInArrow(over_batches(_found_rows), _FOUND_SQL)
+    got = {(x["entity"], x["term"]): x["disclosure"] for x in disclosures(found, docs, least).collect()}
+    want = {}
+    for key, (n_et, n_t, n_e, n) in by_hand(texts).items():
+        share, base = n_et / n_t, n_e / n
+        low = (share + Z * Z / (2 * n_t) - Z * math.sqrt(share * (1 - share) / n_t + Z * Z / (4 * n_t * n_t))) / (1 + Z * Z / n_t)
+        bits = n_t * (share * math.log2(share / base) + ((1 - share) * math.log2((1 - share) / (1 - base)) if share < 1 else 0))
+        if low >= least and share > base and bits >= CHANCE_BITS:
+            want[key] = low
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want) and want
+
+
+def test_a_larger_corpus_discloses_no_more(spark):
+    """The same texts among 200 or 4,000 others: the same terms with the same scores, and other texts stay as they are."""
+    own = [f"{prose(700 + k, 5)} Zorblatt zor@mail.example once{k}" for k in range(6)] + ["Zorblatt was here", f"only1 {prose(1, 4)} x@mail.example"]
+    seen = []
+    for n in (200, 4000):
+        docs = documents(spark, own + [f"{prose(k, 12)} word{k}" for k in range(n)])
+        found = _named(docs).mapInArrow(over_batches(_found_rows), _FOUND_SQL)
+        seen.append({(x["entity"], x["term"], round(x["disclosure"], 9)) for x in disclosures(found, docs, 0.5).collect()})
+        changed = {x["doc_id"] for x in private_spans(docs).where("size(base) + size(terms) > 0").collect()}
+        assert changed == set(range(8))  # "Zorblatt was here" has no address, and is found by its name
+    assert seen[0] == seen[1] and {t for _, t, _ in seen[0]} == {"zorblatt"}
 
 
 def test_terms_go_wherever_they_are(spark):
