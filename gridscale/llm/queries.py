@@ -19,7 +19,7 @@ from gridscale.llm.sharding import shard_documents
 from gridscale.llm.spelling import document_variants
 from gridscale.llm.suffixes import repeat_digests
 from gridscale.llm.text import table
-from gridscale.llm.tokencounts import token_totals
+from gridscale.llm.tokencounts import section_tokens
 from gridscale.llm.vectorcodes import code_digests as vector_code_digests
 
 
@@ -59,8 +59,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document and of its sections."""
-    return token_totals(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """Tokens of every section of every document, and of those the ones that cross its border."""
+    return section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
