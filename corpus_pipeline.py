@@ -19,6 +19,14 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LEAST_CLAIM = 0.15
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held by Spark and by Python at once, several times over.
+BATCH_ROWS = 1_000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a key of each row, from id and text: rows without an id and different texts of one id are told apart."""
     return docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
@@ -32,12 +40,14 @@ def _as_ids(keyed: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in one of the languages learned from those not held out; texts without letters or in no learned
     language go."""
+    _short_batches(spark)
     return keep_languages(docs, fit_languages(docs.where(~held_out())), LEAST_CLAIM)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, that of the smallest id (null is larger than any), and of rows equal in
     id and text one."""
+    _short_batches(spark)
     keyed = _keyed(docs)
     groups = jaccard_components(_as_ids(keyed)).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
     named = keyed.select("__row", "doc_id").join(groups.distinct(), "__row")
@@ -47,6 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without a passage of the benchmark."""
+    _short_batches(spark)
     keyed = _keyed(docs)
     hit = contamination(_as_ids(keyed), table(spark, sf_dir, "benchmark")).where("size(hits) > 0").select(F.col("doc_id").alias("__row")).distinct()
     return keyed.join(stored(hit), "__row", "left_anti").select(docs.columns)
@@ -54,11 +65,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document, its personal data and the terms that reveal them replaced."""
+    _short_batches(spark)
     return sanitise(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, as digests."""
+    _short_batches(spark)
     return code_digests(docs, MODEL)
 
 
