@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from gridscale.functions.bands import decode, encode, zone
 from gridscale.functions.kernels import escape_steps
+from gridscale.operators.balance import balanced, band_costs
 from gridscale.operators.compute import axis_slice
 from gridscale.schema import BANDS, CELLS_PER_BAND, CELLS_PER_TILE, ZONE_COLUMNS, check_max_iter, check_mode
 from gridscale.sources.grid import grid_tasks
@@ -36,16 +37,24 @@ def _row(frame: int, band: int, positions: np.ndarray, counts: np.ndarray, again
     return {"frame": frame, "band": band, "again": again, "cells": encode(positions, counts) if packed else None, **seen._asdict()}
 
 
-def compute_bands(views: DataFrame, height: int, width_px: int, max_iter: int, mode: str, n_frames: int) -> DataFrame:
+def compute_bands(views: DataFrame, height: int, width_px: int, max_iter: int, mode: str, n_frames: int, by_cost: bool = False) -> DataFrame:
     """Every view of a run as bands with their zones: cells never leave the task that computed them one by one.
 
-    As in ``compute_frames`` only rows of views and bands are shuffled, and small bands share a kernel call."""
+    As in ``compute_frames`` only rows of views and bands are shuffled, and small bands share a kernel call. ``by_cost`` tries some
+    cells of each band first and deals bands so that all tasks take about as long; that pays off where some frames lie deep in the set."""
     check_max_iter(max_iter)
     check_mode(mode)
     size, plane = band_cells(width_px), height * width_px
     n_tasks = grid_tasks(views.sparkSession, n_frames * plane, max_iter)
     bands = views.select("frame", "center_re", "center_im", "width").withColumn("band", F.explode(F.sequence(F.lit(0), F.lit((plane - 1) // size))))
-    bands = bands.repartitionByRange(n_tasks, "frame", "band") if n_tasks > 1 and n_frames * plane > size else bands.repartition(n_tasks)
+    if by_cost:
+        tried = band_costs(bands.repartition(n_tasks), lambda row, at: _coordinates(row, at, height, width_px),
+                           lambda row: (row["band"] * size, min((row["band"] + 1) * size, plane)), max_iter, mode)
+        bands = balanced(tried, n_tasks)
+    elif n_tasks > 1 and n_frames * plane > size:
+        bands = bands.repartitionByRange(n_tasks, "frame", "band")
+    else:
+        bands = bands.repartition(n_tasks)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, points = [], 0
@@ -72,10 +81,12 @@ def compute_bands(views: DataFrame, height: int, width_px: int, max_iter: int, m
 
 
 def _coordinates(view: dict, at: np.ndarray, height: int, width_px: int) -> tuple[np.ndarray, np.ndarray]:
-    """The points of positions that follow each other: of whole rows, or within one row."""
+    """The points of rising positions of a view."""
     top, bottom = int(at[0]) // width_px, int(at[-1]) // width_px + 1
     re = axis_slice(view["center_re"], view["width"], width_px, 0, width_px)
     im = axis_slice(view["center_im"], view["width"], height, top, bottom)
+    if at[-1] - at[0] + 1 > len(at):
+        return re[at % width_px], im[at // width_px - top]
     first = int(at[0]) - top * width_px
     return np.tile(re, bottom - top)[first:first + at.size], np.repeat(im, width_px)[first:first + at.size]
 

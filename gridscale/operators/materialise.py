@@ -26,22 +26,22 @@ def _checked(store: GridStore, run_id: str, views: DataFrame):
     return state.spec, views, seen
 
 
-def _stage(store: GridStore, run_id: str, spec, views: DataFrame, n: int, message: str | None) -> Staged:
+def _stage(store: GridStore, run_id: str, spec, views: DataFrame, n: int, message: str | None, by_cost: bool = False) -> Staged:
     if spec["layout"] == "bands":
-        bands = compute_bands(views, spec["height"], spec["width_px"], spec["max_iter"], spec["mode"], n)
+        bands = compute_bands(views, spec["height"], spec["width_px"], spec["max_iter"], spec["mode"], n, by_cost)
         return store.stage_bands(run_id, bands, views, message, spec)
     cells = compute_frames(views, spec["height"], spec["width_px"], spec["max_iter"], spec["mode"], n_frames=n)
     return store.stage_frames(run_id, cells, views, message, ordered=True, spec=spec)
 
 
 def materialise(store: GridStore, run_id: str, views: DataFrame, message: str | None = None,
-                frames_per_commit: int | None = None) -> str | None:
+                frames_per_commit: int | None = None, by_cost: bool = False) -> str | None:
     """Compute the given views with the run's settings and commit them; returns the last snapshot id.
 
     All frames are one job and one commit, or one for each range of ``frames_per_commit`` frame
     numbers: after a crash the finished ranges are kept and ``fill_pending`` does the rest. No views, no commit.
     ``views`` must list a frame once; they are settled first, because the job passes over
-    them several times and they must not change meanwhile.
+    them several times and they must not change meanwhile. ``by_cost`` deals bands of cells to tasks by their predicted cost.
     """
     spec, views, seen = _checked(store, run_id, views)
     if seen["n"] == 0:
@@ -54,7 +54,7 @@ def materialise(store: GridStore, run_id: str, views: DataFrame, message: str |
         part = views if step >= spec["n_frames"] else views.filter(F.col("frame").between(first, first + step - 1))
         n = seen["n"] if part is views else part.count()
         if n:
-            staged = _stage(store, run_id, spec, part, n, message)
+            staged = _stage(store, run_id, spec, part, n, message, by_cost)
             store.commit(run_id, [staged])
             snapshot = staged.snapshot_id
     return snapshot

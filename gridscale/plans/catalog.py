@@ -353,6 +353,14 @@ def m1_materialise_frames(spark, d):
     return store.read("zoom")
 
 
+@query
+def m1_materialise_by_cost(spark, d):
+    """All suppliers' views, their bands dealt to tasks by predicted cost."""
+    store, views = _supplier_store(spark, d)
+    materialise(store, "zoom", views, by_cost=True)
+    return store.read("zoom")
+
+
 @query
 def m2_zoom_run(spark, d):
     store = _new_store(spark)

@@ -296,6 +296,7 @@ LEFT JOIN weekends w ON w.frame = f AND y = h AND x = u
 LEFT JOIN (SELECT * FROM views WHERE frame IN (SELECT frame FROM weekends)) v ON v.frame = f"""),
 
     "m1_materialise_frames": _with(SUPPLIER_CELLS, f"SELECT * FROM cells WHERE frame IN {REQUESTED}"),
+    "m1_materialise_by_cost": _with(SUPPLIER_CELLS, "SELECT * FROM cells"),
     "m2_zoom_run": _with(_frames(SUPPLIER_VIEWS, STORE_SIZE, FRAME_STEPS, closed_forms=True), "SELECT * FROM cells"),
     "m3_fan_out": _with(SUPPLIER_VIEWS, f"""SELECT t + 2 AS commit_seq, 'task ' || t || ' of 4' AS message,
        min(frame) AS first, max(frame) AS last, (count(*) * {STORE_SIZE * STORE_SIZE})::BIGINT AS n_cells
