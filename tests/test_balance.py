@@ -34,6 +34,6 @@ def test_results_do_not_depend_on_the_dealing(spark, view):
 def test_heavy_bands_are_placed_by_name(spark):
     rows = [(0, k, 100.0 if k < 8 else 0.01) for k in range(500)]
     dealt = balanced(spark.createDataFrame(rows, "frame INT, band INT, cost DOUBLE"), 8).withColumn("p", F.spark_partition_id())
-    by_task = {r["p"]: r["heavy"] for r in dealt.groupBy("p").agg(F.count_if("cost > 1").alias("heavy")).collect()}
+    by_task = {r["p"]: r["heavy"] for r in dealt.groupBy("p").agg(F.count_if(F.col("cost") > 1).alias("heavy")).collect()}
     assert by_task == {k: 1 for k in range(8)} and dealt.count() == 500
     assert balanced(spark.createDataFrame([], "frame INT, band INT, cost DOUBLE"), 8).count() == 0
