@@ -13,11 +13,11 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from gridscale.llm.text import batch
+from gridscale.llm.text import batch, over_batches
 
 _SPACE = "▁"
 #: Chunks whose codes a task remembers; the rarer ones are forgotten when it is full. Longer chunks hardly come twice.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 #: Pairs of pieces whose compatibility a task remembers.
 REMEMBERED_PAIRS = 500_000
 _EACH_BYTE = "each-byte"
@@ -199,12 +199,6 @@ class PieceCodec:
     def _shown(marked: str) -> str:
         return marked.removeprefix(_SPACE).replace(_SPACE, " ")
 
-    def forget(self) -> None:
-        """Drop what was remembered of chunks and pairs: a worker lives on after its task, and others share its machine."""
-        self.known.clear()
-        self.known.old.clear()
-        self.fits.clear()
-
     def summary(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, ids joined by a space, and the text decoded from them, end id included."""
         if not text:
@@ -264,24 +258,16 @@ def encode_decode(docs: DataFrame, model: str, id_column: str = "doc_id", text_c
 _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def _digest_rows(rows, own):
+def _digest_rows(rows, model):
+    own = codec(model)
     done = [own.summary(t) for t in rows["text"].to_pylist()]
-    return batch(_DIGESTS, rows["doc_id"], [d[0] for d in done],
-                 [hashlib.sha256(d[1].encode()).hexdigest() for d in done],
-                 [hashlib.sha256(d[2].encode()).hexdigest() for d in done])
+    yield batch(_DIGESTS, rows["doc_id"], [d[0] for d in done],
+                [hashlib.sha256(d[1].encode()).hexdigest() for d in done],
+                [hashlib.sha256(d[2].encode()).hexdigest() for d in done])
 
 
 def code_digests(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode_decode`` without carrying the ids."""
     source = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
 
-    def run(batches):
-        own = codec(model)
-        try:
-            for rows in batches:
-                if rows.num_rows:
-                    yield _digest_rows(rows, own)
-        finally:
-            own.forget()
-
-    return source.mapInArrow(run, "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING")
+    return source.mapInArrow(over_batches(_digest_rows, model), "doc_id BIGINT, n_tokens BIGINT, ids_sha256 STRING, decoded_sha256 STRING")
