@@ -173,13 +173,7 @@ class GridStore:
         """More entries of the log, as its next version; every so often the version holds the whole log."""
         version = self._newest(run_id)
         rows = self._log(run_id)
-        columns = [f.name for f in COMMITS if f.name not in ("run_id", "commit_seq")]
-        last = rows[-1]["commit_seq"] if rows else 0
-        lines = [{"commit_seq": last + k + 1, **{c: e.get(c) for c in columns}} for k, e in enumerate(entries)]
-        whole = version == 0 or (version + 1) % APPENDS_PER_WHOLE_LOG == 0
-        if whole:
-            lines = [r.asDict(recursive=True) for r in rows] + lines
-        text = "\n".join(json.dumps(line) for line in [{"since": 0 if whole else version}, *lines])
+        text = log_text(rows, version, entries)
         if not publish_once(self.spark, text, self._log_file(run_id, version + 1)):
             raise RuntimeError(f"run {run_id!r} has another committer; nothing was committed")
 
@@ -457,6 +451,17 @@ class GridStore:
             raise FileNotFoundError(f"the log names data that is gone: {e.getMessageParameters().get('path', paths)}") from e
 
 
+def log_text(rows: list[Row], version: int, entries: list[dict]) -> str:
+    """The log file after ``version``, whose entries are ``rows``: the new entries, every so often the whole log."""
+    columns = [f.name for f in COMMITS if f.name not in ("run_id", "commit_seq")]
+    last = rows[-1]["commit_seq"] if rows else 0
+    lines = [{"commit_seq": last + k + 1, **{c: e.get(c) for c in columns}} for k, e in enumerate(entries)]
+    whole = version == 0 or (version + 1) % APPENDS_PER_WHOLE_LOG == 0
+    if whole:
+        lines = [r.asDict(recursive=True) for r in rows] + lines
+    return "\n".join(json.dumps(line) for line in [{"since": 0 if whole else version}, *lines])
+
+
 def _entry(line: dict) -> Row:
     """One entry of the log, whatever columns it was written with."""
     spec = line.get("spec")
