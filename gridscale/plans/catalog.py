@@ -15,9 +15,11 @@ from gridscale.functions.kernels import (
     to_cell,
 )
 from gridscale.functions.palettes import ember_palette
+from gridscale.operators.bands import compute_bands
 from gridscale.operators.compare import compare_frames, compare_runs
 from gridscale.operators.compute import compute_frames
 from gridscale.operators.deep import deep_frames
+from gridscale.operators.layout import tile_window, write_tile_layout
 from gridscale.operators.materialise import fan_out, fill_pending, materialise, pending, zoom_run
 from gridscale.operators.metrics import (
     compare_metrics,
@@ -64,8 +66,10 @@ from gridscale.operators.zones import (
 from gridscale.plans import inputs
 from gridscale.session import shared_folder
 from gridscale.sources.grid import fill_grid, frame_ranges, pixel_grid, split_frames, tile_grid
+from gridscale.sources.runs import register, write_bands
 from gridscale.sources.schedule import schedules_from
 from gridscale.streaming.fill import fill_from_stream, frame_requests
+from gridscale.streaming.requests import fill_orders, frame_events, frame_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -415,6 +419,38 @@ def m6_fill_from_stream(spark, d):
     return store.read("zoom")
 
 
+@query
+def m6_fill_requests(spark, d):
+    """Requested frames by a stream that keeps the state of each; every frame is asked for twice."""
+    store, views = _supplier_store(spark, d)
+    folder = f"{store.root}/events"
+    asked = inputs.requested_suppliers(spark, d).select(F.lit("zoom").alias("run_id"), "frame", F.lit("asked").alias("event"))
+    asked.unionAll(asked).write.parquet(folder)
+    orders = frame_orders(frame_events(spark, folder))
+    fill_orders(orders, store, views.withColumn("run_id", F.lit("zoom")), folder, f"{store.root}/checkpoint").awaitTermination()
+    return store.read("zoom")
+
+
+@query
+def s5_read_source(spark, d):
+    """Frames of a run by width through the data source, after frames of a later commit took the place of some."""
+    register(spark)
+    store = _event_store(spark, d, restated=True)
+    cells = spark.read.format("gridscale_run").option("path", store.root).option("run", "events").load()
+    return cells.filter("width < 1 AND frame >= 10").select("frame", "y", "x", "iterations")
+
+
+@query
+def s3_write_source(spark, d):
+    """All suppliers' views written through the data source, as one commit."""
+    register(spark)
+    store, views = _supplier_store(spark, d)
+    n_frames = store.state("zoom").spec["n_frames"]
+    bands = compute_bands(views, STORE_SIZE, STORE_SIZE, FRAME_STEPS, "exact", n_frames)
+    write_bands(bands.join(views, "frame"), store.root, "zoom")
+    return store.read("zoom")
+
+
 # -- aggregation, validation, comparison -----------------------------------------------
 
 @query
@@ -607,6 +643,15 @@ def r8_find_tile(spark, d):
     return find_tile(tiles, "events", top, 0, 0).select("frame", "y", "x", "value")
 
 
+@query
+def r8_tile_window(spark, d):
+    """A window of tiles of 21 frames, found by ranges of keys along the curve."""
+    tiles, top = _pyramid(spark, d)
+    path = f"{shared_folder(spark)}/layout"
+    write_tile_layout(tiles, path)
+    return tile_window(spark, path, "events", top, (5, 25), (0, 1), (1, 3)).select("frame", "tile_y", "tile_x", "y", "x", "value")
+
+
 # -- run metrics -----------------------------------------------------------------------
 
 def _metrics_of_events(spark, d):

@@ -270,6 +270,7 @@ FROM (SELECT *, (re - 0.25::DOUBLE) * (re - 0.25::DOUBLE) + im * im AS q FROM ba
   UNION ALL
   SELECT 3, frame, 'weekends without errors', count(*) FROM weekends GROUP BY frame) JOIN views USING (frame)"""),
     "s5_read_latest": _with(LATEST, "SELECT * FROM latest"),
+    "s5_read_source": _with(LATEST, "SELECT * FROM latest WHERE frame % 5 >= 2 AND frame >= 10"),
     "s5_read_values": _with(LATEST, "SELECT * FROM latest WHERE iterations BETWEEN 2 AND 4"),
     "s5_read_rows_layout": _with(LATEST, "SELECT * FROM latest"),
     "s6_read_as_of": _with(CUBE, "SELECT frame, y, x, iterations::INT AS iterations FROM cube"),
@@ -306,6 +307,8 @@ FROM supplier""",
     "m4_pending_frames": _with(SUPPLIER_VIEWS, f"SELECT * FROM views WHERE frame NOT IN {REQUESTED}"),
     "m5_fill_pending": _with(SUPPLIER_CELLS, f"""SELECT *,
        CASE WHEN frame IN {REQUESTED} THEN 2 ELSE 3 END::BIGINT AS commit_seq FROM cells"""),
+    "m6_fill_requests": _with(SUPPLIER_CELLS, f"SELECT * FROM cells WHERE frame IN {REQUESTED}"),
+    "s3_write_source": _with(SUPPLIER_CELLS, "SELECT * FROM cells"),
     "m6_fill_from_stream": _with(SUPPLIER_CELLS, f"SELECT * FROM cells WHERE frame IN {REQUESTED}"),
 
     "a1_frame_stats": _with(_frames(CUSTOMER_VIEWS, SIZE, FRAME_STEPS), _stats("cells", FRAME_STEPS)),
@@ -363,6 +366,9 @@ FROM (SELECT *, value % 256 AS r, (value >> 2) % 256 AS g, 255 - value % 256 AS
     "r8_find_tile": _with(PYRAMID, """SELECT frame, y, x, value FROM pyramid
 WHERE z = (SELECT top FROM top) AND tile_y = 0 AND tile_x = 0"""),
 
+    "r8_tile_window": _with(PYRAMID, """SELECT frame, tile_y, tile_x, y, x, value FROM pyramid
+WHERE z = (SELECT top FROM top) AND frame BETWEEN 5 AND 25 AND tile_y BETWEEN 0 AND 1 AND tile_x BETWEEN 1 AND 3"""),
+
     "b1_record_metrics": _with(METRICS, "SELECT * FROM metrics"),
     "b2_compare_metrics": _with(METRICS, """SELECT stage_id, count(*) AS n_runs, round(avg(wall_time_seconds), 8) AS mean_seconds,
        round((SELECT avg(wall_time_seconds) FROM metrics WHERE stage_id = 'click') / avg(wall_time_seconds), 8) AS speedup,
