@@ -138,22 +138,25 @@ def _scan(rows: pa.RecordBatch, p: Probes, slack: int):
         hashes, owner = _words(data, offsets)
         bounds = np.searchsorted(owner, np.arange(end - first + 1))
         hit = np.zeros(len(hashes), bool)
-        seen = np.zeros((end - first, len(p.items)), bool) if p.items else None
+        seen = np.zeros(0, np.int64)  # row * items + item, of rows with a window of the item
         for window, place in occurrences(hashes, owner, p, slack):
             text = owner[place]
             low = np.maximum(place - slack, bounds[text])
             high = np.minimum(place + p.length[window] + slack, bounds[text + 1])
             hit |= _covered(len(hashes), low, high)
-            if seen is not None and len(p.owner_window):
+            if len(p.owner_window):
                 a, b = np.searchsorted(p.owner_window, window), np.searchsorted(p.owner_window, window, side="right")
-                seen[np.repeat(text, b - a), p.owner_item[_ragged(a, b - a)]] = True
+                pairs = np.unique(np.repeat(text, b - a) * len(p.items) + p.owner_item[_ragged(a, b - a)])
+                seen = np.union1d(seen, pairs)
+        row, item = np.divmod(seen, max(len(p.items), 1))
+        edges = np.searchsorted(row, np.arange(end - first + 1))
         for k in range(end - first):
             own = np.flatnonzero(hit[bounds[k]:bounds[k + 1]])
             n_words.append(int(bounds[k + 1] - bounds[k]))
             old = before[first + k]
             hits.append(np.union1d(own, old).tolist() if old else own.tolist())
             old = listed[first + k]
-            new = [p.items[i] for i in np.flatnonzero(seen[k])] if seen is not None else []
+            new = [p.items[i] for i in item[edges[k]:edges[k + 1]]]
             items.append(sorted({*old, *new}) if old else new)
     yield pa.RecordBatch.from_arrays(
         [*(rows[c] for c in rows.schema.names if c not in ("n_words", "hits", "items")), pa.array(n_words, pa.int64()),
