@@ -67,3 +67,27 @@ def test_nothing_to_learn_and_nothing_to_predict(spark):
     assert languages(docs.limit(0)).count() == 0
     one = documents(spark, ["one language", "two words", "three more words", "and four"], ["en"] * 4)
     assert {r["lang_pred"] for r in languages(one).collect()} <= {"en", "und"}
+
+
+def test_margins_equal_plain_kernel_ridge_when_every_text_is_a_landmark(spark):
+    texts, langs = corpus(60, 5)
+    model = fit_languages(documents(spark, texts, langs), per_language=10_000, landmarks=10_000, ridge=1e-2)
+    own = [features(t) for t in texts]
+
+    def kernel(a, b):
+        return len(a & b) / np.sqrt(max(len(a), 1) * max(len(b), 1))
+
+    names = sorted(set(langs))
+    gram = np.array([[kernel(a, b) for b in own] for a in own])
+    y = np.array([[1.0 if lang == n else -1.0 for n in names] for lang in langs])
+    w = np.array([1 / langs.count(lang) / len(names) for lang in langs])
+    n = len(texts)
+    system = np.zeros((n + 1, n + 1))
+    system[:n, :n], system[:n, n] = w[:, None] * gram + 1e-2 * np.eye(n), w
+    system[n, :n], system[n, n] = w @ gram, w.sum()
+    solved = np.linalg.solve(system, np.vstack([w[:, None] * y, w @ y]))
+    unseen = corpus(15, 6)[0]
+    want = np.array([[kernel(features(t), b) for b in own] for t in unseen]) @ solved[:n] + solved[n]
+    for first, end, data, offsets in pieces(pa.array(unseen)):
+        assert model.languages == names
+        assert np.allclose(model.margins(presence(data, offsets)), want[first:end], atol=5e-3)
