@@ -49,13 +49,15 @@ def normalise_per_frame(cells: DataFrame) -> DataFrame:
     window, so a frame need not fit one task. They are settled first: planned from the cells,
     their size would be unknown and the join would shuffle every cell.
     """
-    return scaled_by_range(cells, settled(cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi"))))
+    ranges = settled(cells.groupBy("frame").agg(F.min("iterations").alias("lo"), F.max("iterations").alias("hi")))
+    return scaled_by_range(cells.join(ranges, "frame"))
 
 
-def scaled_by_range(cells: DataFrame, ranges: DataFrame) -> DataFrame:
+def scaled_by_range(cells: DataFrame) -> DataFrame:
+    """``v`` of cells that have the range of their frame as ``lo`` and ``hi``."""
     spread = (F.col("hi") - F.col("lo")).cast("double")
     v = F.when(spread > 0, (F.col("iterations") - F.col("lo")) / spread).otherwise(0.0)
-    return cells.join(ranges, "frame").withColumn("v", v).drop("lo", "hi")
+    return cells.withColumn("v", v).drop("lo", "hi")
 
 
 def apply_palette(cells: DataFrame, palette: DataFrame) -> DataFrame:

@@ -284,27 +284,30 @@ class GridStore:
         return found.join(self.live_frames(run_id, state=state).select("frame", "snapshot_id"), ["frame", "snapshot_id"], "left_semi")
 
     def read(self, run_id: str, as_of: int | str | None = None, where: Column | None = None,
-             with_view: bool = False, values: tuple[int, int] | None = None) -> DataFrame:
+             with_view: bool = False, values: tuple[int, int] | None = None, by_frame: DataFrame | None = None) -> DataFrame:
         """Cells of the run's newest state, or of its state at the commit ``as_of`` (number or snapshot id).
 
         ``where`` selects frames by ``frame``, ``center_re``, ``center_im`` or ``width``; then only the
         commits that hold such frames are opened. ``values`` selects cells by their count, both ends included; bands whose range lies
         outside are skipped by the statistics of their files. If no frame was written twice, the folders
         of the commits are the answer; otherwise the list of live frames is joined to them.
+
+        ``by_frame`` is joined on ``frame`` and gives its other columns to the cells. It meets bands, before they become
+        cells: Spark takes cells for as small as the packed bands that they come from, and would broadcast them all.
         """
         state = self.state(run_id, as_of)
         names = [c["snapshot_id"] for c in state.commits]
         if where is None and not with_view:
             written = sum(c["n_frames"] for c in state.commits)
             if _disjoint(state.commits) or self.live_frames(run_id, state=state).count() == written:
-                return self._as_cells(self._rows(run_id, names, state.spec), state.spec, values=values)
+                return self._as_cells(self._rows(run_id, names, state.spec), state.spec, values=values, by_frame=by_frame)
         live = self.live_frames(run_id, state=state)
         if where is not None:
             live = live.filter(where)
             names = [r[0] for r in live.select("snapshot_id").distinct().collect()]
-        return self._cells_of(run_id, live, state, names, with_view, values)
+        return self._cells_of(run_id, live, state, names, with_view, values, by_frame)
 
-    def _cells_of(self, run_id, live, state, names, with_view=False, values=None):
+    def _cells_of(self, run_id, live, state, names, with_view=False, values=None, by_frame=None):
         """Cells of the given live frames, which are joined on partition columns, so that dynamic
         pruning opens only the folders of their blocks. With a column ``band``, only those bands."""
         more = ["center_re", "center_im", "width"] if with_view else []
@@ -313,10 +316,14 @@ class GridStore:
         rows = self._rows(run_id, names, state.spec)
         if by_band and _layout(state.spec) == "cells":
             rows = rows.withColumn("band", band_of(state.spec["width_px"]))
-        return self._as_cells(rows.join(wanted, ["snapshot_id", "frame_block", "frame", *by_band]), state.spec, more, values)
+        return self._as_cells(rows.join(wanted, ["snapshot_id", "frame_block", "frame", *by_band]), state.spec, more, values, by_frame)
 
-    def _as_cells(self, rows: DataFrame, spec: Row, more: list[str] = (), values: tuple[int, int] | None = None) -> DataFrame:
+    def _as_cells(self, rows: DataFrame, spec: Row, more: list[str] = (), values: tuple[int, int] | None = None,
+                  by_frame: DataFrame | None = None) -> DataFrame:
         """Rows of data folders as cells, in whatever layout they are."""
+        if by_frame is not None:
+            own = ["frame", "cells", "min_iter", "max_seen"] if _layout(spec) == "bands" else CELLS.names
+            rows, more = rows.select(*own, *more).join(by_frame, "frame"), [*more, *(c for c in by_frame.columns if c != "frame")]
         if _layout(spec) == "bands":
             if values is not None:
                 rows = rows.filter((F.col("max_seen") >= values[0]) & (F.col("min_iter") <= values[1]))

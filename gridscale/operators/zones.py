@@ -66,7 +66,7 @@ def normalise_stored_global(store: GridStore, run_id: str, as_of: AsOf = None) -
 def normalise_stored_per_frame(store: GridStore, run_id: str, as_of: AsOf = None) -> DataFrame:
     """``normalise_per_frame`` of a stored run: ranges come from its zones, so cells are read once and nothing is aggregated."""
     ranges = store.zones(run_id, as_of).groupBy("frame").agg(F.min("min_iter").alias("lo"), F.max("max_seen").alias("hi"))
-    return scaled_by_range(store.read(run_id, as_of), ranges)
+    return scaled_by_range(store.read(run_id, as_of, by_frame=ranges))
 
 
 def _top() -> Column:

@@ -403,8 +403,7 @@ def m5_fill_pending(spark, d):
     store, views = _supplier_store(spark, d)
     materialise(store, "zoom", _requested_views(spark, d, views))
     fill_pending(store, "zoom", views)
-    return store.read("zoom").join(
-        store.live_frames("zoom").select("frame", "commit_seq"), "frame")
+    return store.read("zoom", by_frame=store.live_frames("zoom").select("frame", "commit_seq"))
 
 
 @query

@@ -7,6 +7,7 @@ from gridscale.operators.compute import compute_frames
 from gridscale.operators.materialise import fan_out, fill_pending, materialise, pending, zoom_run
 from gridscale.operators.stats import check_views, frame_stats, global_max, mixed_frames
 from gridscale.operators.store import GridStore
+from gridscale.plans.catalog import QUERIES
 from gridscale.sources.schedule import zoom_schedule
 from gridscale.streaming.fill import fill_from_stream, frame_requests
 
@@ -160,3 +161,15 @@ def test_replayed_batch_commits_nothing(spark, store, tmp_path):
         fill_from_stream(frame_requests(spark, f"{tmp_path}/inbox"), store, "s", views,
                          f"{tmp_path}/{attempt}").awaitTermination()
     assert store.commits("s").count() == 2 and store.read("s").count() == 32
+
+
+def test_filled_cells_learn_their_commit_as_bands(spark, tmp_path):
+    """A join of the cells with the frames' commits broadcast every cell of the run through the driver."""
+    folder = f"file:{tmp_path}"
+    suppliers = [(k, k % 25, 9000.0 if k % 3 else 100.0) for k in range(12)]
+    spark.createDataFrame(suppliers, "s_suppkey BIGINT, s_nationkey INT, s_acctbal DOUBLE").write.parquet(f"{folder}/supplier.parquet")
+    filled = QUERIES["m5_fill_pending"](spark, folder)
+    commits = {(k, 2 if k % 3 else 3) for k in range(12)}
+    assert as_set(filled, "frame", "commit_seq") == commits and filled.count() == 12 * 256
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Join")

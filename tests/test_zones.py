@@ -102,6 +102,21 @@ def test_normalising_a_stored_run_reads_cells_once(spark, store, small_bands):
         assert stored._jdf.queryExecution().executedPlan().toString().count("/pixels/") <= 1
 
 
+def test_columns_by_frame_are_joined_before_bands_become_cells(spark, store, small_bands):
+    """Joined afterwards, all cells of a run were broadcast: their size was taken for that of the packed bands."""
+    store.create_run("r", 4, 30, 30, 65535)
+    store.write_frames("r", sparse(spark, 5))
+    store.write_frames("r", sparse(spark, 6).filter("frame = 1"))
+    named = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (9, "d"), (None, "e")], "frame INT, name STRING")
+    for how in ({}, {"as_of": 2}, {"values": (1, 9)}, {"where": F.col("frame") < 1}, {"with_view": True}):
+        found = store.read("r", by_frame=named, **how)
+        assert rows(found) == rows(store.read("r", **how).join(named, "frame"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert store.layout == "cells" or plan.index("MapInArrow") < plan.index("Join")
+    plan = normalise_stored_per_frame(store, "r")._jdf.queryExecution().executedPlan().toString()
+    assert store.layout == "cells" or plan.index("MapInArrow") < plan.index("Join")
+
+
 def test_cells_by_value_skip_bands(spark, store, small_bands):
     store.create_run("r", 3, 32, 32, 100)
     cells = spark.range(3 * 1024).select(
