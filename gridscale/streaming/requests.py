@@ -19,6 +19,8 @@ ORDERS = "run_id STRING, frame INT, attempt INT, action STRING"
 
 #: Frames of a run that share one state, so that a run of any length is many small states on many tasks.
 FRAMES_PER_STATE = 1024
+#: Outcomes in a file that ``fill_orders`` writes.
+OUTCOMES_PER_FILE = 1 << 18
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -110,7 +112,7 @@ def fill_orders(orders: DataFrame, store: GridStore, views: DataFrame, folder: s
         spark = batch.sparkSession
         here = GridStore(spark, store.root)
         work = batch.filter("action = 'work'").select("run_id", "frame").distinct().persist()
-        for run in work.groupBy("run_id").agg(F.min("frame").alias("first"), F.max("frame").alias("last")).collect():
+        for run in work.groupBy("run_id").agg(F.min("frame").alias("first"), F.max("frame").alias("last"), F.count("*").alias("n")).collect():
             wanted = work.filter(F.col("run_id") == run["run_id"]).select("frame")
             own = views.filter(F.col("run_id") == run["run_id"]).drop("run_id").join(wanted, "frame", "left_semi")
             if here.exists(run["run_id"]):
@@ -119,7 +121,8 @@ def fill_orders(orders: DataFrame, store: GridStore, views: DataFrame, folder: s
             else:
                 live = spark.createDataFrame([], "frame INT, event STRING")
             told = wanted.join(live, "frame", "left").select(F.lit(run["run_id"]).alias("run_id"), "frame", F.coalesce("event", F.lit("failed")).alias("event"))
-            told.coalesce(1).write.mode("append").parquet(folder)
+            # Few files by an exchange: with coalesce, one task would run the whole join, partition after partition.
+            told.repartition(-(-run["n"] // OUTCOMES_PER_FILE), "frame").write.mode("append").parquet(folder)
         work.unpersist()
 
     def attempt(here, run_id, own, first, last, message) -> None:

@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import as_set
 from gridscale.operators.materialise import fill_pending
 from gridscale.operators.store import GridStore
 from gridscale.sources.schedule import zoom_schedule
+from gridscale.streaming import requests
 from gridscale.streaming.requests import EVENTS, fill_orders, frame_events, frame_orders
 
 
@@ -71,3 +73,14 @@ def test_given_up_after_the_last_attempt(spark, desk):
     run(max_attempts=2)
     assert spark.read.parquet(folder).filter("event = 'failed' AND frame = 99").count() == 2
     assert live("a") == set()
+
+
+def test_outcomes_are_told_by_as_many_tasks_as_there_are_files(spark, desk, monkeypatch):
+    """One task used to look up and write the outcomes of all frames; now the files are dealt, and one holds no more than its share."""
+    monkeypatch.setattr(requests, "OUTCOMES_PER_FILE", 2, raising=False)
+    tell, run, live, folder = desk
+    tell(*(("a", k, "asked") for k in range(6)))
+    run(retry_s=3600)
+    told = spark.read.parquet(folder).filter("event = 'done'")
+    assert as_set(told, "run_id", "frame") == {("a", k) for k in range(6)} and told.count() == 6
+    assert told.select(F.input_file_name()).distinct().count() > 1
