@@ -95,3 +95,14 @@ def test_many_equal_rows_cost_in_proportion(spark):
     assert len(spans) == 1 and len(spans[0]["spans"]) < 100
     found = {(r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeat_digests(docs).collect()}
     assert found == {(900, 900, 1)}
+
+
+def test_split_anchors_are_settled_without_a_join_of_strings(spark, monkeypatch):
+    """A row for each string that two units saw came out of a join; counting them needs none."""
+    monkeypatch.setattr(suffixes, "CHUNK_CONTEXTS", 2)
+    passage = prose(1, 120)
+    docs = documents(spark, [prose(10 + k, 60) + passage + prose(50 + k, 60) for k in range(9)])
+    spans = repeated_spans(docs)
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Join [string" not in plan
+    assert spans.count() == 9
