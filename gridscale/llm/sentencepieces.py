@@ -13,7 +13,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from gridscale.llm.text import batch, over_batches
+from gridscale.llm.text import batch, kept, over_batches
 
 _SPACE = "▁"
 #: Chunks whose codes a task remembers; the rarer ones are forgotten when it is full. Longer chunks hardly come twice.
@@ -179,10 +179,11 @@ class PieceCodec:
             pending = bytearray()
         return "".join([*out, _utf8(pending)])
 
-    def _coded(self, chunk: str) -> tuple[int, str, str]:
+    def _coded(self, chunk: str) -> str | tuple[str, str]:
+        """Ids, and what they show unless it is the chunk itself: one string for nearly every chunk, as many are remembered."""
         ids = self._ids(chunk)
-        shown = self._joined(ids)
-        return len(ids), " ".join(map(str, ids)), chunk if shown == chunk else shown
+        shown, ids = self._joined(ids), " ".join(map(str, ids))
+        return ids if shown == chunk else (ids, shown)
 
     def _chunks(self, text: str) -> list[str]:
         return self.chunk.findall(_SPACE + text.replace(" ", _SPACE)) if text else []
@@ -203,8 +204,10 @@ class PieceCodec:
         """Number of ids, ids joined by a space, and the text decoded from them, end id included."""
         if not text:
             return 1, str(self.end), ""
-        counts, ids, shown = zip(*map(self.known.__getitem__, self._chunks(text)))
-        return sum(counts) + 1, " ".join([*ids, str(self.end)]), self._shown("".join(shown))
+        chunks = self._chunks(text)
+        coded = list(map(self.known.__getitem__, chunks))
+        ids = " ".join([*(x if type(x) is str else x[0] for x in coded), str(self.end)])
+        return ids.count(" ") + 1, ids, self._shown("".join([c if type(x) is str else x[1] for c, x in zip(chunks, coded)]))
 
 
 class _Remembered(dict):
@@ -259,7 +262,7 @@ _DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sh
 
 
 def _digest_rows(rows, model):
-    own = codec(model)
+    own = kept(PieceCodec, model)
     done = [own.summary(t) for t in rows["text"].to_pylist()]
     yield batch(_DIGESTS, rows["doc_id"], [d[0] for d in done],
                 [hashlib.sha256(d[1].encode()).hexdigest() for d in done],

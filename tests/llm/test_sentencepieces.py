@@ -3,10 +3,12 @@ import random
 import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from helpers import EDGES, documents
 
+from gridscale.llm import sentencepieces, text as shared
 from gridscale.llm.sentencepieces import PieceCodec, code_digests, encode_decode
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,3 +79,24 @@ def test_very_long_runs_of_spaces_and_symbols(library, codec):
         start = time.perf_counter()
         assert codec.encode(text) == library.encode(text) + [library.eos_id()]
         assert time.perf_counter() - start < 5
+
+
+def test_a_worker_lets_go_of_the_codec_when_it_turns_to_other_work():
+    """Workers outlive stages: chunks remembered for one stage stayed beside the data of all stages after it."""
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": "some words"}], schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    shared._kept.clear()
+    coding = shared.over_batches(sentencepieces._digest_rows, MODEL)
+    assert [list(coding([batch])), list(coding([batch]))] and len([k for k in shared._kept if k != "work"]) == 1
+    own = shared.kept(sentencepieces.PieceCodec, MODEL)
+    assert own is shared.kept(sentencepieces.PieceCodec, MODEL) and own.known
+    list(shared.over_batches(lambda rows: iter([rows]))([batch]))
+    assert [k for k in shared._kept if k != "work"] == []
+
+
+def test_a_remembered_chunk_is_one_string_unless_it_shows_another():
+    own = sentencepieces.PieceCodec(MODEL)
+    for words in ("plain words again and again", "\x00 \ufffd 😀 ▁ ▁▁ a", "  two  spaces "):
+        ids = own.encode(words)
+        for _ in range(2):  # made, then remembered
+            assert own.summary(words) == (len(ids), " ".join(map(str, ids)), own.decode(ids))
+    assert type(own.known["▁words"]) is str
